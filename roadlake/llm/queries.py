@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlake.llm import common, packing, quality_model, quality_rules, simhash
+from roadlake.llm import common, mixing, packing, quality_model, quality_rules, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,14 +33,44 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", common.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), shards=40)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules.judged(docs, quality_rules.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.plan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+OP10_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size, md5('10-' || doc_id::VARCHAR) AS k FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS turn FROM s),
+x AS (SELECT *, CAST(CASE turn % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS BIGINT) AS weight FROM w),
+y AS (SELECT *, CAST(sum(source_size) OVER () AS BIGINT) AS total, CAST(sum(weight) OVER () AS BIGINT) AS weights,
+  CAST(coalesce(sum(3 * source_size) OVER (ORDER BY 3.0 * source_size / weight, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS lb,
+  CAST(coalesce(sum(weight) OVER (ORDER BY 3.0 * source_size / weight, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS wb FROM x),
+z AS (SELECT *, 3 * source_size * (weights - wb) <= (total - lb) * weight AS filled FROM y),
+t AS (SELECT source, source_size, CASE WHEN filled THEN CAST(3 * source_size AS DOUBLE) ELSE
+  CAST(weight * (total - CAST(coalesce(sum(CASE WHEN filled THEN 3 * source_size END) OVER (), 0) AS BIGINT)) AS DOUBLE)
+  / CAST(weights - CAST(coalesce(sum(CASE WHEN filled THEN weight END) OVER (), 0) AS BIGINT) AS DOUBLE) END AS target FROM z),
+p AS (SELECT d.*, source_size, target, CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begun
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT *, (CASE WHEN begun + CAST(size AS DOUBLE) / 2 <= target THEN 1 ELSE 0 END)
+  + (CASE WHEN size > 0 AND begun + source_size + CAST(size AS DOUBLE) / 2 <= target THEN 1 ELSE 0 END)
+  + (CASE WHEN size > 0 AND begun + 2 * source_size + CAST(size AS DOUBLE) / 2 <= target THEN 1 ELSE 0 END) AS copies FROM p)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(size * copies AS BIGINT) AS taken, CAST(copies AS INTEGER) AS copies FROM c
+"""
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_mixing": OP10_SQL}
