@@ -1,11 +1,40 @@
-"""The corpus pipeline: stages over documents, each calling one operator of roadlake.llm."""
+"""The corpus pipeline: stages over documents, each calling one operator of roadlake.llm.
+
+Every stage takes what its predecessor kept, as it was written and read again, and returns the columns of documents;
+the last returns the pieces of the packed sequences.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlake.llm import common, packing
+from roadlake.llm import common, mixing, packing, quality_model, quality_rules, simhash
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """What models learn from: all documents, whatever earlier stages kept, and their labels."""
+    return spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def classified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier: documents that score below 0.7 go."""
+    return quality_model.keep_good(docs, quality_model.train(*labelled(spark, sf_dir)), 0.7)
+
+
+def ruled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality rules: documents that fail the base rules or meet a learned rule go."""
+    return quality_rules.keep_good(docs, quality_rules.train(*labelled(spark, sf_dir)))
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SimHash near-dedup over five-word shingles at a similarity of 0.8: the first document of each group stays."""
+    return simhash.keep_first(docs, simhash.groups(docs, **simhash.SIMILAR))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing sources to target weights: each document as often as the curriculum takes it, in training order."""
+    return mixing.mixed(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,7 +42,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("packing", packed)]
+STAGES = [("quality_classifier", classified), ("quality_rules", ruled), ("simhash_near_dedup", deduplicated), ("mixing", mixed), ("best_fit_packing", packed)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlake.llm import common, html_text, mixing, neighbours, packing, quality_model, quality_rules, sharding, simhash
+from roadlake.llm import common, html_text, licenses, mixing, neighbours, packing, quality_model, quality_rules, sharding, simhash, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filters.judge(url_filters.captures_of(pages), url_filters.entries_of(pages))
+
+
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -26,6 +31,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex(F.col("fp")[0]), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -81,4 +90,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mixing": OP10_SQL}
+    return {"op1_url_filters": url_filters.ORACLE, "op4_license_scans": licenses.oracle(), "op10_mixing": OP10_SQL}
