@@ -195,13 +195,13 @@ def window_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.where(kept).select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"))
 
 
-@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1995-01-01' AND CAST(o_orderdate AS DATE) < DATE '1995-02-01'")
+@query("SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1995-01-01' AND CAST(o_orderdate AS DATE) < DATE '1995-02-01'")
 def ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with shipments that overlap a window, kept where the order itself lies in it."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
     start, end = F.lit("1995-01-01").cast("date"), F.lit("1995-02-01").cast("date")
     overlapping = orders.where((F.col("day") < end) & (F.date_add("day", 200) >= start))
-    return filters.owned(overlapping, "day", start, end)
+    return filters.owned(overlapping, "day", start, end).select("o_orderkey", F.col("day").cast("string").alias("day"))
 
 
 @query("SELECT CAST(count(*) FILTER (o_orderkey % 3 = 0) AS BIGINT) AS fetchable, CAST(count(*) FILTER (o_orderkey % 3 = 1) AS BIGINT) AS nulls, CAST(count(*) FILTER (o_orderkey % 3 = 2) AS BIGINT) AS empties FROM orders")
@@ -216,15 +216,15 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.distinct_rows(sets.concat([rows, rows.where("event_id % 3 = 0"), rows.where("event_id % 9 = 0")]))
 
 
-@query("SELECT CAST(ts AS DATE) AS date, count(*) AS n, epoch_us(max(ts)) AS top_us FROM events GROUP BY 1")
+@query("SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, count(*) AS n, epoch_us(max(ts)) AS top_us FROM events GROUP BY 1")
 def split_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sets.with_date(table(spark, sf_dir, "events"), "ts").groupBy("date").agg(F.count("*").alias("n"), F.unix_micros(F.max("ts")).alias("top_us"))
+    return sets.with_date(table(spark, sf_dir, "events"), "ts").groupBy(F.col("date").cast("string").alias("date")).agg(F.count("*").alias("n"), F.unix_micros(F.max("ts")).alias("top_us"))
 
 
-@query("SELECT event_id, unnest(generate_series(date_trunc('day', ts), date_trunc('day', ts + (event_id % 4) * INTERVAL 1 DAY + INTERVAL 1 SECOND - INTERVAL 1 MICROSECOND), INTERVAL 1 DAY))::DATE AS date FROM events")
+@query("SELECT event_id, unnest(generate_series(date_trunc('day', ts), date_trunc('day', ts + (event_id % 4) * INTERVAL 1 DAY + INTERVAL 1 SECOND - INTERVAL 1 MICROSECOND), INTERVAL 1 DAY))::DATE::VARCHAR AS date FROM events")
 def covered_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     end = F.col("ts") + F.make_dt_interval((F.col("event_id") % 4).cast("int"), F.lit(0), F.lit(0), F.lit(1).cast("decimal(18,6)"))
-    return table(spark, sf_dir, "events").select("event_id", F.explode(sets.covered_dates(F.col("ts"), end)).alias("date"))
+    return table(spark, sf_dir, "events").select("event_id", F.explode(sets.covered_dates(F.col("ts"), end)).alias("date")).select("event_id", F.col("date").cast("string").alias("date"))
 
 
 @query("SELECT 'absent' AS value WHERE NOT EXISTS (SELECT 1 FROM events WHERE event_type = 'absent')")
@@ -444,12 +444,12 @@ def timespan_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", S.interval_to_micros(S.timespan(text)).alias("micros"))
 
 
-@query("SELECT event_id, epoch_us(ts) // 1000000 * 1000000 AS whole_us, epoch_us(ts) AS exact_us, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS label, epoch_ms(ts) AS millis, epoch_us(date_trunc('day', ts)) AS midnight_us, CAST(ts AS DATE) AS date FROM events")
+@query("SELECT event_id, epoch_us(ts) // 1000000 * 1000000 AS whole_us, epoch_us(ts) AS exact_us, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS label, epoch_us(ts) // 1000 AS millis, epoch_us(date_trunc('day', ts)) AS midnight_us, CAST(CAST(ts AS DATE) AS VARCHAR) AS date FROM events")
 def iso_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Times as text and back; an offset other than UTC; epoch milliseconds; date labels."""
     rows = table(spark, sf_dir, "events").select("event_id", "ts", S.to_iso(F.col("ts")).alias("label"))
     east = F.concat(F.date_format(F.col("ts") + F.expr("interval 150 minutes"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+02:30"))
-    return rows.select("event_id", F.unix_micros(S.iso_timestamp(F.col("label"))).alias("whole_us"), F.unix_micros(S.iso_timestamp(east)).alias("exact_us"), "label", F.unix_millis(S.epoch_millis(S.to_epoch_millis(F.col("ts")))).alias("millis"), F.unix_micros(S.date_label(S.utc_date(F.col("ts")).cast("string"))).alias("midnight_us"), S.utc_date(F.col("ts")).alias("date"))
+    return rows.select("event_id", F.unix_micros(S.iso_timestamp(F.col("label"))).alias("whole_us"), F.unix_micros(S.iso_timestamp(east)).alias("exact_us"), "label", F.unix_millis(S.epoch_millis(S.to_epoch_millis(F.col("ts")))).alias("millis"), F.unix_micros(S.date_label(S.utc_date(F.col("ts")).cast("string"))).alias("midnight_us"), S.utc_date(F.col("ts")).cast("string").alias("date"))
 
 
 @query("SELECT event_id, CASE WHEN event_id % 3 < 2 THEN 'u' || user_id END AS user, CASE WHEN event_id % 4 < 3 THEN 'u' || user_id || ',' || event_type END AS ids FROM events")
@@ -463,14 +463,14 @@ def ref_lift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", S.text_of(S.reference_id(F.parse_json(ref))).alias("user"), F.when(ids.isNotNull(), F.array_join(ids, ",")).alias("ids"))
 
 
-@query("SELECT event_id, CASE event_id % 6 WHEN 0 THEN event_id WHEN 1 THEN event_id WHEN 2 THEN event_id WHEN 3 THEN 1 END AS whole, CASE event_id % 6 WHEN 0 THEN event_id WHEN 1 THEN event_id WHEN 2 THEN event_id WHEN 3 THEN 1 WHEN 4 THEN event_id + 0.5 END::DOUBLE AS number, CASE event_id % 6 WHEN 3 THEN true WHEN 5 THEN true END AS flag FROM events")
+@query("SELECT event_id, CASE event_id % 6 WHEN 0 THEN event_id WHEN 1 THEN event_id WHEN 2 THEN event_id WHEN 3 THEN 1 END AS whole, CASE event_id % 6 WHEN 0 THEN event_id WHEN 1 THEN event_id WHEN 2 THEN event_id WHEN 3 THEN 1 WHEN 4 THEN event_id + 0.5 END::DOUBLE AS number, CASE event_id % 6 WHEN 3 THEN 1 WHEN 5 THEN 1 END AS flag FROM events")
 def lax_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers in quotes, whole floats, booleans as numbers; fractions are refused for whole numbers."""
     n = F.col("event_id").cast("string")
     k = F.col("event_id") % 6
     raw = F.parse_json(F.when(k == 0, n).when(k == 1, F.concat(F.lit('" '), n, F.lit('"'))).when(k == 2, F.concat(n, F.lit(".0"))).when(k == 3, F.lit("true")).when(k == 4, F.concat(n, F.lit(".5"))).otherwise(F.lit('"Yes"')))
     flag = F.when(k.isin(3, 5), S.boolean(raw))
-    return table(spark, sf_dir, "events").select("event_id", S.whole_number(raw).alias("whole"), S.number(raw).alias("number"), flag.alias("flag"))
+    return table(spark, sf_dir, "events").select("event_id", S.whole_number(raw).alias("whole"), S.number(raw).alias("number"), flag.cast("int").alias("flag"))
 
 
 @query("SELECT user_id, arg_max(event_id, ts) AS event_id, arg_max(value, ts) AS value FROM events GROUP BY 1")
@@ -495,7 +495,7 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-@query("SELECT CAST(ts AS DATE) AS date, count(*) AS n, CAST(sum(CASE WHEN ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15' THEN 2 ELSE 1 END) AS BIGINT) AS versions FROM events WHERE CAST(ts AS DATE) <> DATE '2024-01-10' AND NOT (ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15' AND event_id % 2 = 0) GROUP BY 1")
+@query("SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, count(*) AS n, CAST(sum(CASE WHEN ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15' THEN 2 ELSE 1 END) AS BIGINT) AS versions FROM events WHERE CAST(ts AS DATE) <> DATE '2024-01-10' AND NOT (ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15' AND event_id % 2 = 0) GROUP BY 1")
 def replace_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A window refetched: its dates are replaced, the one that came back empty is deleted, history stays."""
     rows = table(spark, sf_dir, "events").select("event_id", "ts", F.lit(1).alias("version"))
@@ -503,7 +503,7 @@ def replace_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     writers.replace_window(filters.owned(rows, "ts", first, last), path, "ts", first, last)
     again = filters.owned(rows, "ts", START, END).where("event_id % 2 = 1 and to_date(ts) <> date '2024-01-10'").withColumn("version", F.lit(2))
     writers.replace_window(again.unionAll(again.where("event_id % 5 = 0")), path, "ts", START, END)
-    return spark.read.parquet(path).groupBy("date").agg(F.count("*").alias("n"), F.sum("version").alias("versions"))
+    return spark.read.parquet(path).groupBy(F.col("date").cast("string").alias("date")).agg(F.count("*").alias("n"), F.sum("version").alias("versions"))
 
 
 @query("SELECT event_id, value FROM events WHERE event_id % 2 = 0")
@@ -523,19 +523,19 @@ def replace_single_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("event_id", "version")
 
 
-@query("SELECT event_id, CAST(ts AS DATE) AS date FROM events UNION ALL SELECT event_id, CAST(ts AS DATE) FROM events WHERE event_id % 4 = 0")
+@query("SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS date FROM events UNION ALL SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) FROM events WHERE event_id % 4 = 0")
 def feed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Appends keep what is there, duplicates included."""
     rows, path = table(spark, sf_dir, "events").select("event_id", "ts"), fresh_path(spark, "feed")
     writers.append(rows, path, "ts")
     writers.append(rows.where("event_id % 4 = 0"), path, "ts")
-    return spark.read.parquet(path).select("event_id", "date")
+    return spark.read.parquet(path).select("event_id", F.col("date").cast("string").alias("date"))
 
 
 FEED_PAGES = 500
 
 
-@query("SELECT 'i' || event_id AS id, epoch_us(ts) AS date_time_us, CAST(ts AS DATE) AS date FROM events")
+@query("SELECT 'i' || event_id AS id, epoch_us(ts) AS date_time_us, CAST(CAST(ts AS DATE) AS VARCHAR) AS date FROM events")
 def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of a feed landed in two lots, streamed in two runs and a third that finds nothing new."""
     from roadlake.streaming import feed
@@ -548,7 +548,7 @@ def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         if lot is not None:
             pages.where(lot).write.mode("append").json(landed)
         feed.start(spark, landed, root, spec).awaitTermination()
-    return spark.read.parquet(f"{root}/{spec.provider}/{spec.name}").select("id", us("date_time"), "date")
+    return spark.read.parquet(f"{root}/{spec.provider}/{spec.name}").select("id", us("date_time"), F.col("date").cast("string").alias("date"))
 
 
 @query("SELECT CAST(user_id AS VARCHAR) AS endpoint, CAST(arg_max(event_id, ts) AS VARCHAR) AS run_id FROM events GROUP BY 1")

@@ -97,7 +97,7 @@ def replace_window(rows: DataFrame, path: str, event_time: str, start: datetime,
     guarded = counted.rows.withColumn("date", F.when(inside, F.col("date")).otherwise(F.raise_error(F.concat(F.lit("row outside the window: "), F.coalesce(F.col("date").cast("string"), F.lit("no event time")))).cast("date")))
     # which of the window's dates got rows, as bits, found while the write runs
     at = F.datediff("date", F.lit(days[0]))
-    bits = [F.bit_or(F.when(F.floor(at / 60) == k, F.shiftleft(F.lit(1).cast("long"), (at % 60).cast("int")))).alias(f"b{k}") for k in range(len(days) // 60 + 1)]
+    bits = [F.bit_or(F.when(F.floor(at / 60) == k, F.call_function("shiftleft", F.lit(1).cast("long"), (at % 60).cast("int")))).alias(f"b{k}") for k in range(len(days) // 60 + 1)]
     try:
         spread(guarded.observe(marks, *bits), files_per_date).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
     except Exception as error:
