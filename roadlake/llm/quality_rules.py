@@ -57,9 +57,9 @@ def ratio_columns() -> dict[str, Column]:
     }
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
+def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns of ``docs`` and a struct ``stats`` of BASE and MORE, for every whole text (null: no words)."""
-    at, names = docs.columns.index("text"), [*docs.columns, "stats"]
+    at, names = docs.columns.index(text), [*docs.columns, "stats"]
     kinds = pa.struct([(x, pa.int64()) for x in BASE + MORE])
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -159,5 +159,6 @@ def judged(docs: DataFrame, rules: list[Rule]) -> DataFrame:
 def keep_good(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns; no join."""
     names = docs.columns
-    stats = with_statistics(docs).select(*[F.col(f"`{x}`").alias(f"_own_{k}") for k, x in enumerate(names)], "stats.*")
-    return stats.where(~base_failed() & (verdict(rules) == 0)).select(*[F.col(f"_own_{k}").alias(x) for k, x in enumerate(names)])
+    own = [f"_own_{k}" for k in range(len(names))]
+    stats = with_statistics(docs.toDF(*own), own[names.index("text")]).select(*own, "stats.*")
+    return stats.where(~base_failed() & (verdict(rules) == 0)).select(*own).toDF(*names)
