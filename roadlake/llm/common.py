@@ -1,51 +1,19 @@
-"""Shared helpers: staging tables in the cluster's shared folder, word splitting, connected components."""
+"""Shared helpers: tasks over few texts at a time, the held-out fold, connected components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlake.staging import staged, unstage
+
 #: Words are maximal runs of characters other than the six ASCII white space characters.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
-def words(text: str | None) -> list[bytes]:
-    """Words of a text as UTF-8 (null: none). ``bytes.split`` cuts at exactly the ASCII white space of WORD_PATTERN."""
-    return text.encode().split() if text else []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none, as in tests."""
-    conf = spark.sparkContext.getConf()
-    found = conf.get("spark.checkpoint.dir") or spark.conf.get("roadlake.shared.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='spark-roadlake-')}"
-        spark.conf.set("roadlake.shared.dir", found)
-    return found.rstrip("/")
-
-
-def staged(df: DataFrame) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back: lineage ends there, so a lost executor costs only the
-    current step, and a row order or random choice is fixed from then on."""
-    path = f"{shared_dir(df.sparkSession)}/staged-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def unstage(df: DataFrame) -> None:
-    """Deletes the files of a staged table that is not read again."""
-    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
-    for file in df.inputFiles()[:1]:
-        folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
-        if folder.getName().startswith("staged-"):
-            folder.getFileSystem(conf).delete(folder, True)
-
-
 def map_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, rows: int = 512) -> DataFrame:
     """mapInArrow over slices of at most ``rows`` rows, so that a task holds few texts at once."""
 
