@@ -72,8 +72,17 @@ def utc_date(time: Column) -> Column:
 
 
 def kind(value: Column) -> Column:
-    """OBJECT, ARRAY, STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN or VOID (JSON null); null where nothing is there."""
-    return F.regexp_extract(F.schema_of_variant(value), r"^[A-Z]+", 0)
+    """OBJECT, ARRAY, STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN or VOID (JSON null); null where nothing is there. It walks
+    the whole value: for objects and arrays that may be large, use is_object and is_array."""
+    return F.substring_index(F.substring_index(F.schema_of_variant(value), "<", 1), "(", 1)
+
+
+def is_object(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+
+
+def is_array(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "array<variant>").isNotNull()
 
 
 def get(value: Column, *keys: str) -> Column:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlake.functions.scalars import get, kind
+from roadlake.functions.scalars import get, is_array, is_object, kind
 
 PAGE_COLUMNS = ["provider", "endpoint", "chain_id", "page_seq"]
 
@@ -28,24 +28,30 @@ class Decode:
     stamps: tuple[tuple[str, str], ...] = ()
 
 
+def once(value: Column) -> Column:
+    """A generator of one row: what is made from ``value`` later refers to its result. A plain column would be made again
+    in every filter that the optimizer moves below its projection."""
+    return F.explode(F.array(value))
+
+
 def parsed(pages: DataFrame) -> DataFrame:
-    """``pages`` with their body as a variant; null where it is no JSON."""
-    return pages.withColumn("envelope", F.try_parse_json("body"))
+    """``pages`` with their body as a variant, parsed once; null where it is no JSON."""
+    return pages.select("*", once(F.try_parse_json("body")).alias("envelope"))
 
 
 def faults(decode: Decode) -> Column:
     """What is wrong with an envelope's structure, or null: it names shapes, never values."""
     top = F.col("envelope")
-    out = F.when(top.isNull(), F.lit("body: not JSON")).when(kind(top) != "OBJECT", F.concat(F.lit("body: object expected, found "), kind(top)))
+    out = F.when(top.isNull(), F.lit("body: not JSON")).when(~is_object(top), F.concat(F.lit("body: object expected, found "), kind(top)))
     for k in range(1, len(decode.path) + 1):
         at, keys = get(top, *decode.path[:k]), ".".join(decode.path[:k])
-        want = "ARRAY" if k == len(decode.path) else "OBJECT"
-        out = out.when(at.isNull(), F.lit(f"{keys}: missing")).when(kind(at) != want, F.concat(F.lit(f"{keys}: {want.lower()} expected, found "), kind(at)))
+        want, fits = ("ARRAY", is_array) if k == len(decode.path) else ("OBJECT", is_object)
+        out = out.when(at.isNull(), F.lit(f"{keys}: missing")).when(~fits(at), F.concat(F.lit(f"{keys}: {want.lower()} expected, found "), kind(at)))
     items = F.try_variant_get(top, "$." + ".".join(decode.path), "array<variant>")
-    out = out.when(F.exists(items, lambda x: kind(x) != "OBJECT"), F.lit(f"{'.'.join(decode.path)}: an element is no object"))
+    out = out.when(F.exists(items, lambda x: ~is_object(x)), F.lit(f"{'.'.join(decode.path)}: an element is no object"))
     if decode.item:
         inner = lambda x: get(x, decode.item)
-        out = out.when(F.exists(items, lambda x: inner(x).isNull() | (kind(inner(x)) != "OBJECT")), F.lit(f"{'.'.join(decode.path)}: an element has no object under {decode.item}"))
+        out = out.when(F.exists(items, lambda x: inner(x).isNull() | ~is_object(inner(x))), F.lit(f"{'.'.join(decode.path)}: an element has no object under {decode.item}"))
     return out
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlake.functions import scalars as S
+from roadlake.operators.decode import once
 from roadlake.schema import Field, Schema, snake
 
 
@@ -67,18 +68,21 @@ def fault_of(field: Field, raw: Column, value: Column) -> Column:
         out = out.when(absent, F.lit(f"{name}: missing"))
     elif field.required == "(!)":
         block = block_of(field, F.col("record"))
-        out = out.when(absent & block.isNotNull() & (S.kind(block) == "OBJECT"), F.lit(f"{name}: missing"))
+        out = out.when(absent & block.isNotNull() & S.is_object(block), F.lit(f"{name}: missing"))
     return out
 
 
 def typed(records: DataFrame, schema: Schema, keep: list[str] | None = None) -> DataFrame:
     """A row per record: the columns of ``schema`` and ``errors`` (array of texts, empty for a valid record), after those of
     ``keep``. Keys that are not declared are dropped. Zero records give zero rows of the same columns."""
-    rows = records.select(*(keep or []), F.col("record"), *[source_of(f).alias(f"_raw_{k}") for k, f in enumerate(schema.fields)])
-    rows = rows.select(*(keep or []), "record", *[f"_raw_{k}" for k in range(len(schema.fields))], *[value_of(f, F.col(f"_raw_{k}")).cast(f.spark).alias(f"_value_{k}") for k, f in enumerate(schema.fields)])
-    errors = F.array_compact(F.array(*[fault_of(f, F.col(f"_raw_{k}"), F.col(f"_value_{k}")) for k, f in enumerate(schema.fields)]))
-    blank = lambda f, k: F.nullif(F.col(f"_value_{k}"), F.lit("")) if f.kind == "STRING" else F.col(f"_value_{k}")
-    return rows.select(*(keep or []), *[blank(f, k).alias(f.name) for k, f in enumerate(schema.fields)], errors.alias("errors"))
+    keep, fields = keep or [], list(enumerate(schema.fields))
+    raw, value = lambda k: F.col(f"raw._{k}"), lambda k: F.col(f"value._{k}")
+    rows = records.select(*keep, "record", once(F.struct(*[source_of(f).alias(f"_{k}") for k, f in fields])).alias("raw"))
+    rows = rows.select(*keep, "record", "raw", once(F.struct(*[value_of(f, raw(k)).cast(f.spark).alias(f"_{k}") for k, f in fields])).alias("value"))
+    # without nulls; no two faults have one text
+    errors = F.array_except(F.array(*[fault_of(f, raw(k), value(k)) for k, f in fields]), F.array(F.lit(None).cast("string")))
+    blank = lambda f, k: F.nullif(value(k), F.lit("")) if f.kind == "STRING" else value(k)
+    return rows.select(*keep, *[blank(f, k).alias(f.name) for k, f in fields], once(errors).alias("errors"))
 
 
 class ValidationError(ValueError):
