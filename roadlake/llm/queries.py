@@ -80,8 +80,12 @@ p AS (SELECT d.*, source_size, target, CAST(coalesce(sum(size) OVER (PARTITION B
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 c AS (SELECT *, (CASE WHEN begun + CAST(size AS DOUBLE) / 2 <= target THEN 1 ELSE 0 END)
   + (CASE WHEN size > 0 AND begun + source_size + CAST(size AS DOUBLE) / 2 <= target THEN 1 ELSE 0 END)
-  + (CASE WHEN size > 0 AND begun + 2 * source_size + CAST(size AS DOUBLE) / 2 <= target THEN 1 ELSE 0 END) AS copies FROM p)
-SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(size * copies AS BIGINT) AS taken, CAST(copies AS INTEGER) AS copies FROM c
+  + (CASE WHEN size > 0 AND begun + 2 * source_size + CAST(size AS DOUBLE) / 2 <= target THEN 1 ELSE 0 END) AS copies FROM p),
+g AS (SELECT source, max(target) - CAST(sum(size * copies) AS BIGINT) AS gap FROM c GROUP BY source),
+f AS (SELECT c.*, gap, size > 0 AND 2 * size <= abs(gap) AND CASE WHEN gap > 0 THEN copies < 3 ELSE copies > 0 END AS fits FROM c JOIN g ON c.source IS NOT DISTINCT FROM g.source),
+r AS (SELECT *, CAST(coalesce(sum(CASE WHEN fits THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY k, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS passed FROM f),
+m AS (SELECT *, copies + CASE WHEN fits AND passed + size <= abs(gap) THEN CASE WHEN gap > 0 THEN 1 ELSE -1 END ELSE 0 END AS final FROM r)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(size * final AS BIGINT) AS taken, CAST(final AS INTEGER) AS copies FROM m
 """
 
 

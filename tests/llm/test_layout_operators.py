@@ -86,7 +86,7 @@ def test_mix_meets_its_targets(spark):
     want = water_fill({s: sizes[s] for s in names}, [(5, 2, 1)[k % 3] for k in range(len(names))], 3)
     for name, own in got.groupby(got.source.fillna("~")):
         assert np.isclose(own.target.iloc[0], want[name]) and (own.source_size == sizes[name]).all()
-        assert abs(own.taken.sum() - want[name]) <= own["size"].max() / 2 + 1e-6
+        assert abs(own.taken.sum() - want[name]) <= max(own["size"].max() / 4, 4)
     assert (got.taken <= 3 * got["size"]).all() and (got.taken == got["size"] * got.copies).all()
     assert all(0 <= p <= 1 for ps in got.positions for p in ps) and all(list(ps) == sorted(ps) for ps in got.positions)
     key = ["doc_id", "size", "target", "taken"]
