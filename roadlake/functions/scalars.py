@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: What Python's str.strip takes off, as a regular expression class.
 SPACE = r"[\s\x1c-\x1f\x85\xa0  -     　]"
 ISO_WITH_OFFSET = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?([Zz]|[+-]\d{2}:?\d{2})$"
-TIMESPAN = r"^(?:(\d+)\.)?(\d{2}):(\d{2}):(\d{2})(?:\.(\d{1,7}))?$"
+TIMESPAN = r"^(?:\d+\.)?(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d(?:\.\d{1,7})?$"
 
 
 def strip(text: Column) -> Column:
@@ -17,25 +19,27 @@ def strip(text: Column) -> Column:
 
 
 def timespan_micros(text: Column) -> Column:
-    """Microseconds of ``[d.]hh:mm:ss[.f{1,7}]``; hours to 23, minutes and seconds to 59; a seventh digit is cut off."""
-    group = lambda k: F.regexp_extract(text, TIMESPAN, k)
-    number = lambda k: F.coalesce(F.nullif(group(k), F.lit("")).cast("bigint"), F.lit(0))
-    micros = F.rpad(F.substring(F.rpad(group(5), 7, "0"), 1, 6), 6, "0").cast("bigint")
-    total = (((number(1) * 24 + number(2)) * 60 + number(3)) * 60 + number(4)) * 1_000_000 + F.coalesce(micros, F.lit(0))
-    return F.when(text.rlike(TIMESPAN) & (number(2) <= 23) & (number(3) <= 59) & (number(4) <= 59), total)
+    """Microseconds of ``[d.]hh:mm:ss[.f{1,7}]``; hours to 23, minutes and seconds to 59; a seventh digit is cut off.
+
+    One pattern checks the grammar; the parts are then cut at fixed characters, which costs less than more patterns."""
+    parts = F.split(text, ":")
+    first, last = F.get(parts, F.lit(0)), F.get(parts, F.lit(2))
+    number = lambda x: x.try_cast("bigint")
+    dotted = lambda x, found: F.when(F.contains(x, F.lit(".")), found).otherwise(F.lit(0).cast("bigint"))
+    days = dotted(first, number(F.substring_index(first, ".", 1)))
+    hours, minutes, seconds = number(F.substring_index(first, ".", -1)), number(F.get(parts, F.lit(1))), number(F.substring_index(last, ".", 1))
+    micros = dotted(last, number(F.rpad(F.substring_index(last, ".", -1), 6, "0")))
+    total = (((days * 24 + hours) * 60 + minutes) * 60 + seconds) * 1_000_000 + micros
+    return F.when(text.rlike(TIMESPAN), total)
 
 
 def micros_to_interval(micros: Column) -> Column:
-    seconds = (micros.cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(20,0)")).cast("decimal(18,6)")
-    return F.when(micros.isNotNull(), F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds))
+    return F.lit(timedelta(microseconds=1)) * micros
 
 
 def interval_to_micros(interval: Column) -> Column:
     """For comparing with engines that hold durations as whole microseconds."""
-    days = F.extract(F.lit("DAY"), interval).cast("bigint")
-    hours = F.extract(F.lit("HOUR"), interval).cast("bigint")
-    minutes = F.extract(F.lit("MINUTE"), interval).cast("bigint")
-    return ((days * 24 + hours) * 60 + minutes) * 60_000_000 + (F.extract(F.lit("SECOND"), interval) * 1_000_000).cast("bigint")
+    return F.unix_micros(F.timestamp_seconds(F.lit(0)) + interval)
 
 
 def timespan(text: Column) -> Column:
