@@ -6,6 +6,7 @@ whole microseconds.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -19,6 +20,7 @@ from roadlake.plans import bisection, requests, windows
 from roadlake.schema import parse
 from roadlake.sources import writers
 from roadlake.staging import shared_dir
+from roadlake.streaming import feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -150,19 +152,20 @@ def walk_pages(spark: SparkSession, sf_dir: str, body: Callable[[Column], Column
 
 
 def items(n: Column, no: Column) -> Column:
-    """n records with text ids that grow along the walk."""
-    return F.transform(F.sequence(F.lit(1), F.lit(2)), lambda k: F.struct(F.concat(F.lit("i"), no, F.lit("-"), k).alias("id"))) if n is None else F.filter(F.transform(F.sequence(F.lit(1), F.lit(2)), lambda k: F.struct(F.concat(F.lit("i"), no, F.lit("-"), k).alias("id"), k.alias("k"))), lambda x: x["k"] <= n)
+    """n of two records with text ids that grow along the walk."""
+    both = F.transform(F.sequence(F.lit(1), F.lit(2)), lambda k: F.struct(F.concat(F.lit("i"), no, F.lit("-"), k).alias("id"), k.alias("k")))
+    return F.filter(both, lambda x: x["k"] <= n)
 
 
 @query(WALK.format("WHEN page_seq + 1 <> coalesce(before + 1, 0) + 1 THEN 'page missing before this one' WHEN last AND page_seq < 9 THEN 'walk ends before the total' WHEN last AND 2 * n <> 20 THEN 'records do not add up to the total'"))
 def walk_audit_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = walk_pages(spark, sf_dir, lambda no: F.struct(items(None, no).alias("data"), F.struct((no + 1).alias("page_no"), F.lit(2).alias("per_page"), F.lit(20).alias("total")).alias("pagination")), "page_no", lambda no: (no + 1).cast("string"))
+    pages = walk_pages(spark, sf_dir, lambda no: F.struct(items(F.lit(2), no).alias("data"), F.struct((no + 1).alias("page_no"), F.lit(2).alias("per_page"), F.lit(20).alias("total")).alias("pagination")), "page_no", lambda no: (no + 1).cast("string"))
     return audit.offset_walk(pages, "data").select("chain_id", "page_seq", "fault")
 
 
 @query(WALK.format("WHEN page_seq > 0 AND before IS NULL OR before <> page_seq - 1 THEN 'request does not continue the page before' WHEN last AND page_seq < 9 THEN 'walk ends before the last page'"))
 def walk_audit_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = walk_pages(spark, sf_dir, lambda no: F.struct(items(None, no).alias("data"), F.struct(F.when(no < 9, F.concat(F.lit("c"), no)).otherwise("").alias("endCursor"), (no < 9).alias("hasNextPage")).alias("pagination")), "after", lambda no: F.when(no > 0, F.concat(F.lit("c"), no - 1)))
+    pages = walk_pages(spark, sf_dir, lambda no: F.struct(items(F.lit(2), no).alias("data"), F.struct(F.when(no < 9, F.concat(F.lit("c"), no)).otherwise("").alias("endCursor"), (no < 9).alias("hasNextPage")).alias("pagination")), "after", lambda no: F.when(no > 0, F.concat(F.lit("c"), no - 1)))
     return audit.cursor_walk(pages).select("chain_id", "page_seq", "fault")
 
 
@@ -490,8 +493,6 @@ def roster_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    import uuid
-
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
@@ -538,8 +539,6 @@ FEED_PAGES = 500
 @query("SELECT 'i' || event_id AS id, epoch_us(ts) AS date_time_us, CAST(CAST(ts AS DATE) AS VARCHAR) AS date FROM events")
 def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of a feed landed in two lots, streamed in two runs and a third that finds nothing new."""
-    from roadlake.streaming import feed
-
     spec, landed, root = catalog.CATALOG["geotab.log_records"], fresh_path(spark, "landed"), fresh_path(spark, "stored")
     record = F.struct(F.concat(F.lit("i"), "event_id").alias("id"), iso("ts").alias("dateTime"), F.struct(F.col("user_id").cast("string").alias("id")).alias("device"), F.col("value").alias("latitude"), F.col("value").alias("longitude"), F.lit(1.0).alias("speed"))
     pages = packed(table(spark, sf_dir, "events"), F.floor(F.col("event_id") / FEED_PAGES), record, lambda x: F.struct(F.struct(x.alias("data"), F.lit("v").alias("toVersion")).alias("result")))
