@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from string import ascii_uppercase
 
 import numpy as np
 
@@ -10,9 +11,9 @@ BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MORE = ["n_chars", "n_lines", "n_distinct", "n_upper", "n_exclaim", "n_digits", "n_stops"]
 #: n_distinct adds up the different words of blocks of so many words: over a whole text their share falls with length.
 BLOCK = 256
-SYMBOLS = "#*$%&|<>"
-UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]")
-DIGIT = re.compile(r"[0-9]")
+SYMBOLS = b"#*$%&|<>"
+#: UTF-8 of the capitals À-Ö and Ø-Þ.
+ACCENTED = re.compile(rb"\xc3[\x80-\x96\x98-\x9e]")
 
 
 def repeat_words(found: list[bytes], width: int = 8) -> int:
@@ -46,6 +47,11 @@ def dup_lines(text: str) -> tuple[int, int]:
     return len(lines), len(lines) - len(set(lines))
 
 
+def count(raw: bytes, some: bytes) -> int:
+    """How many bytes of a text are among ``some`` ASCII characters."""
+    return len(raw) - len(raw.translate(None, some))
+
+
 def statistics(text: str | None) -> list[int]:
     """The values of BASE and MORE for a text; null counts as empty."""
     text = text or ""
@@ -55,16 +61,16 @@ def statistics(text: str | None) -> list[int]:
     return [
         len(found),
         len(text) - len(raw) + sum(map(len, found)),
-        sum(map(text.count, SYMBOLS)),
+        count(raw, SYMBOLS),
         dups,
         repeat_words(found),
         len(text),
         lines,
         sum(len(set(found[at : at + BLOCK])) for at in range(0, len(found), BLOCK)),
-        len(UPPER.findall(text)),
-        text.count("!"),
-        len(DIGIT.findall(text)),
-        sum(map(text.count, ".?")),
+        count(raw, ascii_uppercase.encode()) + (0 if raw.isascii() else len(ACCENTED.findall(raw))),
+        raw.count(b"!"),
+        count(raw, b"0123456789"),
+        count(raw, b".?"),
     ]
 
 
