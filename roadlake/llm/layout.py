@@ -24,17 +24,25 @@ def block_of(key: Column) -> Column:
     return F.floor(F.conv(F.substring(key, 1, 4), 16, 10).cast("int") / (65536 // BLOCKS)).cast("int")
 
 
-def before(rows: DataFrame, by: list[str], order: list[str], amount: Column, name: str) -> DataFrame:
+def before(rows: DataFrame, by: list[str], order: list[str], amount: Column, name: str, facts: DataFrame | None = None) -> DataFrame:
     """``rows`` with ``name``: the sum of ``amount`` over the rows before each one of its group ``by`` in the order
-    (block, *order). ``rows`` has a column block and should be staged, as it is read twice; ``by`` has no nulls."""
+    (block, *order), and with the columns of ``facts``, one row per group. ``rows`` has a column block and should be staged,
+    as it is read twice; ``by`` has no nulls. All rows are dealt by group and block, never by group alone."""
     totals = rows.groupBy(*by, "block").agg(F.sum(amount).alias("_total"))
     order_of_blocks = Window.partitionBy(*by).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*by, "block", F.coalesce(F.sum("_total").over(order_of_blocks), F.lit(0)).alias("_offset"))
+    offsets = offsets if facts is None else offsets.join(facts, by)
     inside = Window.partitionBy(*by, "block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = rows.withColumn("_local", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
     return local.join(offsets, [*by, "block"]).withColumn(name, F.col("_offset") + F.col("_local")).drop("_offset", "_local")
 
 
+def with_facts(rows: DataFrame, by: list[str], facts: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``facts``, one row per group; met block by block, so that a hot group is many keys."""
+    blocks = rows.groupBy(*by, "block").agg(F.count("*").alias("_n")).drop("_n").join(facts, by)
+    return rows.join(blocks, [*by, "block"])
+
+
 def named_source(source: Column) -> list[Column]:
     """A source as two columns without nulls, in code point order with null last."""
     return [source.isNull().cast("int").alias("no_source"), F.coalesce(source.cast("string"), F.lit("")).alias("source_name")]

@@ -26,11 +26,11 @@ def shard(docs: DataFrame, shards: int = 40, seed: int = 8) -> DataFrame:
     )
     own = ["no_source", "source_name"]
     ties = ["key", "doc_id", "text_crc32", "size"]
-    ranked = layout.before(rows, own, ties, F.lit(1), "rank").join(rows.groupBy(*own).agg(F.count("*").alias("n")), own)
+    ranked = layout.before(rows, own, ties, F.lit(1), "rank", rows.groupBy(*own).agg(F.count("*").alias("n")))
     share = (F.col("rank") + 0.5) / F.col("n")
     mixed = common.staged(ranked.select("doc_id", "size", "text_crc32", "key", *own, share.alias("share"), F.floor(share * layout.BLOCKS).cast("int").alias("block"), F.lit(0).alias("all")))
-    total = rows.agg(F.count("*").alias("total"))
-    placed = layout.before(mixed, ["all"], ["share", "key", *own, "doc_id", "text_crc32", "size"], F.lit(1), "at").join(F.broadcast(total.withColumn("all", F.lit(0))), "all")
+    total = rows.groupBy(F.lit(0).alias("all")).agg(F.count("*").alias("total"))
+    placed = layout.before(mixed, ["all"], ["share", "key", *own, "doc_id", "text_crc32", "size"], F.lit(1), "at", total)
     found = placed.select("doc_id", "size", "text_crc32", "at", "total", F.expr(f"cast((at * {shards}) div total as int)").alias("shard"))
     start = F.expr(f"(cast(shard as bigint) * total + {shards - 1}) div {shards}")
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", (F.col("at") - start).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
