@@ -34,12 +34,13 @@ def shingles(text: str | None, width: int) -> list[bytes]:
 def bit_counts(rows: np.ndarray) -> np.ndarray:
     """How many of the rows (n, lanes) of 64-bit words have each bit set; bit 0 of the first word first.
 
-    Carry-save adders fold three rows of one weight into a row of that weight and one of twice it, until few are left.
+    Carry-save adders fold three rows of one weight into a row of that weight and one of twice it, until few words are
+    left, which are counted bit by bit.
     """
-    total, weight = np.zeros(64 * rows.shape[1], np.int64), 1
+    total, weight, few = np.zeros(64 * rows.shape[1], np.int64), 1, max(8, 400 // rows.shape[1])
     while len(rows):
         carries = []
-        while len(rows) > 24:
+        while len(rows) > few:
             m = len(rows) // 3
             a, b, c = rows[:m], rows[m : 2 * m], rows[2 * m : 3 * m]
             u = a ^ b
