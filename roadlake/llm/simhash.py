@@ -302,7 +302,7 @@ def groups(docs: DataFrame, radius: int = 2, width: int = 3, lanes: int = 1, key
 
 #: Five-word shingles at a similarity of 0.8: equal sets overlap by 2 J / (1 + J) = 0.89 of their size, so the angle
 #: between them makes 15 % of bits differ, 155 of 1024 with a deviation of 12. The radius is a deviation above.
-SIMILAR = {"radius": 168, "width": 5, "lanes": 16, "keys": shared_keys(8), "distinct": True, "tile": 4096}
+SIMILAR = {"radius": 168, "width": 5, "lanes": 16, "keys": shared_keys(8), "distinct": True, "tile": 512}
 
 
 def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
