@@ -136,6 +136,30 @@ def test_similar_texts_lose_all_but_the_first(spark):
     assert {r["doc_id"] for r in kept.collect()} == set(range(12)) | set(range(24, 36))
 
 
+def test_near_dedup_links_exactly_the_similar(spark):
+    rng = random.Random(4)
+    texts = []
+    for shared in range(160, 190):  # of 200 shingles each: J from 0.67 to 0.90
+        base = words(rng, 204).split()
+        texts += [" ".join(base), " ".join(base[: shared + 4] + words(rng, 200 - shared).split())]
+    for _ in range(40):  # of 4 and 5 shingles: J = 0.8
+        base = words(rng, 9).split()
+        texts += [" ".join(base[:8]), " ".join(base)]
+    hub = words(rng, 204).split()  # more than 32 of one block, at about 0.8 to their first, less to one another
+    texts += [" ".join(hub)] + [" ".join(hub[: 180 + k % 4] + words(rng, 24 - k % 4).split()) for k in range(80)]
+    sets = [set(simhash.shingles(t, 5)) for t in texts]
+    low = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+                low = [min(low[a], low[b]) if x in (low[a], low[b]) else x for x in low]
+    assert 0 < sum(low[2 * k + 1] == 2 * k for k in range(30)) < 30 and all(low[2 * k + 1] == 2 * k for k in range(30, 70))
+    docs = documents(spark, texts)
+    for more in ({}, {"tile": 16}):
+        got = {r["doc_id"]: r["component_id"] for r in simhash.groups(docs, **simhash.SIMILAR | more).collect()}
+        assert got == dict(enumerate(low))
+
+
 def test_packing_is_an_exact_cut(spark):
     from tokenizers import Tokenizer
 
