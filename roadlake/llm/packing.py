@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +17,9 @@ SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, seque
 class Encoder:
     """Token ids as little-endian unsigned 32-bit bytes.
 
-    No token of this vocabulary spans a single space that stands between two other characters, so texts are cut
-    there and each piece's ids are kept in a dictionary of bounded size. Texts with neighbouring spaces or with a
-    special token's string take the tokenizer's whole path.
+    Texts are cut before single spaces and each piece's ids are kept in a dictionary of bounded size. Only a token with
+    a space after its first byte can span such a cut: texts that hold one's bytes, neighbouring spaces or a special
+    token's string take the tokenizer's whole path.
     """
 
     def __init__(self, path: str, kept: int = 400_000):
@@ -32,10 +32,18 @@ class Encoder:
 
             with open(path[: -len("json")] + "tiktoken", "rb") as lines:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+            self.spanning = spanning(ranks)
             self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    def spans(self, text: str) -> bool:
+        whole, cut = self.spanning
+        if any(x in text for x in whole):
+            return True
+        raw = text.encode() if cut else b""
+        return any(x in raw for x in cut)
+
     def __call__(self, text: str) -> bytes:
-        if self.fast is None or "  " in text or "<|endoftext|>" in text:
+        if self.fast is None or "  " in text or "<|endoftext|>" in text or self.spans(text):
             return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         first, *rest = text.split(" ")
         parts = ([first] if first else []) + [" " + x for x in rest]
@@ -51,6 +59,17 @@ class Encoder:
             return b"".join([ids[x] for x in parts])
 
 
+def spanning(tokens: Iterable[bytes]) -> tuple[list[str], list[bytes]]:
+    """The shortest strings, and bytes that are no whole characters, of which every token with a space after its first
+    byte and without neighbouring spaces holds one."""
+    found: list[bytes] = []
+    for token in sorted((x for x in tokens if b" " in x[1:] and b"  " not in x), key=len):
+        if not any(x in token for x in found):
+            found.append(token)
+    text = [x for x in found if x.decode(errors="ignore").encode() == x]
+    return [x.decode() for x in text], [x for x in found if x not in text]
+
+
 class Bins:
     """Open bins in a bitset keyed by free space: bit f is set while a bin with f free tokens is open.
 

@@ -178,6 +178,19 @@ def test_packing_is_an_exact_cut(spark):
     assert got.sequence_id.nunique() <= -(-got.length.sum() // 2048) * 1.1 + 4
 
 
+def test_packing_keeps_tokens_that_span_spaces(spark):
+    from tokenizers import Tokenizer
+
+    rng, gaps = random.Random(5), [" ", "\u00a0", "\n", "\t", "\u2003", "\u3000", "a"]
+    runs = ["".join(rng.choices(gaps, k=rng.randint(1, 9))) for _ in range(300)]
+    texts = ["foo" + " \u00a0" * k + " bar" for k in range(1, 20)] + ["foo" + x + "bar" for x in runs]
+    got = packing.pack(documents(spark, texts), TOKENIZER).toPandas().set_index("doc_id")
+    full = Tokenizer.from_file(TOKENIZER)
+    for k, text in enumerate(texts):
+        ids = np.array([*full.encode(text, add_special_tokens=False).ids, 0], "<u4").tobytes()
+        assert (got.length[k], got.ids_crc32[k]) == (len(ids) // 4, zlib.crc32(ids)), text
+
+
 def test_bins_close_the_fullest_and_take_the_best_fit():
     bins = packing.Bins(10, 2)
     assert [bins.place(n) for n in (6, 7, 3, 8, 2, 4)] == [(0, 0), (1, 0), (1, 7), (2, 0), (2, 8), (0, 6)]
