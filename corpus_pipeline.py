@@ -29,7 +29,7 @@ def ruled(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup over five-word shingles at a similarity of 0.8: the first document of each group stays."""
-    return simhash.keep_first(docs, simhash.groups(docs, **simhash.SIMILAR))
+    return simhash.first_of_groups(docs, **simhash.SIMILAR)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

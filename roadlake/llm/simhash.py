@@ -445,3 +445,16 @@ def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
     ``found`` is what groups() returns. Of repeated rows of one doc_id all stay or none.
     """
     return docs.join(found.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti")
+
+
+def first_of_groups(docs: DataFrame, **how) -> DataFrame:
+    """``docs`` (doc_id, text and others) with one row of each near-duplicate group of groups(**how): the first by doc_id,
+    null last, then in the order in which they were read.
+
+    Rows are numbered as they are staged and grouped by number, so null and repeated ids do no harm.
+    """
+    rows = common.staged(docs.withColumn("_row_no", F.monotonically_increasing_id()))
+    found = groups(rows.select(F.col("_row_no").alias("doc_id"), "text"), **how).select(F.col("doc_id").alias("_row_no"), "component_id")
+    named = found.join(rows.select("_row_no", "doc_id"), "_row_no")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "_row_no")).alias("first"))
+    return rows.join(first.select(F.col("first._row_no").alias("_row_no")), "_row_no", "left_semi").select(*docs.columns)

@@ -160,6 +160,17 @@ def test_near_dedup_links_exactly_the_similar(spark):
         assert got == dict(enumerate(low))
 
 
+def test_one_row_of_each_group_stays(spark):
+    import corpus_pipeline
+
+    a, b, c, d = (words(random.Random(k), 60) for k in range(4))
+    rows = [(None, a), (None, a), (5, b), (5, b), (5, b), (7, c), (9, c), (9, d), (None, d), (8, None), (None, "")]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], SCHEMA).withColumn("_number", F.lit(1))
+    kept = corpus_pipeline.deduplicated(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted((r["text"] or "", r["doc_id"] or -1) for r in kept.collect()) == sorted([(a, -1), (b, 5), (c, 7), (d, 9), ("", 8)])
+
+
 def test_packing_is_an_exact_cut(spark):
     from tokenizers import Tokenizer
 
