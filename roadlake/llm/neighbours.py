@@ -104,16 +104,18 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, trees: int = 8, le
     and leaf at most.
 
     Vectors that are null, empty, all zero, of a rarer length, or hold null or non-finite components take no part, nor
-    do rows without vec_id; they have no result rows. Of repeated vec_ids each counts as a candidate, and a query's
-    own id is left out whole. With fewer than k candidates all are returned. An empty table gives no rows. Extra
-    columns are not read.
+    do rows without vec_id; they have no result rows. Repeated rows count once. A vec_id of several vectors has them all:
+    it asks with each and is a neighbour once, by the nearest. A query's own id is left out whole, before the cut to k.
+    With fewer than k candidates all are returned. An empty table gives no rows. Extra columns are not read.
     """
     rows = common.staged(usable(vectors))
     kind = rows.schema["embedding"].dataType.simpleString()
     by_vector = Window.partitionBy("embedding").orderBy("vec_id")
-    kept = rows.withColumn("_n", F.row_number().over(by_vector)).where(F.col("_n") <= k + 1)
-    entries = common.staged(kept.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).withColumn("entry", F.element_at("ids", 1)))
-    picked = entries.select("entry", "embedding").orderBy(F.xxhash64("entry"), "entry").limit(sample).toArrow()
+    kept = rows.dropDuplicates(["vec_id", "embedding"]).withColumn("_n", F.row_number().over(by_vector)).where(F.col("_n") <= k + 1)
+    entries = kept.groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    # several vectors can have one smallest id, so entries are named by numbers
+    entries = common.staged(entries.select("*", F.monotonically_increasing_id().alias("entry"), F.element_at("ids", 1).alias("low"), (F.size("ids") == 1).alias("alone")))
+    picked = entries.select("low", "embedding").orderBy(F.xxhash64("low"), "low", "embedding").limit(sample).toArrow()
     if picked.num_rows == 0:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     points, count = matrix(picked["embedding"].combine_chunks()), entries.count()
@@ -124,9 +126,9 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, trees: int = 8, le
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 again = part.take(pa.array(np.repeat(np.arange(part.num_rows), trees)))
-                yield pa.RecordBatch.from_arrays([pa.array(forest.leaves(matrix(part.column(1))).ravel()), *again.columns], ["leaf", "entry", "embedding"])
+                yield pa.RecordBatch.from_arrays([pa.array(forest.leaves(matrix(part.column(1))).ravel()), *again.columns], ["leaf", "entry", "embedding", "low", "alone"])
 
-    places = common.staged(entries.select("entry", "embedding").mapInArrow(indexed, f"leaf long, entry long, embedding {kind}"))
+    places = common.staged(entries.select("entry", "embedding", "low", "alone").mapInArrow(indexed, f"leaf long, entry long, embedding {kind}, low long, alone boolean"))
     # one row per leaf: bounded by the forest's size
     sizes = {r["leaf"]: r["n"] for r in places.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
     weight = np.array([sizes.get(i, 0) for i in range(trees * 2**forest.depth)], float)
@@ -140,7 +142,7 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, trees: int = 8, le
                 again = part.take(pa.array(np.repeat(np.arange(part.num_rows), [len(x) for x in found])))
                 yield pa.RecordBatch.from_arrays([pa.array([x for own in found for x in own], pa.int64()), *again.columns], ["leaf", "entry", "embedding"])
 
-    asking = common.staged(rows.where(F.col("vec_id") % every == 0).join(entries.select("embedding", "entry"), "embedding").select(F.col("vec_id").alias("query_id"), "entry"))
+    asking = common.staged(rows.where(F.col("vec_id") % every == 0).join(entries.select("embedding", "entry"), "embedding").select(F.col("vec_id").alias("query_id"), "entry").distinct())
     wanted = asking.select("entry").distinct().join(entries.select("entry", "embedding"), "entry")
     asked = wanted.select("entry", "embedding").mapInArrow(visited, f"leaf long, entry long, embedding {kind}")
 
@@ -150,21 +152,35 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, trees: int = 8, le
     right = asked.withColumn("part", F.explode(F.sequence(F.lit(0), parts.cast("int") - 1)))
 
     def nearest(own: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
+        """The nearest entries up to k + 1 different smallest ids; nothing beyond can be among k nearest ids. Of entries of
+        one id, only the nearest is of use."""
         if own.empty or ask.empty:
-            return pd.DataFrame({"query": np.empty(0, int), "entry": np.empty(0, int), "distance": np.empty(0)})
-        own = own.sort_values("entry")
+            return pd.DataFrame({"query": np.empty(0, int), "entry": np.empty(0, int), "low": np.empty(0, int), "distance": np.empty(0)})
+        own = own.sort_values(["low", "entry"])
         x, ids, out = np.stack(own["embedding"].to_numpy()).astype(float), own["entry"].to_numpy(), []
+        lows, alone = own["low"].to_numpy(), own["alone"].to_numpy()
         for name, point in zip(ask["entry"].to_numpy(), np.stack(ask["embedding"].to_numpy()).astype(float)):
             distance = np.sqrt(((x - point) ** 2).sum(1))
-            best = np.argsort(distance, kind="stable")[: k + 1]
-            out.append((np.full(len(best), name), ids[best], distance[best]))
-        return pd.DataFrame({"query": np.concatenate([x[0] for x in out]), "entry": np.concatenate([x[1] for x in out]), "distance": np.concatenate([x[2] for x in out])})
-
-    found = left.groupBy("leaf", "part").cogroup(right.groupBy("leaf", "part")).applyInPandas(nearest, "query long, entry long, distance double")
+            order, most = np.argsort(distance, kind="stable"), k + 1
+            while True:
+                firsts = np.unique(lows[order[:most]], return_index=True)[1]
+                if len(firsts) > k or most >= len(order):
+                    break
+                most *= 2
+            best = order[: min(most, np.sort(firsts)[: k + 1][-1] + 1)]
+            new = np.zeros(len(order), bool)
+            new[firsts] = True
+            best = best[new[: len(best)] | ~alone[best]]
+            out.append((np.full(len(best), name), ids[best], lows[best], distance[best]))
+        return pd.DataFrame({c: np.concatenate([x[k] for x in out]) for k, c in enumerate(("query", "entry", "low", "distance"))})
+
+    found = left.groupBy("leaf", "part").cogroup(right.groupBy("leaf", "part")).applyInPandas(nearest, "query long, entry long, low long, distance double")
+    found = common.staged(found.dropDuplicates(["query", "entry"]))
     by_query = Window.partitionBy("query")
-    best = found.dropDuplicates(["query", "entry"]).withColumn("_r", F.row_number().over(by_query.orderBy("distance", "entry"))).where(F.col("_r") <= k + 1)
-    pairs = best.join(entries.select("entry", "ids"), "entry").select("query", "distance", F.explode("ids").alias("vec_id"))
+    far = found.groupBy("query", "low").agg(F.min("distance").alias("distance")).withColumn("_r", F.row_number().over(by_query.orderBy("distance", "low"))).where(F.col("_r") <= k + 1)
+    best = found.join(far.groupBy("query").agg(F.max("distance").alias("far")), "query").where(F.col("distance") <= F.col("far"))
+    pairs = best.join(entries.select("entry", "ids"), "entry").select("query", "distance", F.explode("ids").alias("vec_id")).groupBy("query", "vec_id").agg(F.min("distance").alias("distance"))
     pairs = common.staged(pairs.withColumn("_r", F.row_number().over(by_query.orderBy("distance", "vec_id"))).where(F.col("_r") <= k + 1).drop("_r"))
-    answers = asking.join(pairs, F.col("entry") == F.col("query")).where("vec_id <> query_id")
+    answers = asking.join(pairs, F.col("entry") == F.col("query")).where("vec_id <> query_id").groupBy("query_id", "vec_id").agg(F.min("distance").alias("distance"))
     ranked = answers.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "vec_id"))).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.col("distance").alias("score"))

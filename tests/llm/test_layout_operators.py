@@ -35,6 +35,25 @@ def test_neighbours_match_brute_force(spark):
     assert hits >= 0.9 * 170 and {r["query_id"] for r in got} == set(range(0, 850, 50))
 
 
+def test_neighbours_of_repeated_rows(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(200, 8)).astype(np.float32)
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    rows += 2 * [rows[0]] + 14 * [rows[50]] + 5 * [rows[51]]
+    rows += [(100, (x[100] + d / 1000).tolist()) for d in range(1, 15)] + [(7, (x[150] + d / 1000).tolist()) for d in range(1, 15)]
+    rows += [(k, x[150].tolist()) for k in range(300, 330)]
+    got = neighbours.search(vectors(spark, [(k, v, 0) for k, v in rows]), every=50, k=10, leaf=64, tile=32, visit=1e9).collect()
+    ids, points = np.array([k for k, _ in rows]), np.array([v for _, v in rows], np.float32).astype(float)
+    for q in (0, 50, 100, 150, 300):
+        near = {}
+        for point in points[ids == q]:
+            for k, d in zip(ids.tolist(), np.sqrt(((points - point) ** 2).sum(1)).tolist()):
+                near[k] = min(d, near.get(k, d))
+        want = sorted((d, k) for k, d in near.items() if k != q)[:10]
+        assert [(r["score"], r["vec_id"]) for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])] == want
+    assert len(got) == 50
+
+
 def test_few_and_no_vectors(spark):
     few = neighbours.search(vectors(spark, [(0, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [1.0, 0.0], 0)]), every=2, k=10).collect()
     assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in few) == [(0, 1, 2), (0, 2, 1), (2, 1, 0), (2, 2, 1)]
