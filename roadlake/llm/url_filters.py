@@ -46,8 +46,10 @@ def judge(captures: DataFrame, entries: DataFrame, bucket_days: int = 30) -> Dat
 
     Intervals are cut at bucket borders, within the span of all fetches, so that the as-of condition is an equality on
     (key, bucket) and a comparison: a capture meets only the few intervals of its own days, and a host of a third of all
-    captures is dealt further by adaptive skew handling, as both sides are plain staged tables. Only the first and last
-    fetch time reach the driver.
+    captures is dealt further by adaptive skew handling, as both sides are plain staged tables. Of the captures, only the
+    first and last fetch time reach the driver.
+
+    URLs give as many path prefixes as the deepest key of the lists has segments; that number reaches the driver too.
 
     The verdict depends on URL and time alone: it is found once for each pair and joined back. Null URLs or times,
     and URLs without a host, match nothing. Repeated rows are judged each; empty tables give no rows, or none
@@ -58,8 +60,9 @@ def judge(captures: DataFrame, entries: DataFrame, bucket_days: int = 30) -> Dat
     span = own.agg(F.min("fetched_at").alias("a"), F.max("fetched_at").alias("b")).first()
     valid = intervals(entries).withColumn("first", F.greatest("valid_from", F.lit(span["a"]).cast("timestamp"))).withColumn("last", F.least("valid_to", F.lit(span["b"]).cast("timestamp")))
     listed = common.staged(valid.where("first <= last").select("list_name", "key", "valid_from", "valid_to", F.explode(F.sequence(bucket(F.col("first")), bucket(F.col("last")))).alias("bucket")))
+    deepest = listed.agg(F.max(F.size(F.split("key", "/")) - 1)).first()[0]
     asked = own.where("url is not null and fetched_at is not null").select("url", "fetched_at").distinct()
-    asked = asked.select("url", "fetched_at", F.explode(keys_of(F.col("url"))).alias("key"), bucket(F.col("fetched_at")).alias("bucket"))
+    asked = asked.select("url", "fetched_at", F.explode(keys_of(F.col("url"), max(1, deepest or 1))).alias("key"), bucket(F.col("fetched_at")).alias("bucket"))
     active = (F.col("valid_from") <= F.col("fetched_at")) & (F.col("valid_to").isNull() | (F.col("fetched_at") < F.col("valid_to")))
     met = asked.join(listed, ["key", "bucket"]).where(active)
     verdict = met.groupBy("url", "fetched_at").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("list_name")).alias("lists"), F.max(F.struct(F.length("key"), "key"))["key"].alias("matched_key"))

@@ -312,6 +312,14 @@ def test_url_filters_match_brute_force(spark):
         assert got[page] == (len(hits), ",".join(sorted(set(hits))), bool(hits)), (page, url, when)
 
 
+def test_url_filters_match_deep_paths(spark):
+    at = datetime(2024, 1, 5)
+    urls = ["http://y.org/a/b/c/d/e?x", "http://y.org/a/b/c/d", "http://y.org/a/b/c", "http://y.org/a/b/c/dd", "http://y.org//a/b//c/d/"]
+    entries = spark.createDataFrame([("l", "y.org/a/b/c/d", datetime(2024, 1, 1), True), ("l", "z.org/p", datetime(2024, 1, 1), True)], "list_name string, key string, listed_at timestamp, active boolean")
+    got = url_filters.judge(spark.createDataFrame([(k, u, at) for k, u in enumerate(urls)], "page_id long, url string, fetched_at timestamp"), entries)
+    assert {r["page_id"]: r["matched_key"] for r in got.collect()} == {k: "y.org/a/b/c/d" if k in (0, 1, 4) else None for k in range(5)}
+
+
 def test_url_filters_on_empty_tables(spark):
     captures = spark.createDataFrame([], "page_id long, url string, fetched_at timestamp")
     entries = spark.createDataFrame([], "list_name string, key string, listed_at timestamp, active boolean")
