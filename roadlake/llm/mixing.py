@@ -92,12 +92,13 @@ def plan(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most_epochs: int =
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the plan takes it, range-sorted by training position; same columns.
 
-    A row meets its own plan by doc_id and its number among the rows of that id, so repeated rows are not multiplied.
+    A row meets its own plan by doc_id, text hash and its number among the rows of both, so repeated rows are not
+    multiplied and rows without id are no single group.
     """
-    one = Window.partitionBy("doc_id").orderBy("text_hash", "source")
-    planned = plan(docs, **options).select("doc_id", F.row_number().over(one).alias("n"), "positions").where(F.size("positions") > 0)
+    one = Window.partitionBy("doc_id", "text_hash").orderBy("source")
+    planned = plan(docs, **options).select("doc_id", F.col("text_hash").alias("hash"), F.row_number().over(one).alias("n"), "positions").where(F.size("positions") > 0)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     each = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("source").cast("string").alias("source"), row)
-    each = each.select("id", F.row_number().over(Window.partitionBy("id").orderBy("text_hash", "source")).alias("k"), "row")
-    met = each.join(planned, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("n")))
+    each = each.select("id", "text_hash", F.row_number().over(Window.partitionBy("id", "text_hash").orderBy("source")).alias("k"), "row")
+    met = each.join(planned, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("text_hash") == F.col("hash")) & (F.col("k") == F.col("n")))
     return met.select(F.explode("positions").alias("position"), "id", "row").orderBy("position", "id").select("row.*")
