@@ -98,21 +98,21 @@ def hashes_of(text: str | None, width: int, seed: int, distinct: bool) -> np.nda
 
 
 def fingerprints(docs: DataFrame, width: int = 3, lanes: int = 1, seed: int = 42, keys: Callable = pigeonhole_keys, distinct: bool = False) -> DataFrame:
-    """doc_id, fp array<long> of ``lanes`` words, keys array<long>: one row per row of ``docs`` (doc_id, text).
+    """row, doc_id, fp array<long> of ``lanes`` words, keys array<long>: one row per row of ``docs`` (row, doc_id, text).
 
     ``distinct``: count each different shingle once. Null and empty texts have the zero fingerprint.
     """
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         fps, blocks = [], []
-        for text in batch.column(1):
+        for text in batch.column(2):
             hashes = hashes_of(text.as_py(), width, seed, distinct)
             fp = fingerprint(hashes, lanes)
             fps.append(fp.view(np.int64).tolist())
             blocks.append(keys(fp, hashes).tolist())
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.list_(pa.int64())), pa.array(blocks, pa.list_(pa.int64()))], ["doc_id", "fp", "keys"])
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.list_(pa.int64())), pa.array(blocks, pa.list_(pa.int64()))], ["row", "doc_id", "fp", "keys"])
 
-    return common.map_columns(docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")), one, "doc_id long, fp array<long>, keys array<long>")
+    return common.map_columns(docs.select("row", "doc_id", "text"), one, "row long, doc_id long, fp array<long>, keys array<long>")
 
 
 def within(plane: Callable[[int], np.ndarray], planes: int, radius: int) -> np.ndarray:
@@ -360,12 +360,12 @@ def candidates(batch: pa.RecordBatch, cuts: list[int], radius: int) -> Iterator[
         yield together(small)
 
 
-def similar(nodes: DataFrame, docs: DataFrame, radius: int, width: int, least: float, keys: Callable, tile: int, seed: int = 42) -> DataFrame:
+def similar(nodes: DataFrame, rows: DataFrame, radius: int, width: int, least: float, tile: int, seed: int = 42) -> DataFrame:
     """Edges (a, b) that connect the same nodes as all links of ``nodes`` (node long, fp, keys) that share a key, are
     within ``radius`` and whose different shingles have a Jaccard similarity of ``least`` or more.
 
     Fingerprints only choose what is compared. Nodes that are within the radius of another in a block meet there
-    again with their shingle hashes, made from the texts of ``docs`` (doc_id, text) for these nodes only; no pairs are
+    again with their shingle hashes, made from the texts of ``rows`` (row, text) for these nodes only; no pairs are
     shuffled. Pairs that confirmed links already connect in a block are not compared.
     """
     kept, own = dealt(nodes, tile), nodes.select("node", "fp", "keys")
@@ -380,13 +380,11 @@ def similar(nodes: DataFrame, docs: DataFrame, radius: int, width: int, least: f
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [hashes_of(x.as_py(), width, seed, True) for x in batch.column(1)]
-        blocks = [keys(np.empty(0), x).tolist() for x in found]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(blocks, pa.list_(pa.int64())), pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], ["node", "keys", "hashes"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], ["node", "hashes"])
 
-    texts = docs.select(docs["doc_id"].cast("long").alias("node"), docs["text"].cast("string").alias("text")).join(close.select("node").distinct(), "node")
-    hashed = common.staged(common.map_columns(texts, sets, "node long, keys array<long>, hashes array<long>"))
-    hashed = hashed.groupBy("node", "keys").agg(F.first("hashes").alias("hashes"))
-    again = close.join(own.join(hashed, ["node", "keys"]), "node").where(F.array_contains("keys", F.col("key")))
+    texts = rows.select(F.col("row").alias("node"), "text").join(close.select("node").distinct(), "node")
+    hashed = common.staged(common.map_columns(texts, sets, "node long, hashes array<long>"))
+    again = close.join(own.join(hashed, "node"), "node").where(F.array_contains("keys", F.col("key")))
 
     def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, cuts in whole_blocks(batches):
@@ -417,20 +415,29 @@ def similar(nodes: DataFrame, docs: DataFrame, radius: int, width: int, least: f
 def groups(docs: DataFrame, radius: int = 2, width: int = 3, lanes: int = 1, keys: Callable = pigeonhole_keys, distinct: bool = False, tile: int = 1024, least: float | None = None) -> DataFrame:
     """doc_id, fp array<long>, component_id: near-duplicate groups of all rows of ``docs`` (doc_id, text).
 
-    Rows of one fingerprint are one node, named by its smallest doc_id, so copies are never compared. component_id is
-    the smallest doc_id reachable over links of ``radius`` or fewer differing bits; with ``least``, over those of them
-    whose different shingles have a Jaccard similarity of ``least`` or more.
+    Rows of one fingerprint are one node, so copies are never compared. component_id is the smallest doc_id reachable
+    over links of ``radius`` or fewer differing bits; with ``least``, over those of them whose different shingles have a
+    Jaccard similarity of ``least`` or more.
 
-    Null and empty texts share the zero fingerprint and are linked like any other. Repeated rows are returned each. A
-    null doc_id gets the component of its fingerprint; null only if no row of that fingerprint has an id. An empty
-    table gives no rows. Extra columns are not read.
+    Null and empty texts share the zero fingerprint and are linked like any other. Repeated rows are returned each.
+    Nodes are named by row numbers, so rows of null doc_id link what they are near to; they get the component of what
+    they reach, null only if nothing of it has an id. An empty table gives no rows. Extra columns are not read.
     """
-    prints = common.staged(fingerprints(docs, width, lanes, keys=keys, distinct=distinct))
-    nodes = common.staged(prints.groupBy("fp", "keys").agg(F.min("doc_id").alias("node")))
-    named = nodes.where("node is not null")
-    found = common.components(links(named, radius, tile) if least is None else similar(named, docs, radius, width, least, keys, tile))
-    named = common.staged(nodes.join(found, "node", "left").select("fp", "keys", F.coalesce("component", "node").alias("component_id")))
-    return prints.join(named, ["fp", "keys"]).select("doc_id", "fp", "component_id")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
+    rows = rows if least is None else common.staged(rows)  # their texts are read again by number
+    found = numbered_groups(rows, radius, width, lanes, keys, distinct, tile, least)
+    low = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return found.join(low, "component").select("doc_id", "fp", "component_id")
+
+
+def numbered_groups(rows: DataFrame, radius: int, width: int, lanes: int, keys: Callable, distinct: bool, tile: int, least: float | None) -> DataFrame:
+    """row, doc_id, fp, component (the smallest row number reachable) of ``rows`` (row, doc_id, text); staged. With ``least``,
+    row numbers must be the same whenever they are read."""
+    prints = common.staged(fingerprints(rows, width, lanes, keys=keys, distinct=distinct))
+    nodes = common.staged(prints.groupBy("fp", "keys").agg(F.min("row").alias("node")))
+    found = common.components(links(nodes, radius, tile) if least is None else similar(nodes, rows, radius, width, least, tile))
+    named = nodes.join(found, "node", "left").select("fp", "keys", F.coalesce("component", "node").alias("component"))
+    return common.staged(prints.join(named, ["fp", "keys"]).select("row", "doc_id", "fp", "component"))
 
 
 #: Five-word shingles at a similarity of 0.8, found by fingerprints and confirmed on the shingles. Of long texts at 0.8, 15 %
@@ -439,14 +446,6 @@ def groups(docs: DataFrame, radius: int = 2, width: int = 3, lanes: int = 1, key
 SIMILAR = {"radius": 250, "width": 5, "lanes": 16, "keys": shared_keys(8), "distinct": True, "tile": 512, "least": 0.8}
 
 
-def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` without the rows that are not the first of their group; rows of no group stay.
-
-    ``found`` is what groups() returns. Of repeated rows of one doc_id all stay or none.
-    """
-    return docs.join(found.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti")
-
-
 def first_of_groups(docs: DataFrame, **how) -> DataFrame:
     """``docs`` (doc_id, text and others) with one row of each near-duplicate group of groups(**how): the first by doc_id,
     null last, then in the order in which they were read.
@@ -454,7 +453,7 @@ def first_of_groups(docs: DataFrame, **how) -> DataFrame:
     Rows are numbered as they are staged and grouped by number, so null and repeated ids do no harm.
     """
     rows = common.staged(docs.withColumn("_row_no", F.monotonically_increasing_id()))
-    found = groups(rows.select(F.col("_row_no").alias("doc_id"), "text"), **how).select(F.col("doc_id").alias("_row_no"), "component_id")
-    named = found.join(rows.select("_row_no", "doc_id"), "_row_no")
-    first = named.groupBy("component_id").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "_row_no")).alias("first"))
-    return rows.join(first.select(F.col("first._row_no").alias("_row_no")), "_row_no", "left_semi").select(*docs.columns)
+    own = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("_row_no").alias("row"))
+    found = numbered_groups(own, **{"radius": 2, "width": 3, "lanes": 1, "keys": pigeonhole_keys, "distinct": False, "tile": 1024, "least": None} | how)
+    first = found.groupBy("component").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row")).alias("first"))
+    return rows.join(first.select(F.col("first.row").alias("_row_no")), "_row_no", "left_semi").select(*docs.columns)

@@ -43,7 +43,7 @@ def test_odd_rows_and_empty_tables(spark):
         assert got.select("doc_id").distinct().count() == len(ODD) + 1
         assert got.count() >= n
         assert run(docs.limit(0)).count() == 0
-    for keep in (lambda d: quality_model.keep_good(d, model, 0.0), lambda d: quality_rules.keep_good(d, rules), lambda d: simhash.keep_first(d, simhash.groups(d))):
+    for keep in (lambda d: quality_model.keep_good(d, model, 0.0), lambda d: quality_rules.keep_good(d, rules), lambda d: simhash.first_of_groups(d)):
         assert keep(docs).columns == docs.columns and keep(docs.limit(0)).columns == docs.columns
         assert keep(docs).count() <= n
     assert quality_model.keep_good(docs, model, 0.0).count() == n
@@ -69,6 +69,26 @@ def hamming_groups(prints, radius):
     return {i: find(i) for i in ids}
 
 
+def print_of(text):
+    w = (text or "").encode().lower().split()
+    parts = [b" ".join(w[k : k + 3]) for k in range(max(1, len(w) - 2))] if w else []
+    hashes = [xxhash.xxh64_intdigest(x, 42) for x in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_links_through_rows_without_id(spark):
+    rng = random.Random(9)
+    base = words(rng, 150).split()
+    texts = [" ".join([*base[:k], "other", *base[k + 1 :]]) for k in range(150)]
+    prints = [print_of(t) for t in texts]
+    far = lambda a, b: (prints[a] ^ prints[b]).bit_count()
+    chain = next((a, b, c) for a in range(150) for b in range(150) for c in range(150) if far(a, b) <= 2 and far(b, c) <= 2 and far(a, c) > 2)
+    lone = words(rng, 100)
+    rows = [(5, texts[chain[0]]), (None, texts[chain[1]]), (3, texts[chain[2]]), (None, lone), (9, words(rng, 80))]
+    got = simhash.groups(spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], SCHEMA))
+    assert sorted(((r["doc_id"] or -1), (r["component_id"] or -1)) for r in got.collect()) == [(-1, -1), (-1, 3), (3, 3), (5, 3), (9, 9)]
+
+
 def test_simhash_matches_brute_force(spark):
     rng = random.Random(1)
     texts = []
@@ -77,14 +97,7 @@ def test_simhash_matches_brute_force(spark):
         texts += [base, base.upper(), base + " tail", words(rng, 150)]
     texts += ["", None, " ", "one", "One", "two words", "a b c"]
     got = {r["doc_id"]: r for r in simhash.groups(documents(spark, texts)).collect()}
-
-    def brute(text):
-        w = (text or "").encode().lower().split()
-        parts = [b" ".join(w[k : k + 3]) for k in range(max(1, len(w) - 2))] if w else []
-        hashes = [xxhash.xxh64_intdigest(x, 42) for x in parts]
-        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-    prints = {k: brute(t) for k, t in enumerate(texts)}
+    prints = {k: print_of(t) for k, t in enumerate(texts)}
     assert {k: r["fp"][0] & (1 << 64) - 1 for k, r in got.items()} == prints
     assert {k: r["component_id"] for k, r in got.items()} == hamming_groups(prints, 2)
 
@@ -132,7 +145,7 @@ def test_similar_texts_lose_all_but_the_first(spark):
     near = [b[:150] + ["changed"] + b[151:] for b in bases]
     far = [b[:100] + words(rng, 200).split() for b in bases]
     docs = documents(spark, [" ".join(x) for x in bases + near + far])
-    kept = simhash.keep_first(docs, simhash.groups(docs, **simhash.SIMILAR))
+    kept = simhash.first_of_groups(docs, **simhash.SIMILAR)
     assert {r["doc_id"] for r in kept.collect()} == set(range(12)) | set(range(24, 36))
 
 
