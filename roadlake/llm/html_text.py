@@ -15,155 +15,255 @@ from roadlake.llm import common
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|title|noscript|template|svg|textarea|iframe|select|object|canvas|audio|video|math)\b.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][a-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
+    r"|<(script|style|title|textarea|iframe|noscript)(?=[\s/>]).*?(?:</\1\s*>|\Z)"
+    r"|<(svg|select|object|canvas|audio|video|template|annotation)(?=[\s/>]).*?</\2\s*>"
+    # quotes count only after an equals sign; one that is never closed counts as any character
+    r"|<(/?)([a-z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*')?+)*+)>"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|<[a-z][^>]*\Z",
     re.I | re.S,
 )
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr ruby rt rp".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr ruby rt rp"
+    " math semantics mi mo mn ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mspace mpadded mphantom".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An open tag of these ends an open one of the same group.
 ALONE = {"p": "p", "li": "li", "dt": "d", "dd": "d", "tr": "tr", "td": "t", "th": "t", "option": "option", **{f"h{k}": "h" for k in range(1, 7)}}
+#: What text lies in: 2 headings, 1 paragraphs, list items and cells, 0 anything else.
+KINDS = {**dict.fromkeys("p li dt dd blockquote pre td th caption figcaption summary".split(), 1), **{f"h{k}": 2 for k in range(1, 7)}}
 SIDE_TAGS = frozenset("nav header footer aside form menu dialog button fieldset".split())
+SIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
 SIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar side rail nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar"
     " footer cookie cookies consent gdpr notice notices alert popup modal overlay comment comments commentlist reply replies respond discussion disqus share sharing social related recommended recommendations"
-    " newsletter subscribe subscription signup login search pagination pager copyright legal widget toolbar skip".split()
+    " newsletter subscribe subscription signup login search pagination pager copyright legal widget toolbar skip cookiebar cookieconsent cookiebanner adsbygoogle adslot adbox".split()
+)
+#: Words that may stand beside those in a class or id; any other says that the name is about something else.
+PLAIN_WORDS = frozenset(
+    "left right top bottom upper lower inner outer first last main primary secondary global site page web box bar list item items block section area zone region container wrapper wrap content body text link links button buttons"
+    " icon icons panel group row col column unit slot place holder placeholder form field input label title heading thread user post posts article articles story stories entry media small large mobile desktop fixed sticky"
+    " reader readers visitor visitors user users community latest recent more all new your our the and for of in to by on with policy law info message messages count form respond ol ul div id class".split()
 )
-ATTRIBUTE = re.compile(r"""([a-z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
-WORD = re.compile(r"[a-z0-9]+")
-FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after", "side", "place"]
+ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
+FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after", "kind", "side", "place"]
+
 
+def named_side(names: str) -> bool:
+    """Whether a class or id is made of side words and plain ones; the header of a post is none."""
+    for name in names.split():
+        parts = [x.lower() for x in WORD.findall(name)]
+        side = {x for x in parts if x in SIDE_WORDS}
+        if side and all(x in SIDE_WORDS or x in PLAIN_WORDS or x.isdigit() or len(x) < 3 for x in parts):
+            if side != {"header"} or not {"post", "entry", "article", "story"} & set(parts):
+                return True
+    return False
 
-def is_side(tag: str, attributes: str) -> bool:
-    """Whether an element is marked as something else than article text, by its tag or its class, id or role."""
+
+def is_side(tag: str, attributes: str, inside: bool = False) -> bool:
+    """Whether an element is marked as something else than article text, by its tag, role, class or id, or is hidden.
+    ``inside``: within an article, whose header holds its headline."""
     if tag in SIDE_TAGS:
-        return True
+        return not (inside and tag == "header")
     if not attributes or attributes.isspace() or tag in ("html", "body", "main"):
         return False
-    found = {name.lower(): value.strip("\"'").lower() for name, value in ATTRIBUTE.findall(attributes)}
-    names = set(WORD.findall(" ".join(found.get(x, "") for x in ("class", "id", "role"))))
+    found = {name.lower(): value.strip("\"'") for name, value in ATTRIBUTE.findall(attributes)}
+    style = found.get("style", "").replace(" ", "").lower()
+    if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style:
+        return True
+    names = f"{found.get('class', '')} {found.get('id', '')}"
     if tag == "article":
-        return bool(names & {"comment", "comments", "reply"})
-    hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
-    return hidden or bool(names & SIDE_WORDS) or found.get("role") in ("complementary", "contentinfo", "dialog")
+        return bool({"comment", "comments", "reply"} & {x.lower() for x in WORD.findall(names)})
+    return found.get("role", "").lower() in SIDE_ROLES or named_side(names)
+
+
+@dataclass
+class Element:
+    """An element between blocks: its place in the page's list of elements is above that of what it lies in."""
+
+    tag: str
+    parent: int
+    side: bool
+    article: bool
+    muted: bool = False
 
 
 @dataclass
 class Block:
-    """A run of text between block tags."""
+    """A run of text between block tags; ``inside``: the element that it lies in."""
 
     text: str
     words: int
     links: float
-    side: int
-    article: int
+    kind: int
+    inside: int
 
 
 @dataclass
 class Page:
     blocks: list[Block] = field(default_factory=list)
-    has_article: bool = False
+    elements: list[Element] = field(default_factory=lambda: [Element("", -1, False, False)])
 
 
 def blocks_of(source: str) -> Page:
-    """Cuts a page, whole or broken off, into its text blocks in order. White space is one space, references decoded."""
-    page, stack = Page(), []
-    parts: list[str] = []
-    linked, in_link, at, sides, articles = 0, False, 0, 0, 0
+    """Cuts a page, whole or broken off, into its text blocks in order. White space is one space, references decoded.
+    Inline elements that are marked as something else or hidden are left out of the block around them."""
+    page, stack, parts = Page(), [0], []
+    linked, in_link, at, muted, articles = 0, False, 0, 0, 0
+    elements = page.elements
 
-    def words(text: str) -> int:
-        return len(text.split())
+    def take(piece: str) -> None:
+        nonlocal linked
+        if not muted:
+            parts.append(piece)
+            if in_link:
+                linked += len(piece.split())
 
     def flush() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            n = words(text)
-            page.blocks.append(Block(text, n, min(1.0, linked / n), int(sides > 0), int(articles > 0)))
+            n, within = len(text.split()), next(e for e in reversed(stack) if elements[e].tag not in INLINE)
+            page.blocks.append(Block(text, n, min(1.0, linked / n), KINDS.get(elements[within].tag, 0), within))
         parts.clear()
         linked = 0
 
+    def push(tag: str, side: bool, article: bool, mute: bool) -> None:
+        nonlocal muted, articles
+        elements.append(Element(tag, stack[-1], side, article, mute))
+        stack.append(len(elements) - 1)
+        muted, articles = muted + mute, articles + article
+
     def pop(k: int) -> None:
-        nonlocal sides, articles
-        for _, side, article in stack[k:]:
-            sides -= side
-            articles -= article
+        nonlocal muted, articles
+        for e in stack[k:]:
+            muted, articles = muted - elements[e].muted, articles - elements[e].article
         del stack[k:]
 
+    def last(tag: str) -> int | None:
+        return next((k for k in range(len(stack) - 1, 0, -1) if elements[stack[k]].tag == tag), None)
+
     for m in TOKEN.finditer(source):
         if m.start() > at:
-            piece = source[at : m.start()]
-            parts.append(piece)
-            if in_link:
-                linked += words(piece)
+            take(source[at : m.start()])
         at = m.end()
-        tag = (m[3] or "").lower()
+        tag = (m[4] or "").lower()
         if not tag:
             continue
         if tag == "br":
-            parts.append(" ")
+            take(" ")
         elif tag in INLINE:
             if tag == "a":
-                in_link = not m[2]
-        elif m[2]:
+                in_link = not m[3]
+            if m[3]:
+                if muted and (k := last(tag)) is not None:
+                    pop(k)
+            elif tag not in VOID and not m[5].endswith("/"):
+                # within what is left out, inline elements are counted, so that its end is found
+                mute = bool(m[5]) and is_side(tag, m[5])
+                if muted or mute:
+                    push(tag, mute, False, mute)
+        elif m[3]:
             flush()
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-            if k is not None:
+            if (k := last(tag)) is not None:
                 pop(k)
             in_link = False
         else:
             flush()
             in_link = False
-            group = ALONE.get(tag)
-            if group and stack and ALONE.get(stack[-1][0]) == group:
-                pop(len(stack) - 1)
-            elif stack and stack[-1][0] == "p":
+            while elements[stack[-1]].tag in INLINE and tag in ALONE:
+                pop(len(stack) - 1)  # what is left out ends with its paragraph
+            top, group = elements[stack[-1]].tag, ALONE.get(tag)
+            if (group and ALONE.get(top) == group) or top == "p":
                 pop(len(stack) - 1)
-            if tag not in VOID and not m[4].endswith("/"):
-                article = tag in ("article", "main") or 'role="main"' in m[4]
-                side = is_side(tag, m[4])
-                stack.append((tag, side, article))
-                sides, articles = sides + side, articles + article
-                page.has_article |= article and not sides
+            if tag not in VOID and not m[5].endswith("/"):
+                side = is_side(tag, m[5], articles > 0)
+                push(tag, side, not side and (tag in ("article", "main") or "role" in m[5] and re.search(r"role\s*=\s*[\"']?main\b", m[5]) is not None), False)
     if at < len(source):
-        parts.append(source[at:])
-        if in_link:
-            linked += words(source[at:])
+        take(source[at:])
     flush()
     return page
 
 
 def features(page: Page) -> np.ndarray:
-    """FEATURES of every block; side: within something marked as no article text; place: 1 within the article, -1
-    outside of it, 0 on a page without one."""
-    own = np.array([(b.words, b.links) for b in page.blocks], float).reshape(-1, 2)
+    """FEATURES of every block. side: within an element that is marked as something else, unless the mark lies around an
+    article, or is a form around over half of the page's words. place: 1 within the innermost article or main element
+    that holds at least half of the page's words outside links and marks, -1 outside of it, 0 on a page without one."""
+    if not page.blocks:
+        return np.zeros((0, len(FEATURES)))
+    own = np.array([(b.words, b.links) for b in page.blocks], float)
+    inside = [b.inside for b in page.blocks]
+    parents = [e.parent for e in page.elements]
+
+    def held(amount: np.ndarray) -> np.ndarray:
+        out = np.bincount(inside, amount, len(parents))
+        for k in range(len(parents) - 1, 0, -1):
+            out[parents[k]] += out[k]
+        return out
+
+    around, words = [e.article for e in page.elements], held(own[:, 0])
+    for k in range(len(parents) - 1, 0, -1):
+        around[parents[k]] |= around[k]
+    side = [False] * len(parents)
+    for k, e in enumerate(page.elements[1:], 1):
+        side[k] = side[e.parent] or (e.side and not around[k] and not (e.tag == "form" and 2 * words[k] > words[0]))
+    prose = held(own[:, 0] * (1 - own[:, 1]) * ~np.array(side)[inside])
+    article = max((k for k, e in enumerate(page.elements) if e.article and 2 * prose[k] >= prose[0] > 0), default=0)
+    place = [0] * len(parents)
+    for k in range(len(parents)) if article else ():
+        place[k] = 1 if k == article or (k and place[parents[k]] == 1) else -1
     edge = np.zeros((1, 2))
-    before, after = np.concatenate([edge, own[:-1]])[: len(own)], np.concatenate([own[1:], edge])[: len(own)]
-    place = [(1 if b.article else -1) if page.has_article else 0 for b in page.blocks]
-    return np.column_stack([own, before, after, [b.side for b in page.blocks], place]) if len(own) else np.zeros((0, len(FEATURES)))
-
-
-#: The labelled table: FEATURES and 1 for article text, written down from blocks of pages of different kinds.
-LABELLED = [
-    # menus: lists of links, marked or not
-    (1, 1.0, 0, 0.0, 1, 1.0, 1, -1, 0), (1, 1.0, 1, 1.0, 1, 1.0, 1, -1, 0), (1, 1.0, 1, 1.0, 7, 0.0, 1, -1, 0), (2, 1.0, 1, 1.0, 3, 1.0, 0, -1, 0),
-    (1, 1.0, 0, 0.0, 2, 1.0, 0, 0, 0), (2, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0), (3, 1.0, 2, 1.0, 60, 0.0, 0, 0, 0), (9, 0.9, 5, 1.0, 7, 1.0, 0, 0, 0), (14, 1.0, 12, 1.0, 11, 1.0, 0, 0, 0),
-    # adverts, notices, forms, sidebars, comments and footers with a mark, also inside the article
-    (7, 0.0, 1, 1.0, 9, 0.0, 1, -1, 0), (12, 0.0, 1, 1.0, 10, 0.0, 1, -1, 0), (30, 0.1, 80, 0.0, 45, 0.0, 1, 1, 0), (55, 0.0, 40, 0.0, 62, 0.0, 1, 1, 0), (8, 0.0, 120, 0.0, 0, 0.0, 1, -1, 0),
-    (20, 0.0, 90, 0.0, 25, 0.0, 1, 0, 0), (6, 0.5, 44, 0.0, 0, 0.0, 1, 0, 0), (70, 0.0, 30, 0.0, 35, 0.0, 1, 0, 0), (25, 0.2, 0, 0.0, 3, 1.0, 1, 0, 0), (4, 0.0, 3, 0.0, 5, 0.0, 1, 1, 0),
-    # text outside the article of a page that has one
-    (11, 0.0, 1, 1.0, 8, 0.0, 0, -1, 0), (40, 0.0, 5, 0.0, 9, 0.0, 0, -1, 0), (5, 0.0, 66, 0.0, 0, 0.0, 0, -1, 0), (90, 0.0, 30, 0.0, 2, 0.0, 0, -1, 0), (3, 0.0, 0, 0.0, 4, 0.0, 0, -1, 0),
-    # article text, of any length
-    (60, 0.0, 9, 0.0, 85, 0.0, 0, 1, 1), (8, 0.0, 12, 0.0, 60, 0.0, 0, 1, 1), (1, 0.0, 70, 0.0, 1, 0.0, 0, 1, 1), (2, 0.0, 1, 0.0, 30, 0.0, 0, 1, 1), (150, 0.0, 40, 0.0, 9, 0.0, 0, 1, 1),
-    (35, 0.1, 20, 0.0, 55, 0.0, 0, 1, 1), (22, 0.3, 48, 0.0, 31, 0.1, 0, 1, 1), (5, 0.0, 4, 0.0, 6, 0.0, 0, 1, 1), (1, 0.0, 1, 0.0, 1, 0.0, 0, 1, 1), (400, 0.0, 0, 0.0, 0, 0.0, 0, 1, 1), (6, 1.0, 40, 0.0, 52, 0.0, 0, 1, 1), (12, 0.5, 33, 0.0, 8, 0.0, 0, 1, 1),
-    (4, 0.0, 30, 0.0, 1, 1.0, 0, 1, 1), (1, 0.0, 20, 0.0, 2, 1.0, 0, 1, 1), (12, 0.0, 8, 0.0, 1, 1.0, 0, 1, 1), (3, 0.0, 1, 1.0, 1, 1.0, 0, 1, 1), (9, 0.0, 1, 1.0, 14, 0.0, 0, 1, 1),
-    # pages without an article element
-    (60, 0.0, 9, 0.0, 85, 0.0, 0, 0, 1), (45, 0.05, 2, 1.0, 30, 0.0, 0, 0, 1), (25, 0.1, 55, 0.0, 40, 0.0, 0, 0, 1), (120, 0.0, 60, 0.0, 3, 0.9, 0, 0, 1), (7, 0.0, 50, 0.0, 70, 0.0, 0, 0, 1), (15, 0.0, 28, 0.0, 4, 0.0, 0, 0, 1),
-    (6, 0.0, 1, 1.0, 75, 0.0, 0, 0, 1), (4, 0.0, 35, 0.0, 20, 0.0, 0, 0, 1), (18, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1), (3, 0.0, 18, 0.0, 22, 0.0, 0, 0, 1), (30, 0.0, 3, 0.0, 2, 1.0, 0, 0, 1),
-    (10, 0.7, 4, 1.0, 5, 1.0, 0, 0, 0), (2, 0.0, 1, 1.0, 1, 1.0, 0, 0, 0), (20, 0.6, 40, 0.0, 18, 0.8, 0, 0, 0),
-]
+    before, after = np.concatenate([edge, own[:-1]]), np.concatenate([own[1:], edge])
+    return np.column_stack([own, before, after, [b.kind for b in page.blocks], np.array(side)[inside], np.array(place)[inside]])
+
+
+#: The labelled table: the blocks of pages of different kinds, a page a line. A block is "=" if it is article text, h, p, l
+#: or d (heading, paragraph, list item or cell, anything else), its words, ":" and the percentage of them in links, "*" if
+#: it is marked as something else, and "+" or "-" if it lies in or outside the article element of a page that has one.
+LABELLED = """
+l1:100*- l1:100*- l2:100*- l1:100*- d9*- =h10+ =p60+ =p85+ =p40+ =p3+ =p70+ d14*-
+l1:100- l2:100- l1:100- l1:100- d9- =h10+ =p60+ =p1+ =p40+ =p33+ d14-
+l1:100 l1:100 l2:100 l1:100 l1:100 d9 =h10 =p60 =p85 =p3 =p40 d14
+l1:100 l1:100 l3:100 d14 =h8 =p1 =p2 =p30 d12
+l1:100 l1:100 l1:100 l1:100 =h9 =p25 d10
+l1:100 l1:100 l1:100 d6 =h7 =p150 =p1 d13
+l1:100 l2:100 l1:100 =h1 =p1 d12
+l1:100 l1:100 d12 =h9 =p9 =p7 d8
+d3 l1:100 l1:100 l2:100 =h8 =p70 =p55 =l6 =l8 =l5 =p30 d6 d4:50
+h2 l1:100 l1:100 =h6 =p45 =p62 h2 l8:100 l9:100 l7:100 d10
+d2*- d12:90*- =h12+ d4+ =p50+ =p75+ =p6+ h2*+ p40*+ p22*+ p8*+ d9*-
+l1:100*- =h7+ =p44+ =p36+ =p90+ h1*- p15*- p60*- p35*- h2*- p30*- l3:100*- l4:100*- p12*-
+h3*- p20*- l1:100*- =h9+ =p31+ =l2+ =l3+ =l2+ =l4+ =p28:20+ =p12:50+ =p40+ p16*+ d7*-
+=h6+ =p80+ =p6:100+ =p52+ l2:100+ l1:100+ l2:100+ d2*- d3*- d1*- p18-
+p14* l1:100 =h8 =p33 =p41 h2* p25* p55* p9* d12*
+d20* d5* =h5 =p66 d8* =p72 =p48 d30* h2* p30* l5:100*
+l2:100 l2:100 l2:100 =d120 =d80 =d45 d8
+d4:100 d5:80 =h6 =d90 =d140 =h3 =d60 d11
+d6 l1:100 l1:100 =h9 d5 =d60 =p38 h3 p6:100 p8:100 p7:100 d9
+=h4 =p22 =p18 =p27
+=h7 =p5 =p4 =p6
+=p18
+=p2
+=d2
+=d9
+=d60
+=l3 =l2 =l4 =l6
+l6:100 l7:100 l5:100 l9:100
+d3:100 d2:100 d12
+"""
+
+
+def labelled(table: str = LABELLED) -> np.ndarray:
+    """FEATURES and the label of every block of the table."""
+    rows = []
+    for line in filter(None, table.splitlines()):
+        blocks = [re.fullmatch(r"(=?)([hpld])(\d+)(?::(\d+))?(\*?)([+-]?)", x) for x in line.split()]
+        own = [(float(m[3]), int(m[4] or 0) / 100) for m in blocks]
+        for k, m in enumerate(blocks):
+            near = [own[j] if 0 <= j < len(own) else (0.0, 0.0) for j in (k - 1, k + 1)]
+            rows.append((*own[k], *near[0], *near[1], {"h": 2, "d": 0}.get(m[2], 1), m[5] == "*", {"+": 1, "-": -1}.get(m[6], 0), m[1] == "="))
+    return np.array(rows, float)
 
 
 @dataclass
@@ -185,7 +285,7 @@ class Tree:
         return out
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 6) -> Tree:
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 10) -> Tree:
     """The split of least Gini impurity, the first of equals, down to pure leaves or ``depth``."""
 
     def gini(v: np.ndarray) -> float:
@@ -207,8 +307,8 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int = 6) -> Tree:
     return Tree(best[1], best[2], grow(x[~side], y[~side], depth - 1), grow(x[side], y[side], depth - 1))
 
 
-def train(table: list[tuple] = LABELLED) -> Tree:
-    rows = np.array(table, float)
+def train(table: str = LABELLED) -> Tree:
+    rows = labelled(table)
     return grow(rows[:, :-1], rows[:, -1].astype(int))
 
 
@@ -218,7 +318,7 @@ def main_texts(sources: list[str | None], tree: Tree) -> list[str]:
     return ["\n\n".join([b.text for b in page.blocks if next(keep)]) for page in pages]
 
 
-def extract(pages: DataFrame, table: list[tuple] = LABELLED) -> DataFrame:
+def extract(pages: DataFrame, table: str = LABELLED) -> DataFrame:
     """page_id, url, text, n_chars: one row per row of ``pages`` (page_id, url, html).
 
     The tree is trained on the driver from ``table``, whose size is fixed; pages are worked on where they are read, so

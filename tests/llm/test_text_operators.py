@@ -3,6 +3,7 @@
 import random
 import zlib
 from datetime import datetime, timedelta
+from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
@@ -304,6 +305,83 @@ def test_plain_pages_lose_their_link_blocks():
     assert blocks[0] == "A heading here" and blocks[2] == "Short one." and len(blocks) == 4
 
 
+STORY = "<h1>The headline</h1><p>" + "story " * 40 + "</p><p>Short.</p><p>" + "more " * 30 + "</p>"
+STORY_TEXT = ["The headline", ("story " * 40).strip(), "Short.", ("more " * 30).strip()]
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # the story beside a teaser that is an article element
+        (f"<body><ul><li><a href=/>Home</a><li><a href=/n>News</a></ul><div>{STORY}</div><article><a href=x>Other story</a></article></body>", STORY_TEXT),
+        # several articles, of which one is the story
+        (f"<main><article>{STORY}</article><article class='teaser'><h2><a href=x>Other story</a></h2></article></main>", STORY_TEXT),
+        # quotes that do not open a value, and one that is never closed
+        (f"<article><p title=it's>{'Hello ' * 9}</p>{STORY}</article>", [("Hello " * 9).strip(), *STORY_TEXT]),
+        (f"<article {chr(34)}>{STORY}<p class=x{chr(34)}>it's {chr(34)}so{chr(34)} {'said ' * 8}</p></article>", [*STORY_TEXT, f"it's {chr(34)}so{chr(34)} " + ("said " * 8).strip()]),
+        # names that hold a side word among others
+        (f"<section class='social-history'>{STORY}</section>", STORY_TEXT),
+        (f"<section id='search-algorithms'>{STORY}</section>", STORY_TEXT),
+        (f"<div class='post'><div class='post-header'><h1>The headline</h1></div>{STORY.split('</h1>')[1]}</div>", STORY_TEXT),
+        (f"<div>{STORY}</div><div class='reader-comments'><p>{'I think so. ' * 20}</p></div><div id='cookieBanner'><p>{'We use cookies. ' * 9}</p></div>", STORY_TEXT),
+        # marks of inline elements
+        (f"<article>{STORY}<p>Before <a class='ad' href=x>Buy <b>this</b> now</a> between<span style='display: none'> hid <span>den</span></span> and <span class=share>Share</span> after {'it ' * 9}</p></article>", [*STORY_TEXT, "Before between and after " + ("it " * 9).strip()]),
+        (f"<article><p>One <a class=ad>never closed<p>two {'words ' * 9}</p>{STORY}</article>", ["One", "two " + ("words " * 9).strip(), *STORY_TEXT]),
+        # an article's own header; formulas
+        (f"<article><header>{STORY.split('</h1>')[0]}</h1></header>{STORY.split('</h1>')[1]}<p>With <math><mi>a</mi><mo>+</mo><mi>b</mi></math> in it {'here ' * 9}</p></article>", [*STORY_TEXT, "With a+b in it " + ("here " * 9).strip()]),
+        # a form around the whole page
+        (f"<form id=aspnet><div><input name=q></div><div>{STORY}</div></form>", STORY_TEXT),
+        # no marks at all: a menu, an advert, a footer, related stories
+        (f"<div><a href=/>Home</a> <a href=/n>News</a></div><div>Buy our very good shoes today</div>{STORY}<h3>Read on</h3><p><a href=a>One more story for you</a></p><p><a href=b>And a second one here</a></p><div>All text by the house of prose</div>", STORY_TEXT),
+        ("", []), ("plain words", ["plain words"]), ("<p>", []), ("&amp;&nbsp;&lt;", ["& <"]),
+    ],
+)
+def test_main_text_of_layouts(page, text):
+    assert html_text.main_texts([page], html_text.train()) == ["\n\n".join(text)]
+
+
+def test_neighbours_and_words_decide_without_marks():
+    tree, table = html_text.train(), html_text.labelled()
+    x, y = table[:, :-1], table[:, -1]
+    assert (tree.predict(x) == y).all()
+    for columns in ([0], [1], [2, 3, 4, 5], [7]):
+        without = x.copy()
+        without[:, columns] = 0
+        assert (tree.predict(without) != y).any(), columns
+
+
+def test_main_text_matches_a_walk_of_the_tree(spark):
+    """The given pages have one article each; another parser collects its blocks."""
+
+    class Walk(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.blocks, self.depth = [""], 0
+
+        def handle_starttag(self, tag, attrs):
+            self.depth += tag == "article"
+            if tag in ("p", "h1", "article"):
+                self.blocks.append("")
+            elif tag == "br":
+                self.handle_data(" ")
+
+        def handle_endtag(self, tag):
+            self.depth -= tag == "article"
+            if tag in ("p", "h1", "article"):
+                self.blocks.append("")
+
+        def handle_data(self, data):
+            if self.depth:
+                self.blocks[-1] += data
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()}
+    for r in pages.collect():
+        walk = Walk()
+        walk.feed(r["html"])
+        assert got[r["page_id"]] == "\n\n".join(x for x in (" ".join(b.split()) for b in walk.blocks) if x)
+
+
 def test_url_filters_match_brute_force(spark):
     rng, t0 = random.Random(8), datetime(2024, 1, 1)
     hosts = ["a.example.com", "b.example.com", "x.y.org", "y.org"]
