@@ -15,9 +15,11 @@ from roadlake.llm import common
 BLOCKS = 1024
 
 
-def seeded(seed: int, doc_id: Column) -> Column:
-    """A hash that SQL engines share: MD5 of "seed-doc_id" (null: "seed-"), as 32 hex digits."""
-    return F.md5(F.concat_ws("-", F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def seeded(seed: int, doc_id: Column, text: Column) -> Column:
+    """A hash that SQL engines share: MD5 of "seed-doc_id-MD5 of the text" (null: nothing in its place), as 32 hex digits.
+    The text's part keeps rows of null or repeated doc_id from being one block."""
+    part = lambda x: F.coalesce(x.cast("string"), F.lit(""))
+    return F.md5(F.concat_ws("-", F.lit(str(seed)), part(doc_id), part(F.md5(text.cast("string")))))
 
 
 def block_of(key: Column) -> Column:

@@ -57,8 +57,9 @@ def position(demand: Column, turn: Column, phases: Sequence[Sequence[float]]) ->
     return out
 
 
-def plan(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most_epochs: int = 3, phases: Sequence[Sequence[float]] = PHASES, seed: int = 10) -> DataFrame:
-    """doc_id, source, text_hash, size (words), source_size, target, copies, taken, positions (one per copy, ascending).
+def plan(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most_epochs: int = 3, phases: Sequence[Sequence[float]] = PHASES, seed: int = 10, keep: Sequence[str] = ()) -> DataFrame:
+    """doc_id, source, size (words), source_size, target, copies, taken, positions (one per copy, ascending), and the
+    columns ``keep`` of ``docs``.
 
     Within its source a document lies on the line of the source's words at a place given by a seeded hash. Epoch e
     takes it if the middle of its stretch, e sizes of the source further on, is within the target. A copy's position is
@@ -71,9 +72,10 @@ def plan(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most_epochs: int =
     other than doc_id, text and source are not read.
     """
     text = docs["text"].cast("string")
-    key = layout.seeded(seed, docs["doc_id"])
+    key = layout.seeded(seed, docs["doc_id"], text)
+    own = [docs[c].alias(f"_keep_{k}") for k, c in enumerate(keep)]
     size = F.coalesce(F.regexp_count(text, F.lit(common.WORD_PATTERN)), F.lit(0)).cast("long")
-    rows = common.staged(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["source"].cast("string").alias("source"), *layout.named_source(docs["source"]), F.xxhash64(text).alias("text_hash"), size.alias("size"), key.alias("key"), layout.block_of(key).alias("block")))
+    rows = common.staged(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["source"].cast("string").alias("source"), *layout.named_source(docs["source"]), F.xxhash64(text).alias("text_hash"), size.alias("size"), key.alias("key"), layout.block_of(key).alias("block"), *own))
     placed = layout.before(rows, OWN, ORDER, F.col("size"), "start", targets(rows, weights, most_epochs))
     middle = lambda e: (F.col("start") + e * F.col("source_size") + F.col("size") / 2).cast("double")
     taken = [F.when((middle(e) <= F.col("target")) & ((F.col("size") > 0) | F.lit(e == 0)), position(middle(e) / F.greatest("target", F.lit(1e-9)), F.col("turn"), phases)) for e in range(most_epochs)]
@@ -86,19 +88,25 @@ def plan(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most_epochs: int =
     moved = F.col("fits") & (F.col("passed") + F.col("size") <= gap)
     changed = F.when(moved & up, F.array_append("positions", F.lit(1.0))).when(moved, F.slice("positions", 1, F.col("copies") - 1)).otherwise(F.col("positions"))
     found = tuned.withColumn("positions", changed)
-    return found.select("doc_id", "source", "text_hash", "size", "source_size", "target", F.size("positions").alias("copies"), (F.col("size") * F.size("positions")).alias("taken"), "positions")
+    kept = [F.col(f"_keep_{k}").alias(c) for k, c in enumerate(keep)]
+    return found.select("doc_id", "source", "size", "source_size", "target", F.size("positions").alias("copies"), (F.col("size") * F.size("positions")).alias("taken"), "positions", *kept)
+
+
+def in_training_order(planned: DataFrame, most_epochs: int = 3) -> DataFrame:
+    """``planned`` with a column position_1, position_2, ... per copy (null: no such copy) in place of positions, range-sorted
+    by the first; documents that are not taken are last."""
+    each = [F.get("positions", F.lit(k)).alias(f"position_{k + 1}") for k in range(most_epochs)]
+    return planned.select("*", *each).drop("positions").orderBy(F.col("position_1").asc_nulls_last(), "doc_id")
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the plan takes it, range-sorted by training position; same columns.
 
-    A row meets its own plan by doc_id, text hash and its number among the rows of both, so repeated rows are not
-    multiplied and rows without id are no single group.
+    Rows are numbered as they are staged; the plan is made of narrow rows, and the texts meet it by number, so they are
+    dealt twice: for that join and for the sort. Null and repeated doc_ids do no harm.
     """
-    one = Window.partitionBy("doc_id", "text_hash").orderBy("source")
-    planned = plan(docs, **options).select("doc_id", F.col("text_hash").alias("hash"), F.row_number().over(one).alias("n"), "positions").where(F.size("positions") > 0)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    each = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("source").cast("string").alias("source"), row)
-    each = each.select("id", "text_hash", F.row_number().over(Window.partitionBy("id", "text_hash").orderBy("source")).alias("k"), "row")
-    met = each.join(planned, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("text_hash") == F.col("hash")) & (F.col("k") == F.col("n")))
-    return met.select(F.explode("positions").alias("position"), "id", "row").orderBy("position", "id").select("row.*")
+    rows = common.staged(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("no")))
+    narrow = rows.select("row.doc_id", "row.text", "row.source", "no")
+    planned = plan(narrow, keep=("no",), **options).where(F.size("positions") > 0).select("no", "positions")
+    met = rows.join(planned, "no").select(F.explode("positions").alias("position"), "no", "row")
+    return met.orderBy("position", F.col("row.doc_id"), "no").select("row.*")

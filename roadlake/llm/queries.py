@@ -60,12 +60,24 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = mixing.plan(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "size", "source_size", "target", "taken", "copies")
+    found = mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "positions")
+    return mixing.in_training_order(found)
 
 
-OP10_SQL = r"""
-WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size, md5('10-' || doc_id::VARCHAR) AS k FROM documents),
+def schedule_sql(demand: str) -> str:
+    """mixing.position() of ``demand`` in SQL: each phase adds the part of its length that the demand fills."""
+    cases = []
+    for k, plan in enumerate(mixing.PHASES):
+        whole, done, parts = sum(plan), 0.0, []
+        for weight in plan:
+            parts.append(f"least(greatest(({demand} - {done / whole!r}e0) / {weight / whole!r}e0, 0e0), 1e0) / {len(plan)}e0")
+            done += weight
+        cases.append(f"WHEN {k} THEN {' + '.join(parts)}")
+    return f"CASE turn % {len(mixing.PHASES)} {' '.join(cases)} END"
+
+
+OP10_SQL = rf"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size, md5('10-' || doc_id::VARCHAR || '-' || coalesce(md5(text), '')) AS k FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS turn FROM s),
 x AS (SELECT *, CAST(CASE turn % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS BIGINT) AS weight FROM w),
@@ -73,19 +85,21 @@ y AS (SELECT *, CAST(sum(source_size) OVER () AS BIGINT) AS total, CAST(sum(weig
   CAST(coalesce(sum(3 * source_size) OVER (ORDER BY 3.0 * source_size / weight, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS lb,
   CAST(coalesce(sum(weight) OVER (ORDER BY 3.0 * source_size / weight, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS wb FROM x),
 z AS (SELECT *, 3 * source_size * (weights - wb) <= (total - lb) * weight AS filled FROM y),
-t AS (SELECT source, source_size, CASE WHEN filled THEN CAST(3 * source_size AS DOUBLE) ELSE
+t AS (SELECT source, source_size, turn, CASE WHEN filled THEN CAST(3 * source_size AS DOUBLE) ELSE
   CAST(weight * (total - CAST(coalesce(sum(CASE WHEN filled THEN 3 * source_size END) OVER (), 0) AS BIGINT)) AS DOUBLE)
   / CAST(weights - CAST(coalesce(sum(CASE WHEN filled THEN weight END) OVER (), 0) AS BIGINT) AS DOUBLE) END AS target FROM z),
-p AS (SELECT d.*, source_size, target, CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begun
+p AS (SELECT d.*, source_size, target, turn, CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begun
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-c AS (SELECT *, (CASE WHEN begun + CAST(size AS DOUBLE) / 2 <= target THEN 1 ELSE 0 END)
-  + (CASE WHEN size > 0 AND begun + source_size + CAST(size AS DOUBLE) / 2 <= target THEN 1 ELSE 0 END)
-  + (CASE WHEN size > 0 AND begun + 2 * source_size + CAST(size AS DOUBLE) / 2 <= target THEN 1 ELSE 0 END) AS copies FROM p),
-g AS (SELECT source, max(target) - CAST(sum(size * copies) AS BIGINT) AS gap FROM c GROUP BY source),
-f AS (SELECT c.*, gap, size > 0 AND 2 * size <= abs(gap) AND CASE WHEN gap > 0 THEN copies < 3 ELSE copies > 0 END AS fits FROM c JOIN g ON c.source IS NOT DISTINCT FROM g.source),
+c AS (SELECT *, begun + CAST(size AS DOUBLE) / 2 AS m1, begun + source_size + CAST(size AS DOUBLE) / 2 AS m2, begun + 2 * source_size + CAST(size AS DOUBLE) / 2 AS m3 FROM p),
+e AS (SELECT *, (CASE WHEN m1 <= target THEN 1 ELSE 0 END) + (CASE WHEN size > 0 AND m2 <= target THEN 1 ELSE 0 END) + (CASE WHEN size > 0 AND m3 <= target THEN 1 ELSE 0 END) AS copies FROM c),
+g AS (SELECT source, max(target) - CAST(sum(size * copies) AS BIGINT) AS gap FROM e GROUP BY source),
+f AS (SELECT e.*, gap, size > 0 AND 2 * size <= abs(gap) AND CASE WHEN gap > 0 THEN copies < 3 ELSE copies > 0 END AS fits FROM e JOIN g ON e.source IS NOT DISTINCT FROM g.source),
 r AS (SELECT *, CAST(coalesce(sum(CASE WHEN fits THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY k, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS passed FROM f),
-m AS (SELECT *, copies + CASE WHEN fits AND passed + size <= abs(gap) THEN CASE WHEN gap > 0 THEN 1 ELSE -1 END ELSE 0 END AS final FROM r)
-SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(size * final AS BIGINT) AS taken, CAST(final AS INTEGER) AS copies FROM m
+m AS (SELECT *, greatest(target, 1e-9) AS whole, copies + CASE WHEN fits AND passed + size <= abs(gap) THEN CASE WHEN gap > 0 THEN 1 ELSE -1 END ELSE 0 END AS final FROM r)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(size * final AS BIGINT) AS taken, CAST(final AS INTEGER) AS copies,
+  CASE WHEN final >= 1 THEN CASE WHEN copies >= 1 THEN {schedule_sql("m1 / whole")} ELSE 1e0 END END AS position_1,
+  CASE WHEN final >= 2 THEN CASE WHEN copies >= 2 THEN {schedule_sql("m2 / whole")} ELSE 1e0 END END AS position_2,
+  CASE WHEN final >= 3 THEN CASE WHEN copies >= 3 THEN {schedule_sql("m3 / whole")} ELSE 1e0 END END AS position_3 FROM m
 """
 
 

@@ -20,7 +20,7 @@ def shard(docs: DataFrame, shards: int = 40, seed: int = 8) -> DataFrame:
     rows than shards leave shards empty. Columns other than doc_id, text and source are not read.
     """
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    key = layout.seeded(seed, docs["doc_id"])
+    key = layout.seeded(seed, docs["doc_id"], text)
     rows = common.staged(
         docs.select(docs["doc_id"].cast("long").alias("doc_id"), *layout.named_source(docs["source"]), (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), key.alias("key"), layout.block_of(key).alias("block"))
     )

@@ -452,8 +452,9 @@ def first_of_groups(docs: DataFrame, **how) -> DataFrame:
 
     Rows are numbered as they are staged and grouped by number, so null and repeated ids do no harm.
     """
-    rows = common.staged(docs.withColumn("_row_no", F.monotonically_increasing_id()))
-    own = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("_row_no").alias("row"))
+    number = common.free(docs, "_row_no")
+    rows = common.staged(docs.withColumn(number, F.monotonically_increasing_id()))
+    own = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(number).alias("row"))
     found = numbered_groups(own, **{"radius": 2, "width": 3, "lanes": 1, "keys": pigeonhole_keys, "distinct": False, "tile": 1024, "least": None} | how)
     first = found.groupBy("component").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row")).alias("first"))
-    return rows.join(first.select(F.col("first.row").alias("_row_no")), "_row_no", "left_semi").select(*docs.columns)
+    return rows.join(first.select(F.col("first.row").alias(number)), number, "left_semi").select(*docs.columns)

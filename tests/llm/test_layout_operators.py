@@ -1,5 +1,6 @@
 """Nearest neighbours, sharding, mixing, and the pipeline."""
 
+import hashlib
 import zlib
 
 import numpy as np
@@ -80,6 +81,29 @@ def test_shards_are_even_and_proportional(spark):
     assert sharding.shard(docs.limit(0), 8).count() == 0 and sharding.shard(docs.limit(3), 8).count() == 3
 
 
+def test_shards_match_brute_force(spark):
+    docs = corpus(spark)
+    rows = [(r["doc_id"], r["source"], (r["text"] or "").encode()) for r in docs.collect()]
+    sizes = {}
+    for _, source, _ in rows:
+        sizes[source] = sizes.get(source, 0) + 1
+
+    def key(doc_id, text):
+        return hashlib.md5(f"8-{'' if doc_id is None else doc_id}-{hashlib.md5(text).hexdigest()}".encode()).hexdigest()
+
+    tail = lambda doc_id, text: ((doc_id is not None, doc_id or 0), zlib.crc32(text), len(text) + 16)
+    seen, order = {}, []
+    for doc_id, source, text in sorted(rows, key=lambda r: (key(r[0], r[2]), *tail(r[0], r[2]))):
+        rank = seen[source] = seen.get(source, -1) + 1
+        order.append(((rank + 0.5) / sizes[source], key(doc_id, text), (source is None, source or ""), *tail(doc_id, text)))
+    want = []
+    for at, (*_, (known, doc_id), crc, size) in enumerate(sorted(order)):
+        shard = at * 8 // len(rows)
+        want.append((doc_id if known else None, size, crc, shard, at - -(-shard * len(rows) // 8)))
+    got = [(r["doc_id"], r["size"], r["text_crc32"], r["shard"], r["slot"]) for r in sharding.shard(docs, 8).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def water_fill(sizes, weights, most):
     left, target = dict(zip(sizes, weights)), {}
     total = sum(sizes.values())
@@ -113,6 +137,16 @@ def test_mix_meets_its_targets(spark):
     assert mixing.plan(docs.limit(0)).count() == 0
 
 
+def test_the_plan_is_in_training_order(spark):
+    ordered = mixing.in_training_order(mixing.plan(corpus(spark)))
+    rows = ordered.collect()
+    first = [r["position_1"] for r in rows]
+    taken = [p for p in first if p is not None]
+    assert taken == sorted(taken) and first[len(taken) :] == [None] * (len(first) - len(taken)) and len(rows) == 402
+    assert all(sum(r[f"position_{k}"] is not None for k in (1, 2, 3)) == r["copies"] for r in rows)
+    assert "rangepartitioning" in ordered._jdf.queryExecution().toString()
+
+
 def test_mixed_rows_repeat_in_training_order(spark):
     docs = corpus(spark)
     out = mixing.mixed(docs)
