@@ -36,23 +36,34 @@ class Forest:
             out[:, t] = at - (2**self.depth - 1) + t * 2**self.depth
         return out
 
-    def search(self, q: np.ndarray, most: int, weight: np.ndarray) -> list[int]:
-        """Leaves for a query, nearest first: one queue for all trees holds branches by the largest margin by which
-        the query lies on the other side. Ends with ``most`` (weighted) rows in the leaves found."""
-        queue, found, rows = [(0.0, t, 0, 0) for t in range(len(self.normals))], [], 0.0
-        first = 2**self.depth - 1
-        while queue and rows < most:
+    def search(self, q: np.ndarray, reach: float) -> list[int]:
+        """Leaves for a query, nearest first: one queue for all trees holds branches by the sum of the squared margins by which the query lies on the other side, an estimate of the squared
+        distance to what is there. Ends where it is beyond ``reach``."""
+        margins = (np.einsum("tij,j->ti", self.normals, q) - self.cuts).tolist()
+        queue, found, first, most = [(0.0, t, 0, 0) for t in range(len(margins))], [], 2**self.depth - 1, reach * reach
+        while queue:
             far, t, at, level = heapq.heappop(queue)
+            if far > most:
+                break
             while level < self.depth:
-                margin = float(self.normals[t, at] @ q - self.cuts[t, at])
+                margin, level = margins[t][at], level + 1
                 near = 2 * at + 1 + (margin > 0)
-                heapq.heappush(queue, (max(far, abs(margin)), t, 4 * at + 3 - near, level + 1))
-                at, level = near, level + 1
-            leaf = at - first + t * 2**self.depth
-            found.append(leaf)
-            rows += weight[leaf]
+                heapq.heappush(queue, (far + margin * margin, t, 4 * at + 3 - near, level))
+                at = near
+            found.append(at - first + t * 2**self.depth)
         return found
 
+    def estimates(self, q: np.ndarray) -> np.ndarray:
+        """(queries, leaves): the sums of squared margins by which search() orders leaves."""
+        out = []
+        for normals, cuts in zip(self.normals, self.cuts):
+            margins, far = q @ normals.T - cuts, np.zeros((len(q), 1))
+            for level in range(self.depth):
+                own = margins[:, 2**level - 1 : 2 ** (level + 1) - 1]
+                far = np.stack([far + np.maximum(own, 0) ** 2, far + np.minimum(own, 0) ** 2], 2).reshape(len(q), -1)
+            out.append(far)
+        return np.concatenate(out, 1)
+
 
 def fit(sample: np.ndarray, trees: int, leaf: float, seed: int) -> Forest:
     """Splits along the difference of two random vectors, at the median of the projections, down to about ``leaf``
@@ -77,6 +88,22 @@ def fit(sample: np.ndarray, trees: int, leaf: float, seed: int) -> Forest:
     return Forest(depth, normals, cuts)
 
 
+def calibrated(forest: Forest, sample: np.ndarray, k: int, recall: float, probes: int = 256) -> float:
+    """How far a search has to go, as a share of the distance to the k-th neighbour, to meet the share ``recall`` of the
+    k nearest in the sample, whose first vectors ask. A share of a distance holds at any number of vectors; data without
+    structure makes it wide and clusters make it small. 1 or more: without end, which finds all."""
+    if len(sample) < k + 2 or recall >= 1:
+        return float("inf")
+    asking, squares = sample[:probes], (sample**2).sum(1)
+    distance = squares[None] + (asking**2).sum(1)[:, None] - 2 * asking @ sample.T
+    distance[np.arange(len(asking)), np.arange(len(asking))] = np.inf
+    near = np.argpartition(distance, k, axis=1)[:, :k]
+    leaves, estimates, rows = forest.leaves(sample), forest.estimates(asking), np.arange(len(asking))[:, None]
+    needed = np.min([estimates[rows, leaves[near, t]] for t in range(len(forest.normals))], axis=0)
+    farthest = np.maximum(distance[rows, near].max(1), 1e-300)
+    return float(np.quantile(np.sqrt(needed / farthest[:, None]), recall))
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """vec_id, embedding of the rows that take part: no null, zero or non-finite vector, and of the commonest length
     (of several, the least), as distances need one length."""
@@ -91,17 +118,50 @@ def matrix(vectors: pa.Array) -> np.ndarray:
     return np.asarray(vectors.flatten(), float).reshape(len(vectors), -1)
 
 
-def search(vectors: DataFrame, every: int = 100, k: int = 10, trees: int = 8, leaf: int = 256, sample: int = 16_384, visit: float = 16.0, tile: int = 8192, seed: int = 6) -> DataFrame:
+def nearest(own: pd.DataFrame, ask: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The entries of one leaf nearest to each query, up to k + 1 different smallest ids and not beyond the query's reach;
+    nothing else can be among k nearest ids. Of entries of one id, only the nearest is of use."""
+    out = [(np.empty(0, int), np.empty(0, int), np.empty(0, int), np.empty(0))]
+    if len(own) and len(ask):
+        own = own.sort_values(["low", "entry"])
+        x, ids = np.stack(own["embedding"].to_numpy()).astype(float), own["entry"].to_numpy()
+        lows, alone = own["low"].to_numpy(), own["alone"].to_numpy()
+        squares, different = (x**2).sum(1), len(np.unique(lows)) == len(lows)
+        names, reach = ask["entry"].to_numpy(), ask["reach"].to_numpy()
+        for at in range(0, len(ask), 256):
+            points = np.stack(ask["embedding"].to_numpy()[at : at + 256]).astype(float)
+            about = squares[None] + (points**2).sum(1)[:, None] - 2 * points @ x.T  # only chooses what is measured
+            spare = 1e-9 * (squares.max() + (points**2).sum(1))
+            last = np.partition(about, k, axis=1)[:, k] if different and about.shape[1] > k + 1 else np.full(len(points), np.inf)
+            for i, point in enumerate(points):
+                some = np.flatnonzero(about[i] <= min(last[i], reach[at + i] ** 2) + spare[i])
+                distance = np.sqrt(((x[some] - point) ** 2).sum(1))
+                order = np.argsort(distance, kind="stable")
+                order = order[distance[order] <= reach[at + i]]
+                # rows up to the one that brings the (k + 1)-th different id
+                firsts = np.sort(np.unique(lows[some[order]], return_index=True)[1])
+                best = order[: firsts[k] + 1] if len(firsts) > k else order
+                new = np.zeros(len(best), bool)
+                new[firsts[firsts < len(best)]] = True
+                best = best[new | ~alone[some[best]]]
+                out.append((np.full(len(best), names[at + i]), ids[some[best]], lows[some[best]], distance[best]))
+    return pd.DataFrame({c: np.concatenate([x[k] for x in out]) for k, c in enumerate(("query", "entry", "low", "distance"))})
+
+
+def search(vectors: DataFrame, every: int = 100, k: int = 10, trees: int = 4, leaf: int = 256, sample: int = 16_384, recall: float = 0.95, tile: int = 8192, seed: int = 6) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` nearest found of every row whose vec_id is divisible by
     ``every``, by Euclidean distance in double precision, ties to the smaller vec_id, the query itself left out.
 
     The forest is fitted on at most ``sample`` different vectors, the first by hash; every vector is indexed, in leaves
     of about ``leaf`` entries (larger ones once a sample vector stands for over ``leaf`` / 4). Equal vectors are one entry
     that keeps its k + 1 smallest ids: no others can be among k nearest, so nothing is lost, and a vector that a third
-    of all rows share costs no more than any other. A query visits leaves of ``visit`` * entries ** 0.7 entries in all:
-    what vectors without structure need for a recall of 0.9; the work of a query grows slower than the index. Leaves
-    of over ``tile`` entries are dealt over several tasks, with their queries. Each task returns k + 1 entries per query
-    and leaf at most.
+    of all rows share costs no more than any other.
+
+    A query first reads the leaf that it falls into in each tree. The distance to the k-th of what it finds there, times
+    a share that is calibrated on the sample for ``recall``, is how far its queue then goes: on clustered vectors it
+    reads a hundredth of the rows, on vectors without any structure about half, as nothing less meets that recall.
+    Leaves of over ``tile`` entries, or of many queries, are dealt over several tasks. A task returns k + 1 entries
+    per query and leaf at most, and none beyond the distance known.
 
     Vectors that are null, empty, all zero, of a rarer length, or hold null or non-finite components take no part, nor
     do rows without vec_id; they have no result rows. Repeated rows count once. A vec_id of several vectors has them all:
@@ -120,65 +180,57 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, trees: int = 8, le
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     points, count = matrix(picked["embedding"].combine_chunks()), entries.count()
     forest = fit(points, trees, max(4.0, leaf * len(points) / count), seed)
+    share = calibrated(forest, points, k, recall)
+
+    def spread(part: pa.RecordBatch, found: list, names: list[str]) -> pa.RecordBatch:
+        """The rows of ``part``, each with every leaf of its list."""
+        again = part.take(pa.array(np.repeat(np.arange(part.num_rows), [len(x) for x in found])))
+        return pa.RecordBatch.from_arrays([pa.array([x for own in found for x in own], pa.int64()), *again.columns], ["leaf", *names])
 
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                again = part.take(pa.array(np.repeat(np.arange(part.num_rows), trees)))
-                yield pa.RecordBatch.from_arrays([pa.array(forest.leaves(matrix(part.column(1))).ravel()), *again.columns], ["leaf", "entry", "embedding", "low", "alone"])
-
-    places = common.staged(entries.select("entry", "embedding", "low", "alone").mapInArrow(indexed, f"leaf long, entry long, embedding {kind}, low long, alone boolean"))
-    # one row per leaf: bounded by the forest's size
-    sizes = {r["leaf"]: r["n"] for r in places.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
-    weight = np.array([sizes.get(i, 0) for i in range(trees * 2**forest.depth)], float)
-    most = visit * count**0.7
+                yield spread(part, forest.leaves(matrix(part.column(1))).tolist(), batch.schema.names)
 
     def visited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                found = [[x for x in forest.search(v, most, weight) if weight[x]] for v in matrix(part.column(1))]
-                again = part.take(pa.array(np.repeat(np.arange(part.num_rows), [len(x) for x in found])))
-                yield pa.RecordBatch.from_arrays([pa.array([x for own in found for x in own], pa.int64()), *again.columns], ["leaf", "entry", "embedding"])
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                points, known = matrix(part.column(1)), np.asarray(part.column(2))
+                more = [set(forest.search(v, np.inf if np.isinf(r) else share * r)) - set(home) for v, r, home in zip(points, known, forest.leaves(points).tolist())]
+                yield spread(part, more, batch.schema.names)
+
+    places = common.staged(entries.select("entry", "embedding", "low", "alone").mapInArrow(indexed, f"leaf long, entry long, embedding {kind}, low long, alone boolean"))
+    sizes = common.staged(places.groupBy("leaf").agg(F.count("*").alias("n")))  # at most trees * sample / 4 rows
+
+    def met(asked: DataFrame) -> DataFrame:
+        """query, entry, low, distance of what the asked leaves (leaf, entry, embedding, reach) hold near the query. Leaves are
+        cut into parts of entries and turns of queries, each pair of which is one group."""
+        turns = asked.groupBy("leaf").agg(F.ceil(F.count("*") / tile).cast("int").alias("turns"))
+        cut = F.broadcast(sizes.join(turns, "leaf").select("leaf", F.ceil(F.col("n") / tile).cast("int").alias("parts"), "turns"))
+        pick = lambda of: F.pmod(F.xxhash64("entry"), F.col(of)).cast("int")
+        each = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+        left = places.join(cut, "leaf").select("leaf", pick("parts").alias("part"), each("turns").alias("turn"), "entry", "embedding", "low", "alone")
+        right = asked.join(cut, "leaf").select("leaf", each("parts").alias("part"), pick("turns").alias("turn"), "entry", "embedding", "reach")
+        key = ["leaf", "part", "turn"]
+        return common.staged(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(lambda own, ask: nearest(own, ask, k), "query long, entry long, low long, distance double"))
 
-    asking = common.staged(rows.where(F.col("vec_id") % every == 0).join(entries.select("embedding", "entry"), "embedding").select(F.col("vec_id").alias("query_id"), "entry").distinct())
-    wanted = asking.select("entry").distinct().join(entries.select("entry", "embedding"), "entry")
-    asked = wanted.select("entry", "embedding").mapInArrow(visited, f"leaf long, entry long, embedding {kind}")
-
-    big = {i: -(-n // tile) for i, n in sizes.items() if n > tile}
-    parts = F.coalesce(F.create_map(*[F.lit(x) for pair in big.items() for x in pair])[F.col("leaf")], F.lit(1)) if big else F.lit(1)
-    left = places.withColumn("part", F.pmod(F.xxhash64("entry"), parts).cast("int"))
-    right = asked.withColumn("part", F.explode(F.sequence(F.lit(0), parts.cast("int") - 1)))
-
-    def nearest(own: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
-        """The nearest entries up to k + 1 different smallest ids; nothing beyond can be among k nearest ids. Of entries of
-        one id, only the nearest is of use."""
-        if own.empty or ask.empty:
-            return pd.DataFrame({"query": np.empty(0, int), "entry": np.empty(0, int), "low": np.empty(0, int), "distance": np.empty(0)})
-        own = own.sort_values(["low", "entry"])
-        x, ids, out = np.stack(own["embedding"].to_numpy()).astype(float), own["entry"].to_numpy(), []
-        lows, alone = own["low"].to_numpy(), own["alone"].to_numpy()
-        for name, point in zip(ask["entry"].to_numpy(), np.stack(ask["embedding"].to_numpy()).astype(float)):
-            distance = np.sqrt(((x - point) ** 2).sum(1))
-            order, most = np.argsort(distance, kind="stable"), k + 1
-            while True:
-                firsts = np.unique(lows[order[:most]], return_index=True)[1]
-                if len(firsts) > k or most >= len(order):
-                    break
-                most *= 2
-            best = order[: min(most, np.sort(firsts)[: k + 1][-1] + 1)]
-            new = np.zeros(len(order), bool)
-            new[firsts] = True
-            best = best[new[: len(best)] | ~alone[best]]
-            out.append((np.full(len(best), name), ids[best], lows[best], distance[best]))
-        return pd.DataFrame({c: np.concatenate([x[k] for x in out]) for k, c in enumerate(("query", "entry", "low", "distance"))})
-
-    found = left.groupBy("leaf", "part").cogroup(right.groupBy("leaf", "part")).applyInPandas(nearest, "query long, entry long, low long, distance double")
-    found = common.staged(found.dropDuplicates(["query", "entry"]))
     by_query = Window.partitionBy("query")
-    far = found.groupBy("query", "low").agg(F.min("distance").alias("distance")).withColumn("_r", F.row_number().over(by_query.orderBy("distance", "low"))).where(F.col("_r") <= k + 1)
-    best = found.join(far.groupBy("query").agg(F.max("distance").alias("far")), "query").where(F.col("distance") <= F.col("far"))
+
+    def limits(found: DataFrame) -> DataFrame:
+        """query, far: the distance within which k + 1 different ids are found, null where fewer are."""
+        ranked = found.groupBy("query", "low").agg(F.min("distance").alias("distance")).withColumn("_r", F.row_number().over(by_query.orderBy("distance", "low"))).where(F.col("_r") <= k + 1)
+        return ranked.groupBy("query").agg(F.max("distance").alias("far"), F.count("*").alias("n")).select("query", F.when(F.col("n") > k, F.col("far")).alias("far"))
+
+    asking = common.staged(rows.where(F.col("vec_id") % every == 0).join(entries.select("embedding", "entry"), "embedding").select(F.col("vec_id").alias("query_id"), "entry").distinct())
+    endless = F.lit(float("inf"))
+    wanted = common.staged(asking.select("entry").distinct().join(entries.select("entry", "embedding"), "entry").select("entry", "embedding", endless.alias("reach")))
+    schema = f"leaf long, entry long, embedding {kind}, reach double"
+    home = met(wanted.mapInArrow(indexed, schema))
+    known = wanted.drop("reach").join(limits(home), F.col("entry") == F.col("query"), "left").select("entry", "embedding", F.coalesce("far", endless).alias("reach"))
+    found = common.staged(home.unionByName(met(common.staged(known.mapInArrow(visited, schema)))).dropDuplicates(["query", "entry"]))
+    best = found.join(limits(found), "query").where(F.col("far").isNull() | (F.col("distance") <= F.col("far")))
     pairs = best.join(entries.select("entry", "ids"), "entry").select("query", "distance", F.explode("ids").alias("vec_id")).groupBy("query", "vec_id").agg(F.min("distance").alias("distance"))
     pairs = common.staged(pairs.withColumn("_r", F.row_number().over(by_query.orderBy("distance", "vec_id"))).where(F.col("_r") <= k + 1).drop("_r"))
     answers = asking.join(pairs, F.col("entry") == F.col("query")).where("vec_id <> query_id").groupBy("query_id", "vec_id").agg(F.min("distance").alias("distance"))

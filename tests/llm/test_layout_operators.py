@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -43,7 +44,7 @@ def test_neighbours_of_repeated_rows(spark):
     rows += 2 * [rows[0]] + 14 * [rows[50]] + 5 * [rows[51]]
     rows += [(100, (x[100] + d / 1000).tolist()) for d in range(1, 15)] + [(7, (x[150] + d / 1000).tolist()) for d in range(1, 15)]
     rows += [(k, x[150].tolist()) for k in range(300, 330)]
-    got = neighbours.search(vectors(spark, [(k, v, 0) for k, v in rows]), every=50, k=10, leaf=64, tile=32, visit=1e9).collect()
+    got = neighbours.search(vectors(spark, [(k, v, 0) for k, v in rows]), every=50, k=10, leaf=64, tile=32, recall=1.0).collect()
     ids, points = np.array([k for k, _ in rows]), np.array([v for _, v in rows], np.float32).astype(float)
     for q in (0, 50, 100, 150, 300):
         near = {}
@@ -55,6 +56,24 @@ def test_neighbours_of_repeated_rows(spark):
     assert len(got) == 50
 
 
+@pytest.mark.parametrize("clusters", [0, 40])
+def test_the_forest_prunes_and_finds(clusters):
+    """On the driver: recall and the share of rows read, on vectors without structure and on clustered ones."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(30_000, 32)) if not clusters else rng.normal(size=(clusters, 32))[rng.integers(0, clusters, 30_000)] + 0.3 * rng.normal(size=(30_000, 32))
+    sample = x[rng.choice(len(x), 4000, replace=False)]
+    forest = neighbours.fit(sample, 4, 32, 1)
+    share, leaves = neighbours.calibrated(forest, sample, 10, 0.95), forest.leaves(x)
+    hits, read = 0, 0
+    for q in range(0, len(x), 1000):
+        distance = np.sqrt(((x - x[q]) ** 2).sum(1))
+        order = np.argsort(distance)
+        reach = np.sort(distance[np.isin(leaves, leaves[q]).any(1)])[10]
+        seen = np.isin(leaves, [*forest.search(x[q], share * reach), *leaves[q]]).any(1)
+        hits, read = hits + seen[order[1:11]].sum(), read + seen.mean()
+    assert hits >= 0.9 * 300 and read / 30 < (0.1 if clusters else 0.9)
+
+
 def test_few_and_no_vectors(spark):
     few = neighbours.search(vectors(spark, [(0, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [1.0, 0.0], 0)]), every=2, k=10).collect()
     assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in few) == [(0, 1, 2), (0, 2, 1), (2, 1, 0), (2, 2, 1)]
