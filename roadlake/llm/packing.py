@@ -17,15 +17,16 @@ SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, seque
 class Encoder:
     """Token ids as little-endian unsigned 32-bit bytes.
 
-    Texts are cut before single spaces and each piece's ids are kept in a dictionary of bounded size. Only a token with
+    Texts are cut before single spaces and the ids of pieces of up to ``longest`` characters are kept in a dictionary of at
+    most ``kept`` entries, so its bytes are bounded, also for texts without spaces. Only a token with
     a space after its first byte can span such a cut: texts that hold one's bytes, neighbouring spaces or a special
     token's string take the tokenizer's whole path.
     """
 
-    def __init__(self, path: str, kept: int = 400_000):
+    def __init__(self, path: str, kept: int = 400_000, longest: int = 64):
         from tokenizers import Tokenizer
 
-        self.full, self.kept, self.ids, self.fast = Tokenizer.from_file(path), kept, {}, None
+        self.full, self.kept, self.longest, self.ids, self.fast = Tokenizer.from_file(path), kept, longest, {}, None
         if path.endswith("byte_bpe_50k.json"):
             import public_tokenizers
             import tiktoken
@@ -51,12 +52,15 @@ class Encoder:
         try:
             return b"".join([ids[x] for x in parts])
         except KeyError:
-            if len(ids) > self.kept:
-                ids.clear()
-            for x in parts:
-                if x not in ids:
-                    ids[x] = np.array(self.fast.encode_ordinary(x), "<u4").tobytes()
-            return b"".join([ids[x] for x in parts])
+            return b"".join([ids[x] if x in ids else self.piece(x) for x in parts])
+
+    def piece(self, text: str) -> bytes:
+        found = np.array(self.fast.encode_ordinary(text), "<u4").tobytes()
+        if len(text) <= self.longest:
+            if len(self.ids) >= self.kept:
+                self.ids.clear()
+            self.ids[text] = found
+        return found
 
 
 def spanning(tokens: Iterable[bytes]) -> tuple[list[str], list[bytes]]:
@@ -104,15 +108,15 @@ class Bins:
         return found, self.size - free
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = 2048, open_bins: int = 32_768, window: int = 262_144) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, size: int = 2048, open_bins: int = 256, window: int = 1024) -> DataFrame:
     """One row per piece of every row of ``docs`` (doc_id, text): see SCHEMA.
 
     A document is its ids and then id 0. Documents longer than ``size`` are cut into pieces of ``size`` tokens, of
     which the first may be shorter; full pieces are sequences of their own. All other pieces go to the bounded-space
-    best fit. A task packs what its partition holds and no row is shuffled: pieces are gathered in windows of
-    ``window`` pieces (numbers only, no texts or ids), which are placed longest first, so that short pieces fill
-    what long ones leave; bins stay open across windows. Sequence ids are unique because they hold the partition's
-    number; a repeated task gives the same rows.
+    best fit of ``open_bins`` bins. A task packs what its partition holds and no row is shuffled: pieces (numbers only, no
+    texts or ids) wait for ``window`` others and are placed longest first, so that short pieces fill what long ones
+    leave; bins stay open across windows. Sequence ids are unique because they hold the partition's number; a
+    repeated task gives the same rows.
 
     Null text counts as empty: one token. An empty table gives no rows. Repeated rows are packed each. Null doc_id
     stays null. Extra columns are not read.
