@@ -124,10 +124,12 @@ def learn(x: np.ndarray, bad: np.ndarray, most: int = 12, precision: float = 0.9
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = 12_000) -> list[Rule]:
     """Learns from the statistics of at most ``sample`` labelled rows outside the held-out fold; the driver gets
-    these numbers only. No labels, or labels of one kind, give no rules."""
+    these numbers only. Of repeated rows of one id the least by its numbers counts. No labels, or labels of one kind,
+    give no rules."""
     own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     chosen = with_statistics(own.join(F.broadcast(sample_of(labels, sample)), "doc_id"))
-    got = chosen.select("doc_id", "label", "stats.*").dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
+    one = chosen.groupBy("doc_id").agg(F.min(F.struct("label", "stats.*")).alias("x"))
+    got = one.select("doc_id", "x.*").toPandas().sort_values("doc_id")
     if got["label"].nunique() < 2:
         return []
     return learn(ratios(got[BASE + MORE].to_numpy()), got["label"].to_numpy() == 0)

@@ -204,6 +204,30 @@ def test_packing_is_an_exact_cut(spark):
     assert got.sequence_id.nunique() <= -(-got.length.sum() // 2048) * 1.1 + 4
 
 
+def test_packing_is_bounded_and_loses_little():
+    rng = random.Random(6)
+    lengths = [min(2047, int(rng.lognormvariate(6.2, 0.9)) + 1) for _ in range(20_000)]
+    least, made = -(-sum(lengths) // 2048), {}
+    for most in (64, 256, 20_000):
+        bins, held = packing.Bins(2048, most), []
+        for at in range(0, len(lengths), 1024):
+            for n in sorted(lengths[at : at + 1024], reverse=True):
+                bins.place(n)
+                held.append(bins.open)
+        made[most] = bins.made
+        assert max(held) <= most
+    assert made[64] > made[256] and made[256] <= 1.01 * least
+
+
+def test_encoder_keeps_short_pieces_only():
+    encode = packing.Encoder(TOKENIZER, kept=50, longest=8)
+    rng = random.Random(8)
+    for _ in range(40):
+        text = " ".join("".join(rng.choices("abcdefgh", k=rng.choice([2, 5, 30]))) for _ in range(30))
+        assert encode(text) == np.array(encode.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert len(encode.ids) <= 50 and all(len(x) <= 8 for x in encode.ids)
+
+
 def test_packing_keeps_tokens_that_span_spaces(spark):
     from tokenizers import Tokenizer
 
@@ -257,6 +281,8 @@ def test_classifier_and_rules_on_held_out_rows(spark, tmp_path):
     judged = queries.op9_quality_rules(spark, f"file://{tmp_path}").collect()
     assert np.mean([(r["doc_id"] in good) == r["kept"] for r in judged if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2]) > 0.97
     assert all(not r["kept"] for r in judged if r["base_failed"])
+    model = quality_model.train(spark.read.parquet(f"file://{tmp_path}/documents.parquet"), spark.read.parquet(f"file://{tmp_path}/labels.parquet"))
+    assert all(r["score"] < 0.7 for r in quality_model.scores(documents(spark, [None, "", " \n"]), model).collect())
 
 
 def test_factorisation_machine_is_the_sum_over_pairs():
