@@ -49,6 +49,7 @@ class EndpointSpec:
             ((self.roster is None) != (self.shape in ("roster", "roster_batches")), "roster exactly for roster shapes"),
             ((self.shape == "roster_batches") == (self.batch_size is not None), "batch size exactly for batches"),
             ((self.shape == "sweep") == (self.sweep is not None), "sweep values exactly for sweeps"),
+            (self.sweep is None or self.audit is not None, "a sweep needs an audit, which says that its chains are finished"),
             (self.fixed_unit_days is None or self.mode == "watermark", "fixed units are for windowed datasets"),
             (self.shape != "bisected" or (self.mode == "watermark" and self.page_limit), "capped windows need a window and a cap"),
             (not self.count_check or self.mode == "snapshot", "a count check is for snapshots"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlake.operators.filters import fetchable
+from roadlake.staging import staged
 
 KEY = ["provider", "name", "member"]
 
@@ -61,8 +62,16 @@ class CommaInMember(ValueError):
 
 def batches(members: DataFrame, size: int) -> DataFrame:
     """provider, name, batch, members: sorted members, ``size`` to a batch, joined by commas; a member with a comma
-    fails the job. A roster's members are ranked in one task per roster: rosters are bounded by a fleet."""
-    by = Window.partitionBy("provider", "name").orderBy("member")
+    fails the job. Members are ranked inside ranges of their order, whose sizes give each range its first rank, so a roster
+    of any size is no single task."""
+    roster = ["provider", "name"]
     checked = F.when(F.contains("member", F.lit(",")), F.raise_error(F.lit("a member holds a comma")).cast("string")).otherwise(F.col("member"))
-    rows = members.select("provider", "name", F.floor((F.row_number().over(by) - 1) / size).cast("int").alias("batch"), checked.alias("member"))
-    return rows.groupBy("provider", "name", "batch").agg(F.concat_ws(",", F.array_sort(F.collect_list("member"))).alias("members"))
+    ranges = members.select(*roster, checked.alias("member")).repartitionByRange(*roster, "member")
+    rows = staged(ranges.withColumn("_range", F.spark_partition_id()))
+    earlier = Window.partitionBy(*roster).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(*roster, "_range").agg(F.count("*").alias("_n"))
+    begin = sizes.select(*roster, "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_begin"))
+    inside = F.row_number().over(Window.partitionBy(*roster, "_range").orderBy("member"))
+    ranked = rows.withColumn("_rank", inside).join(begin, [*roster, "_range"])
+    batch = F.floor((F.col("_begin") + F.col("_rank") - 1) / size).cast("int")
+    return ranked.select(*roster, batch.alias("batch"), "member").groupBy(*roster, "batch").agg(F.concat_ws(",", F.array_sort(F.collect_list("member"))).alias("members"))

@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadlake import catalog
@@ -139,45 +139,55 @@ def validation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typing.quarantined(typing.typed(decode.records(pages, decode.Decode(("data",))), schema)).select("event_id", F.explode("errors").alias("error"))
 
 
-WALK = """WITH p AS (SELECT event_id // 1000 AS chain, CAST((event_id % 1000) // 100 AS INTEGER) AS page_seq FROM events WHERE event_id % 100 = 0 AND (event_id // 100) % 13 <> 5),
-w AS (SELECT CAST(chain AS VARCHAR) AS chain_id, page_seq, lag(page_seq) OVER c AS before, lead(page_seq) OVER c IS NULL AS last, count(*) OVER (PARTITION BY chain ORDER BY page_seq) AS n FROM p WINDOW c AS (PARTITION BY chain ORDER BY page_seq))
-SELECT chain_id, page_seq, fault FROM (SELECT *, CASE {} END AS fault FROM w) WHERE fault IS NOT NULL"""
+#: Pages of a hundred events, ten to a chain; every thirteenth page has not landed. {0}: faults; {1}: more pages.
+WALK = """WITH p AS (SELECT event_id // 1000 AS chain, CAST((event_id % 1000) // 100 AS INTEGER) AS page_seq, count(*) AS n FROM events GROUP BY ALL),
+t AS (SELECT chain, max(page_seq) AS top, sum(n) AS total FROM p GROUP BY 1),
+l AS (SELECT chain, page_seq, n, top, total FROM p JOIN t USING (chain) WHERE (chain * 10 + page_seq) % 13 <> 5{1}),
+w AS (SELECT CAST(chain AS VARCHAR) AS chain_id, page_seq, top, total, lag(page_seq) OVER c AS before, lead(page_seq) OVER c IS NULL AS last, sum(n) OVER c AS upto FROM l WINDOW c AS (PARTITION BY chain ORDER BY page_seq))
+SELECT chain_id, page_seq, fault FROM (SELECT *, CASE {0} END AS fault FROM w) WHERE fault IS NOT NULL"""
 
 
-def walk_pages(spark: SparkSession, sf_dir: str, body: Callable[[Column], Column], param: str, sent: Callable[[Column], Column]) -> DataFrame:
-    """Chains of ten pages, every thirteenth of which has not landed."""
-    rows = table(spark, sf_dir, "events").where((F.col("event_id") % 100 == 0) & (F.floor(F.col("event_id") / 100) % 13 != 5))
-    no = F.floor(F.col("event_id") % 1000 / 100).cast("int")
-    return rows.select(F.lit("p").alias("provider"), F.lit("e").alias("endpoint"), F.floor(F.col("event_id") / 1000).cast("string").alias("chain_id"), no.alias("page_seq"), F.create_map(F.lit(param), sent(no)).alias("sent_params"), F.lit(2).alias("results_limit"), F.to_json(body(no)).alias("body"))
-
-
-def items(n: Column, no: Column) -> Column:
-    """n of two records with text ids that grow along the walk."""
-    both = F.transform(F.sequence(F.lit(1), F.lit(2)), lambda k: F.struct(F.concat(F.lit("i"), no, F.lit("-"), k).alias("id"), k.alias("k")))
-    return F.filter(both, lambda x: x["k"] <= n)
-
-
-@query(WALK.format("WHEN page_seq + 1 <> coalesce(before + 1, 0) + 1 THEN 'page missing before this one' WHEN last AND page_seq < 9 THEN 'walk ends before the total' WHEN last AND 2 * n <> 20 THEN 'records do not add up to the total'"))
+def walk_pages(spark: SparkSession, sf_dir: str, body: Callable[[], Column], param: str, sent: Column, limit: Column | None = None, ends: bool = False) -> DataFrame:
+    """All events as chains of pages that hold them as records, without those that have not landed. ``body``, ``sent`` and
+    ``limit`` are made of items, no (of the page), n (its events), top (the last page's no), total (events of the chain) and
+    before_id (of the last event of the page before). ``ends``: with an empty page after the last one."""
+    n = F.col("event_id")
+    events = table(spark, sf_dir, "events").select(F.floor(n / 1000).alias("chain"), F.floor(n % 1000 / 100).cast("int").alias("no"), n, "value")
+    stats = events.groupBy("chain", "no").agg(F.count("*").alias("n"), F.max("event_id").alias("last_id"))
+    chain = Window.partitionBy("chain")
+    stats = stats.select("chain", "no", "n", F.max("no").over(chain).alias("top"), F.sum("n").over(chain).alias("total"), F.lag("last_id").over(chain.orderBy("no")).alias("before_id"), "last_id")
+    items = events.groupBy("chain", "no").agg(F.array_sort(F.collect_list(F.struct(F.lpad(n.cast("string"), 12, "0").alias("id"), "value"))).alias("items"))
+    pages = items.join(stats, ["chain", "no"]).where((F.col("chain") * 10 + F.col("no")) % 13 != 5)
+    if ends:
+        after = stats.where("no = top").select("chain", (F.col("no") + 1).alias("no"), F.lit(0).alias("n"), "top", "total", F.col("last_id").alias("before_id"), F.lit(None).cast("long").alias("last_id"))
+        pages = pages.unionByName(after.withColumn("items", F.array().cast(pages.schema["items"].dataType)))
+    limits = F.lit(100) if limit is None else limit
+    return pages.select(F.lit("p").alias("provider"), F.lit("e").alias("endpoint"), F.col("chain").cast("string").alias("chain_id"), F.col("no").alias("page_seq"), F.create_map(F.lit(param), sent).alias("sent_params"), limits.cast("int").alias("results_limit"), F.to_json(body()).alias("body"))
+
+
+@query(WALK.format("WHEN page_seq + 1 <> coalesce(before + 1, 0) + 1 THEN 'page missing before this one' WHEN last AND (page_seq + 1) * 100 < total THEN 'walk ends before the total' WHEN NOT last AND (page_seq + 1) * 100 >= total THEN 'page after the end' WHEN last AND upto <> total THEN 'records do not add up to the total'", ""))
 def walk_audit_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = walk_pages(spark, sf_dir, lambda no: F.struct(items(F.lit(2), no).alias("data"), F.struct((no + 1).alias("page_no"), F.lit(2).alias("per_page"), F.lit(20).alias("total")).alias("pagination")), "page_no", lambda no: (no + 1).cast("string"))
-    return audit.offset_walk(pages, "data").select("chain_id", "page_seq", "fault")
+    body = lambda: F.struct(F.col("items").alias("data"), F.struct((F.col("no") + 1).alias("page_no"), F.lit(100).alias("per_page"), "total").alias("pagination"))
+    return audit.offset_walk(walk_pages(spark, sf_dir, body, "page_no", (F.col("no") + 1).cast("string")), "data").select("chain_id", "page_seq", "fault")
 
 
-@query(WALK.format("WHEN page_seq > 0 AND before IS NULL OR before <> page_seq - 1 THEN 'request does not continue the page before' WHEN last AND page_seq < 9 THEN 'walk ends before the last page'"))
+@query(WALK.format("WHEN page_seq > 0 AND before IS NULL OR before <> page_seq - 1 THEN 'request does not continue the page before' WHEN last AND page_seq < top THEN 'walk ends before the last page'", ""))
 def walk_audit_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = walk_pages(spark, sf_dir, lambda no: F.struct(items(F.lit(2), no).alias("data"), F.struct(F.when(no < 9, F.concat(F.lit("c"), no)).otherwise("").alias("endCursor"), (no < 9).alias("hasNextPage")).alias("pagination")), "after", lambda no: F.when(no > 0, F.concat(F.lit("c"), no - 1)))
-    return audit.cursor_walk(pages).select("chain_id", "page_seq", "fault")
+    more = F.col("no") < F.col("top")
+    body = lambda: F.struct(F.col("items").alias("data"), F.struct(F.when(more, F.concat(F.lit("c"), "no")).otherwise("").alias("endCursor"), more.alias("hasNextPage")).alias("pagination"))
+    return audit.cursor_walk(walk_pages(spark, sf_dir, body, "after", F.when(F.col("no") > 0, F.concat(F.lit("c"), F.col("no") - 1)))).select("chain_id", "page_seq", "fault")
 
 
-@query(WALK.format("WHEN before IS NOT NULL AND before <> page_seq - 1 THEN 'request does not continue the page before' WHEN last AND page_seq < 9 THEN 'walk ends on a full page'"))
+@query(WALK.format("WHEN before IS NOT NULL AND before <> page_seq - 1 THEN 'request does not continue the page before' WHEN last AND page_seq < top THEN 'walk ends on a full page'", ""))
 def walk_audit_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = walk_pages(spark, sf_dir, lambda no: F.struct(F.struct(items(F.when(no < 9, 2).otherwise(1), no).alias("data"), F.concat(F.lit("v"), no).alias("toVersion")).alias("result")), "fromVersion", lambda no: F.when(no > 0, F.concat(F.lit("v"), no - 1)))
-    return audit.feed_walk(pages).select("chain_id", "page_seq", "fault")
+    body = lambda: F.struct(F.struct(F.col("items").alias("data"), F.concat(F.lit("v"), "no").alias("toVersion")).alias("result"))
+    limit = F.col("n") + (F.col("no") == F.col("top")).cast("int")
+    return audit.feed_walk(walk_pages(spark, sf_dir, body, "fromVersion", F.when(F.col("no") > 0, F.concat(F.lit("v"), F.col("no") - 1)), limit)).select("chain_id", "page_seq", "fault")
 
 
-@query(WALK.format("WHEN page_seq > 0 AND before IS NULL OR before <> page_seq - 1 THEN 'request does not continue the page before' WHEN last AND page_seq < 9 THEN 'walk ends before an empty page'"))
+@query(WALK.format("WHEN page_seq > 0 AND before IS NULL OR before <> page_seq - 1 THEN 'request does not continue the page before' WHEN last AND page_seq <= top THEN 'walk ends before an empty page'", " UNION ALL SELECT chain, top + 1, 0, top, total FROM t"))
 def walk_audit_seek(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = walk_pages(spark, sf_dir, lambda no: F.struct(items(F.when(no < 9, 2).otherwise(0), no).alias("result")), "offset", lambda no: F.when(no > 0, F.concat(F.lit("i"), no - 1, F.lit("-2"))))
+    pages = walk_pages(spark, sf_dir, lambda: F.struct(F.col("items").alias("result")), "offset", F.lpad(F.col("before_id").cast("string"), 12, "0"), ends=True)
     return audit.seek_walk(pages).select("chain_id", "page_seq", "fault")
 
 
@@ -230,12 +240,18 @@ def covered_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", F.explode(sets.covered_dates(F.col("ts"), end)).alias("date")).select("event_id", F.col("date").cast("string").alias("date"))
 
 
-@query("SELECT 'absent' AS value WHERE NOT EXISTS (SELECT 1 FROM events WHERE event_type = 'absent')")
+SWEPT = ("click", "error", "login", "logout", "purchase", "refund", "signup", "view")
+
+
+@query(f"WITH c AS (SELECT event_type, user_id, bool_or(event_id % 50 = 7) AS cut FROM events WHERE event_type <> 'click' OR event_id % 2 = 0 GROUP BY ALL) SELECT value FROM (VALUES {', '.join(f'({x!r})' for x in SWEPT)}) v(value) WHERE value NOT IN (SELECT event_type FROM c WHERE NOT cut OR event_type = 'view') OR value = 'error'")
 def sweep_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of the values that a sweep declares, the one without a finished chain."""
-    chains = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n")).select(F.create_map(F.lit("kind"), "event_type").alias("sent_params"), (F.col("n") > 0).alias("finished"))
-    kinds = [r["event_type"] for r in table(spark, sf_dir, "events").select("event_type").distinct().limit(50).collect()]
-    return sets.unswept(chains, "kind", [*kinds, "absent"])
+    """Of the values that a sweep declares, those without a finished chain. A chain is a type's events of a user: the walks of
+    errors were all cut short, others where one of their events says so."""
+    n, kind = F.col("event_id"), F.col("event_type")
+    events = table(spark, sf_dir, "events").where((kind != "click") | (n % 2 == 0))
+    chains = events.groupBy("event_type", "user_id").agg(F.bool_or(n % 50 == 7).alias("cut"))
+    finished = (~F.col("cut") | (kind == "view")) & (kind != "error")
+    return sets.unswept(chains.select(F.create_map(F.lit("kind"), kind).alias("sent_params"), finished.alias("finished")), "kind", SWEPT)
 
 
 @query("SELECT epoch_us(max(ts)) AS observed_max_us FROM events WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15'")

@@ -9,9 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a temporary folder only where the session names none, as in tests."""
+    """spark.checkpoint.dir. A session that names none gets a temporary folder if it runs on this machine alone, as in
+    tests; on a cluster, whose executors would each write to a disk of their own, it is an error."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("roadlake.shared.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that the driver and all executors of {master} share")
         found = f"file://{tempfile.mkdtemp(prefix='spark-roadlake-')}"
         spark.conf.set("roadlake.shared.dir", found)
     return found.rstrip("/")
