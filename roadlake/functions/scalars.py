@@ -7,15 +7,15 @@ from datetime import timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: What Python's str.strip takes off, as a regular expression class.
-SPACE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: What Python's str.strip takes off.
+SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 ISO_WITH_OFFSET = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?([Zz]|[+-]\d{2}:?\d{2})$"
 TIMESPAN = r"^(?:\d+\.)?(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d(?:\.\d{1,7})?$"
 
 
 def strip(text: Column) -> Column:
     """Without white space at either end, Unicode's included."""
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACE))
 
 
 def timespan_micros(text: Column) -> Column:
@@ -62,7 +62,7 @@ def date_label(text: Column) -> Column:
 
 def iso_timestamp(text: Column) -> Column:
     """ISO-8601 with an offset, as UTC; text without offset is refused."""
-    return F.when(text.rlike(ISO_WITH_OFFSET), F.replace(F.replace(F.replace(text, F.lit(","), F.lit(".")), F.lit("t"), F.lit("T")), F.lit("z"), F.lit("Z")).try_cast("timestamp"))
+    return F.when(text.rlike(ISO_WITH_OFFSET), F.translate(text, ",tz", ".TZ").try_cast("timestamp"))
 
 
 def to_iso(time: Column) -> Column:
@@ -95,8 +95,14 @@ def get(value: Column, *keys: str) -> Column:
     return F.try_variant_get(value, f"${steps}", "variant")
 
 
-def text_of(value: Column) -> Column:
-    return F.when(kind(value) == "STRING", F.try_variant_get(value, "$", "string"))
+def shape(value: Column) -> Column:
+    """The type of a variant as text: STRING, BIGINT, BOOLEAN, VOID and so on, DECIMAL(p,s), OBJECT<...>, ARRAY<...>. The
+    functions below take it as their second argument where it is already known, as it costs more than a value does."""
+    return F.schema_of_variant(value)
+
+
+def text_of(value: Column, known: Column | None = None) -> Column:
+    return F.when((shape(value) if known is None else known) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
 def reference_id(value: Column) -> Column:
@@ -112,48 +118,52 @@ def id_list(value: Column) -> Column:
     return F.when((kind(value) == "ARRAY") & ~F.exists(ids, lambda x: x.isNull()), ids)
 
 
-def is_number(value: Column) -> Column:
-    return kind(value).isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT", "INT", "SMALLINT", "TINYINT")
+def is_number(known: Column) -> Column:
+    return known.isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(known, F.lit("DECIMAL"))
 
 
-def whole_number(value: Column) -> Column:
+def whole_number(value: Column, known: Column | None = None) -> Column:
     """A number without a fraction, a boolean, or text of a whole number; never one that would lose its fraction."""
-    text = strip(text_of(value))
+    known = shape(value) if known is None else known
+    text = strip(text_of(value, known))
     number = F.try_variant_get(value, "$", "decimal(38,18)")
     from_number = F.when(number == F.floor(number), number.try_cast("bigint"))
     from_text = F.when(text.rlike(r"^[+-]?\d+(\.0*)?$"), F.regexp_replace(text, r"\.0*$", "").try_cast("bigint"))
-    return F.when(kind(value) == "BIGINT", F.try_variant_get(value, "$", "bigint")).when(is_number(value), from_number).when(kind(value) == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("bigint")).otherwise(from_text)
+    return F.when(known == "BIGINT", F.try_variant_get(value, "$", "bigint")).when(is_number(known), from_number).when(known == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("bigint")).otherwise(from_text)
 
 
-def number(value: Column) -> Column:
-    text = strip(text_of(value))
-    return F.when(is_number(value), F.try_variant_get(value, "$", "double")).when(kind(value) == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("double")).otherwise(F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), text.try_cast("double")))
+def number(value: Column, known: Column | None = None) -> Column:
+    known = shape(value) if known is None else known
+    text = strip(text_of(value, known))
+    return F.when(is_number(known), F.try_variant_get(value, "$", "double")).when(known == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("double")).otherwise(F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), text.try_cast("double")))
 
 
-def boolean(value: Column) -> Column:
+def boolean(value: Column, known: Column | None = None) -> Column:
     """A boolean, the numbers 0 and 1, or one of the usual words for them."""
-    text = F.lower(strip(text_of(value)))
+    known = shape(value) if known is None else known
+    text = F.lower(strip(text_of(value, known)))
     as_number = F.try_variant_get(value, "$", "double")
     return (
-        F.when(kind(value) == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-        .when(is_number(value) & as_number.isin(0.0, 1.0), as_number == 1.0)
+        F.when(known == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
+        .when(is_number(known) & as_number.isin(0.0, 1.0), as_number == 1.0)
         .when(text.isin("1", "on", "t", "true", "y", "yes"), F.lit(True))
         .when(text.isin("0", "off", "f", "false", "n", "no"), F.lit(False))
     )
 
 
-def coerced(value: Column, scalar: str, lift: str | None = None) -> Column:
+def coerced(value: Column, scalar: str, lift: str | None = None, known: Column | None = None) -> Column:
     """A variant as one of the scalar types, laxly but without loss; null where it is refused."""
+    known = shape(value) if known is None else known
     if lift == "timespan":
-        return timespan(text_of(value))
+        return timespan(text_of(value, known))
     if lift == "epochms":
-        return F.when(kind(value) == "BIGINT", epoch_millis(F.try_variant_get(value, "$", "bigint")))
+        return F.when(known == "BIGINT", epoch_millis(F.try_variant_get(value, "$", "bigint")))
     if lift == "datelabel":
-        return date_label(text_of(value))
+        return date_label(text_of(value, known))
     if scalar == "STRING":
-        return strip(text_of(value))
+        return strip(text_of(value, known))
     if scalar == "TIMESTAMP":
-        return iso_timestamp(strip(text_of(value)))
+        return iso_timestamp(strip(text_of(value, known)))
     if scalar == "DATE":
-        return F.to_date(date_label(strip(text_of(value))))
-    return {"BIGINT": whole_number, "DOUBLE": number, "BOOLEAN": boolean}[scalar](value)
+        return F.to_date(date_label(strip(text_of(value, known))))
+    return {"BIGINT": whole_number, "DOUBLE": number, "BOOLEAN": boolean}[scalar](value, known)

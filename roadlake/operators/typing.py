@@ -24,13 +24,15 @@ def along(field: Field, record: Column, path: tuple[str, ...]) -> Column:
         return S.get(record, *path)
     holder, rest = S.get(record, *path[: field.reference + 1]), path[field.reference + 1 :]
     whole = S.get(holder, *rest)
-    return F.when(S.kind(holder) == "STRING", holder if rest == ("id",) else F.lit(None).cast("variant")).otherwise(whole)
+    return F.when(S.shape(holder) == "STRING", holder if rest == ("id",) else F.lit(None).cast("variant")).otherwise(whole)
 
 
-def block_of(field: Field, record: Column) -> Column:
-    """The innermost block around a field."""
-    own = tuple(map(snake, field.path[:-1]))
-    return F.coalesce(S.get(record, *field.path[:-1]), S.get(record, *own)) if own != field.path[:-1] else S.get(record, *own)
+def around(path: tuple[str, ...]) -> Column:
+    """Whether the record has an object at ``path``, or at the same path in snake_case."""
+    record, own = F.col("record"), tuple(map(snake, path))
+    block = S.get(record, *path)
+    block = block if own == path else F.coalesce(block, S.get(record, *own))
+    return block.isNotNull() & S.is_object(block)
 
 
 def source_of(field: Field) -> Column:
@@ -43,46 +45,54 @@ def source_of(field: Field) -> Column:
     return found
 
 
-def value_of(field: Field, raw: Column) -> Column:
+def value_of(field: Field, raw: Column, known: Column) -> Column:
     """The typed value: coerced; text stripped, an empty one null (elements of lists keep it)."""
     if field.lift == "idlist":
         return S.id_list(raw)
     if field.array:
         items = F.try_variant_get(raw, "$", "array<variant>")
         typed = F.transform(items, lambda x: S.coerced(x, field.scalar))
-        return F.when((S.kind(raw) == "ARRAY") & ~F.exists(typed, lambda x: x.isNull()), typed)
+        return F.when(F.startswith(known, F.lit("ARRAY")) & ~F.exists(typed, lambda x: x.isNull()), typed)
     if field.lift == "emptyint":
-        return F.when(S.text_of(raw) == "", F.lit(None)).otherwise(S.coerced(raw, field.scalar))
-    return S.coerced(raw, field.scalar, field.lift)
+        return F.when(S.text_of(raw, known) == "", F.lit(None)).otherwise(S.coerced(raw, field.scalar, None, known))
+    return S.coerced(raw, field.scalar, field.lift, known)
 
 
-def fault_of(field: Field, raw: Column, value: Column) -> Column:
+def fault_of(field: Field, known: Column, blank: Column, value: Column, block: Column | None) -> Column:
     """"path: kind of error", or null; never a value."""
     name = ".".join(field.path)
-    absent = raw.isNull() | (S.kind(raw) == "VOID")
-    blank = S.text_of(raw) == "" if field.lift == "emptyint" else F.lit(False)
+    absent = known.isNull() | (known == "VOID")
     out = F.when(~absent & ~blank & value.isNull(), F.lit(f"{name}: no {field.kind}{' ' + field.lift if field.lift else ''}"))
     if field.enum:
         out = out.when(~absent & ~value.isin(*field.enum), F.lit(f"{name}: not in the closed set"))
     if field.required == "!":
         out = out.when(absent, F.lit(f"{name}: missing"))
-    elif field.required == "(!)":
-        block = block_of(field, F.col("record"))
-        out = out.when(absent & block.isNotNull() & S.is_object(block), F.lit(f"{name}: missing"))
+    elif block is not None:
+        out = out.when(absent & block, F.lit(f"{name}: missing"))
     return out
 
 
 def typed(records: DataFrame, schema: Schema, keep: list[str] | None = None) -> DataFrame:
     """A row per record: the columns of ``schema`` and ``errors`` (array of texts, empty for a valid record), after those of
-    ``keep``. Keys that are not declared are dropped. Zero records give zero rows of the same columns."""
+    ``keep``. Keys that are not declared are dropped. Zero records give zero rows of the same columns.
+
+    Each step makes what the next one uses several times: a field's variant, its type, its value, its fault. The last is
+    kept by ``once`` from being made again in filters on errors.
+    """
     keep, fields = keep or [], list(enumerate(schema.fields))
-    raw, value = lambda k: F.col(f"raw._{k}"), lambda k: F.col(f"value._{k}")
-    rows = records.select(*keep, "record", once(F.struct(*[source_of(f).alias(f"_{k}") for k, f in fields])).alias("raw"))
-    rows = rows.select(*keep, "record", "raw", once(F.struct(*[value_of(f, raw(k)).cast(f.spark).alias(f"_{k}") for k, f in fields])).alias("value"))
+    paths = list(dict.fromkeys(f.path[:-1] for f in schema.fields if f.required == "(!)"))
+    column = lambda name: lambda k: F.col(f"_{name}_{k}")
+    raw, known, value, blank, block = map(column, ("raw", "known", "value", "blank", "block"))
+    blocks = [around(p).alias(f"_block_{j}") for j, p in enumerate(paths)]
+    rows = records.select(*keep, *[source_of(f).alias(f"_raw_{k}") for k, f in fields], *blocks)
+    rows = rows.select("*", *[S.shape(raw(k)).alias(f"_known_{k}") for k, _ in fields])
+    blanks = [(S.text_of(raw(k), known(k)) == "").alias(f"_blank_{k}") for k, f in fields if f.lift == "emptyint"]
+    rows = rows.select(*keep, *[block(j) for j in range(len(paths))], *[known(k) for k, _ in fields], *blanks, *[value_of(f, raw(k), known(k)).cast(f.spark).alias(f"_value_{k}") for k, f in fields])
     # without nulls; no two faults have one text
-    errors = F.array_except(F.array(*[fault_of(f, raw(k), value(k)) for k, f in fields]), F.array(F.lit(None).cast("string")))
-    blank = lambda f, k: F.nullif(value(k), F.lit("")) if f.kind == "STRING" else value(k)
-    return rows.select(*keep, *[blank(f, k).alias(f.name) for k, f in fields], once(errors).alias("errors"))
+    faults = [fault_of(f, known(k), F.coalesce(blank(k), F.lit(False)) if f.lift == "emptyint" else F.lit(False), value(k), block(paths.index(f.path[:-1])) if f.required == "(!)" else None) for k, f in fields]
+    errors = F.array_except(F.array(*faults), F.array(F.lit(None).cast("string")))
+    shown = lambda f, k: F.nullif(value(k), F.lit("")) if f.kind == "STRING" else value(k)
+    return rows.select(*keep, *[shown(f, k).alias(f.name) for k, f in fields], once(errors).alias("errors"))
 
 
 class ValidationError(ValueError):
