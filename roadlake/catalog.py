@@ -13,6 +13,19 @@ MODES = ("snapshot", "watermark", "feed")
 SHAPES = ("single", "roster", "roster_batches", "sweep", "bisected")
 
 
+@dataclass(frozen=True)
+class RosterPolicy:
+    """How a roster is kept: the feeder dataset and column that list its members, when a listing is too old, and after how
+    many listings in a row without a member that one goes (null: never)."""
+
+    provider: str
+    name: str
+    feeder: str
+    column: str
+    max_age_days: int = 1
+    evict_after: int | None = 3
+
+
 @dataclass(frozen=True)
 class EndpointSpec:
     """One dataset. ``shape``: how its requests are laid out; ``roster``: (name, request parameter) for roster shapes;
@@ -125,6 +138,7 @@ SPECS = (
     EndpointSpec("samsara", "trips", "watermark", Decode(("trips",), stamps=(("vehicleId", "vehicleId"),)), "start_time", shape="roster", roster=("vehicle_ids", "vehicleId"), request="epoch_millis"),
 )
 CATALOG = {x.key: x for x in SPECS}
+ROSTERS = tuple(RosterPolicy(x.provider, x.feeds[0], x.name, x.feeds[1]) for x in SPECS if x.feeds)
 
 
 class Endpoints:

@@ -9,6 +9,8 @@ from roadlake.functions.scalars import get, kind, text_of
 from roadlake.operators.decode import parsed
 
 CHAIN = ["provider", "endpoint", "chain_id"]
+
+
 def order() -> WindowSpec:
     return Window.partitionBy(*CHAIN).orderBy("page_seq")
 
@@ -36,15 +38,21 @@ def found(rows: DataFrame, fault: Column) -> DataFrame:
     return rows.withColumn("fault", fault).where("fault is not null").select(*CHAIN, "page_seq", "fault")
 
 
-def narrow(pages: DataFrame, **columns: Column) -> DataFrame:
-    """Only what the audit compares goes through the shuffle, never the bodies."""
-    return parsed(pages).select(*CHAIN, "page_seq", *[c.alias(n) for n, c in columns.items()]).withColumn("last", F.lead("page_seq").over(order()).isNull())
+def narrow(pages: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Only what an audit compares, never the bodies."""
+    return parsed(pages).select(*CHAIN, "page_seq", *[c.alias(n) for n, c in columns.items()])
 
 
-def offset_walk(pages: DataFrame, records: str) -> DataFrame:
-    """Pages of a walk by number: numbers run from 1 without holes, the last page reaches the total and no earlier one
-    does, and the records add up to the total."""
-    rows = narrow(pages, no=whole("pagination.page_no"), per=whole("pagination.per_page"), total=whole("pagination.total"), n=size(records))
+def ended(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("last", F.lead("page_seq").over(order()).isNull())
+
+
+def offset_columns(records: str) -> dict[str, Column]:
+    return {"no": whole("pagination.page_no"), "per": whole("pagination.per_page"), "total": whole("pagination.total"), "n": size(records)}
+
+
+def offset_faults(rows: DataFrame) -> DataFrame:
+    rows = ended(rows)
     rows = rows.withColumn("before", F.coalesce(F.lag("no").over(order()), F.lit(0))).withColumn("sum", F.sum("n").over(order()))
     done = F.col("no") * F.col("per") >= F.col("total")
     return found(
@@ -57,10 +65,18 @@ def offset_walk(pages: DataFrame, records: str) -> DataFrame:
     )
 
 
-def cursor_walk(pages: DataFrame, param: str = "after") -> DataFrame:
-    """Pages of a walk by cursor: a page that has a next one names its cursor, the next request sent it, and the last page
-    says that it is the last."""
-    rows = narrow(pages, more=flag("pagination.hasNextPage"), cursor=F.nullif(label("pagination.endCursor"), F.lit("")), sent=F.col("sent_params")[param])
+def offset_walk(pages: DataFrame, records: str) -> DataFrame:
+    """Pages of a walk by number: numbers run from 1 without holes, the last page reaches the total and no earlier one
+    does, and the records add up to the total."""
+    return offset_faults(narrow(pages, offset_columns(records)))
+
+
+def cursor_columns(records: str | None = None, param: str = "after") -> dict[str, Column]:
+    return {"more": flag("pagination.hasNextPage"), "cursor": F.nullif(label("pagination.endCursor"), F.lit("")), "sent": F.col("sent_params")[param]}
+
+
+def cursor_faults(rows: DataFrame) -> DataFrame:
+    rows = ended(rows)
     rows = rows.withColumn("before", F.lag("cursor").over(order()))
     return found(
         rows,
@@ -72,10 +88,18 @@ def cursor_walk(pages: DataFrame, param: str = "after") -> DataFrame:
     )
 
 
-def feed_walk(pages: DataFrame, param: str = "fromVersion") -> DataFrame:
-    """Pages of a feed: each continues from the version before it, a full page moves the version, and only the last one is
-    short of its limit; only the first carries a seed instead of a version."""
-    rows = narrow(pages, version=label("result.toVersion"), n=size("result.data"), limit=F.col("results_limit"), sent=F.col("sent_params")[param])
+def cursor_walk(pages: DataFrame, param: str = "after") -> DataFrame:
+    """Pages of a walk by cursor: a page that has a next one names its cursor, the next request sent it, and the last page
+    says that it is the last."""
+    return cursor_faults(narrow(pages, cursor_columns(param=param)))
+
+
+def feed_columns(records: str = "result.data", param: str = "fromVersion") -> dict[str, Column]:
+    return {"version": label("result.toVersion"), "n": size(records), "limit": F.col("results_limit"), "sent": F.col("sent_params")[param]}
+
+
+def feed_faults(rows: DataFrame) -> DataFrame:
+    rows = ended(rows)
     rows = rows.withColumn("before", F.lag("version").over(order())).withColumn("first", F.lag("page_seq").over(order()).isNull())
     full = F.col("n") >= F.col("limit")
     return found(
@@ -89,11 +113,19 @@ def feed_walk(pages: DataFrame, param: str = "fromVersion") -> DataFrame:
     )
 
 
-def seek_walk(pages: DataFrame, param: str = "offset", records: str = "result") -> DataFrame:
-    """Pages of a walk by last id: each request sent the last id of the page before, ids are text, and only the last page is
-    empty."""
+def feed_walk(pages: DataFrame, param: str = "fromVersion") -> DataFrame:
+    """Pages of a feed: each continues from the version before it, a full page moves the version, and only the last one is
+    short of its limit; only the first carries a seed instead of a version."""
+    return feed_faults(narrow(pages, feed_columns(param=param)))
+
+
+def seek_columns(records: str = "result", param: str = "offset") -> dict[str, Column]:
     items = F.try_variant_get("envelope", f"$.{records}", "array<variant>")
-    rows = narrow(pages, n=F.size(items), last_id=text_of(get(F.try_element_at(items, F.lit(-1)), "id")), sent=F.col("sent_params")[param])
+    return {"n": F.size(items), "last_id": text_of(get(F.try_element_at(items, F.lit(-1)), "id")), "sent": F.col("sent_params")[param]}
+
+
+def seek_faults(rows: DataFrame) -> DataFrame:
+    rows = ended(rows)
     rows = rows.withColumn("before", F.lag("last_id").over(order()))
     return found(
         rows,
@@ -105,10 +137,28 @@ def seek_walk(pages: DataFrame, param: str = "offset", records: str = "result")
     )
 
 
+def seek_walk(pages: DataFrame, param: str = "offset", records: str = "result") -> DataFrame:
+    """Pages of a walk by last id: each request sent the last id of the page before, ids are text, and only the last page is
+    empty."""
+    return seek_faults(narrow(pages, seek_columns(records, param)))
+
+
+#: By the pagination rule of a dataset: what a page is audited by, and the faults of rows of that.
+WALKS = {"offset": (offset_columns, offset_faults), "cursor": (cursor_columns, cursor_faults), "feed": (feed_columns, feed_faults), "seek": (seek_columns, seek_faults)}
+
+
+def overflowing(rows: DataFrame, limit: int) -> DataFrame:
+    """Of pages (n: their records), those as full as the provider's silent cap: what is beyond it is missing."""
+    return found(rows, F.when(F.col("n") >= limit, "page as full as the cap: its window has to be halved"))
+
+
 def incomplete(harvested: DataFrame, expected: DataFrame) -> DataFrame:
     """provider, endpoint, expected, harvested where the count that the provider reports is not exactly the rows harvested."""
+    return miscounted(harvested.groupBy("provider", "endpoint").agg(F.count("*").alias("harvested")), expected)
+
+
+def miscounted(counts: DataFrame, expected: DataFrame) -> DataFrame:
     key = ["provider", "endpoint"]
-    counts = harvested.groupBy(*key).agg(F.count("*").alias("harvested"))
     both = expected.select(*key, F.col("expected_count").alias("expected")).join(counts, key, "left")
     return both.withColumn("harvested", F.coalesce("harvested", F.lit(0))).where("expected <> harvested")
 

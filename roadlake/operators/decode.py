@@ -35,7 +35,9 @@ def once(value: Column) -> Column:
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """``pages`` with their body as a variant, parsed once; null where it is no JSON."""
+    """``pages`` with their body as a variant, parsed once; null where it is no JSON. Parsed pages stay as they are."""
+    if "envelope" in pages.columns:
+        return pages
     return pages.select("*", once(F.try_parse_json("body")).alias("envelope"))
 
 
@@ -66,7 +68,11 @@ class EnvelopeError(ValueError):
 
 def require_good_pages(pages: DataFrame, decode: Decode) -> None:
     """Raises with faults, counts and a few page names; one aggregate reaches the driver."""
-    found = bad_pages(pages, decode).groupBy("fault").agg(F.count("*").alias("n"), F.min(F.concat_ws("/", *PAGE_COLUMNS)).alias("first")).orderBy(F.desc("n")).limit(20).collect()
+    require_no_faults(bad_pages(pages, decode))
+
+
+def require_no_faults(bad: DataFrame) -> None:
+    found = bad.groupBy("fault").agg(F.count("*").alias("n"), F.min(F.concat_ws("/", *PAGE_COLUMNS)).alias("first")).orderBy(F.desc("n")).limit(20).collect()
     if found:
         raise EnvelopeError("; ".join(f"{r['fault']} ({r['n']} pages, first {r['first']})" for r in found))
 
@@ -78,7 +84,7 @@ def records(pages: DataFrame, decode: Decode) -> DataFrame:
     A series gives a row per reading; records without one, or with an empty one, give none. Identity values are in
     ``identity`` (map of columns to variants), for readings that do not have the key themselves.
     """
-    keep = [c for c in pages.columns if c != "body"]
+    keep = [c for c in pages.columns if c not in ("body", "envelope")]
     items = F.try_variant_get("envelope", "$." + ".".join(decode.path), "array<variant>")
     rows = parsed(pages).where(faults(decode).isNull()).select(*keep, F.posexplode(items).alias("ordinal", "record"))
     if decode.item:

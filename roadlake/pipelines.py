@@ -4,22 +4,23 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from dataclasses import dataclass
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlake.catalog import CATALOG, EndpointSpec
+from roadlake.catalog import CATALOG, ROSTERS, EndpointSpec, RosterPolicy
 from roadlake.operators import audit, decode, rosters, typing
-from roadlake.operators.aggregates import members
-from roadlake.operators.filters import owned
+from roadlake.operators.aggregates import last_success, members
+from roadlake.operators.filters import in_window, owned
 from roadlake.operators.sets import unswept
+from roadlake.plans import drive
+from roadlake.plans.windows import UNIT
 from roadlake.sources import scans, writers
+from roadlake.staging import staged
 from roadlake.streaming import feed
 
-AUDITS = {"cursor": audit.cursor_walk, "feed": audit.feed_walk, "seek": audit.seek_walk}
-
-
 def typed_rows(pages: DataFrame, spec: EndpointSpec, strict: bool = True) -> DataFrame:
     """Valid rows of a dataset's pages; lazy."""
     return typing.valid(typing.typed(decode.records(pages, spec.decode), spec.schema), strict)
@@ -40,39 +41,49 @@ def processed(pages: DataFrame, spec: EndpointSpec, window: tuple[datetime, date
 
 
 def require_complete(pages: DataFrame, spec: EndpointSpec, expected: int | None = None) -> None:
-    """Refuses malformed envelopes, walks with holes, unfinished sweeps and wrong counts, before anything is written."""
-    decode.require_good_pages(pages, spec.decode)
-    if spec.audit == "offset":
-        audit.require_none(audit.offset_walk(pages, spec.decode.path[0]))
-    elif spec.audit:
-        audit.require_none(AUDITS[spec.audit](pages))
+    """Refuses malformed envelopes, walks with holes, pages at a silent cap, unfinished sweeps and wrong counts, before
+    anything is written. Bodies are parsed once for all of it, into a narrow staged table."""
+    records = ".".join(spec.decode.path)
+    columns, faults = audit.WALKS[spec.audit] if spec.audit else (lambda _: {}, None)
+    own = {"n": audit.size(records)} | columns(records) | {"fault_of_page": decode.faults(spec.decode)}
     if spec.sweep:
-        audit.require_none(unswept(pages.select("sent_params", F.lit(True).alias("finished")), *spec.sweep))
+        own["swept"] = F.col("sent_params")[spec.sweep[0]]
+    rows = staged(audit.narrow(pages, own))
+    decode.require_no_faults(rows.where("fault_of_page is not null").withColumnRenamed("fault_of_page", "fault"))
+    if faults:
+        audit.require_none(faults(rows))
+    if spec.shape == "bisected":
+        audit.require_none(audit.overflowing(rows, spec.page_limit))
+    if spec.sweep:  # the audit has found every chain finished
+        audit.require_none(unswept(rows.select(F.create_map(F.lit(spec.sweep[0]), "swept").alias("sent_params"), F.lit(True).alias("finished")), *spec.sweep))
     if spec.count_check and expected is not None:
-        counted = decode.records(pages, spec.decode).select("provider", "endpoint")
+        harvested = rows.groupBy("provider", "endpoint").agg(F.sum("n").alias("harvested"))
         wanted = pages.sparkSession.createDataFrame([(spec.provider, spec.name, expected)], "provider string, endpoint string, expected_count long")
-        audit.require_none(audit.incomplete(counted, wanted))
+        audit.require_none(audit.miscounted(harvested, wanted))
 
 
-def ingest(spark: SparkSession, landed: str, root: str, endpoint: str, window: tuple[datetime, datetime] | None = None, expected: int | None = None, form: str = "parquet", dedup: bool = True) -> writers.WriteReport | None:
+def ingest(spark: SparkSession, landed: str, root: str, endpoint: str, window: tuple[datetime, datetime] | None = None, expected: int | None = None, form: str = "parquet", dedup: bool = True, pages: DataFrame | None = None) -> writers.WriteReport | None:
     """Stores one dataset: a snapshot whole, a windowed one by its dates, a feed as a stream of what has landed since.
+    ``pages``: of a windowed dataset, those to store instead of all that have landed.
 
-    The data is written first and the run recorded after it, so a crash in between repeats work and loses none. A run that
-    fails is recorded as failed and raises.
+    The run is recorded as running, the data is written, and the run is recorded as ended, so a crash in between leaves a
+    trace, repeats work and loses none. A run that fails is recorded as failed and raises.
     """
     spec, began = CATALOG[endpoint], datetime.now(UTC)
     run = {"run_id": uuid.uuid4().hex, "provider": spec.provider, "endpoint": spec.name, "mode": spec.mode, "started_at": began}
     run |= {"window_start": window[0], "window_end": window[1]} if window else {}
+    writers.append_rows(spark, [run | {"status": "running"}], writers.RUNS, f"{root}/_control/runs")
     report = None
     try:
         if spec.mode == "feed":
             feed.start(spark, landed, root, spec, form).awaitTermination()
         else:
-            pages = scans.pages(spark, landed, spec.provider, spec.name, form)
-            require_complete(pages, spec, expected)
-            report = writers.write_dataset(processed(pages, spec, window), spec, root, window, dedup)
-            if spec.feeds:
-                refresh_roster(spark, root, spec)
+            own = scans.pages(spark, landed, spec.provider, spec.name, form) if pages is None else pages
+            require_complete(own, spec, expected)
+            report = writers.write_dataset(processed(own, spec, window), spec, root, window, dedup)
+            for policy in ROSTERS:
+                if (policy.provider, policy.feeder) == (spec.provider, spec.name):
+                    refresh_roster(spark, root, policy)
         run |= {"status": "succeeded", "row_count": report.rows_written if report else 0, "report": str(report) if report else None}
         return report
     except Exception as error:
@@ -82,34 +93,86 @@ def ingest(spark: SparkSession, landed: str, root: str, endpoint: str, window: t
         writers.append_rows(spark, [run | {"ended_at": datetime.now(UTC)}], writers.RUNS, f"{root}/_control/runs")
 
 
-ROSTER = "provider string, name string, member string, absence_count int"
+def refresh_roster(spark: SparkSession, root: str, policy: RosterPolicy) -> None:
+    """Reconciles the roster that a stored feeder dataset lists, as its policy says. The roster is written as a new version
+    that takes the old one's place."""
+    path, feeder = f"{root}/_control/rosters", CATALOG[f"{policy.provider}.{policy.feeder}"]
+    stored = scans.dataset(spark, path, spark.createDataFrame([], rosters.ROSTER).schema)
+    rows = scans.dataset(spark, f"{root}/{feeder.provider}/{feeder.name}", feeder.schema.struct)
+    listed = members(rows, policy.column).select(F.lit(policy.provider).alias("provider"), F.lit(policy.name).alias("name"), "member")
+    rosters.require_listed(listed)
+    policies = spark.createDataFrame([(policy.provider, policy.name, policy.evict_after)], "provider string, name string, evict_after int")
+    new = writers.fresh(path)
+    rosters.applied(stored, rosters.reconcile(stored, listed, policies)).write.parquet(new)
+    writers.swap(spark, new, path)
 
 
-def refresh_roster(spark: SparkSession, root: str, spec: EndpointSpec, evict_after: int | None = 3) -> None:
-    """Reconciles the roster that a stored feeder dataset lists. The roster is written as a new version that takes the old
-    one's place."""
-    name, column = spec.feeds
-    path = f"{root}/_control/rosters"
-    stored = scans.dataset(spark, path, spark.createDataFrame([], ROSTER).schema)
-    rows = scans.dataset(spark, f"{root}/{spec.provider}/{spec.name}", spec.schema.struct)
-    listed = members(rows, column).select(F.lit(spec.provider).alias("provider"), F.lit(name).alias("name"), "member")
-    rosters.require_listed(listed)
-    policies = spark.createDataFrame([(spec.provider, name, evict_after)], "provider string, name string, evict_after int")
-    fresh = f"{path}-new-{uuid.uuid4().hex[:8]}"
-    rosters.applied(stored, rosters.reconcile(stored, listed, policies)).write.parquet(fresh)
-    writers.swap(spark, fresh, path)
+def due_rosters(spark: SparkSession, root: str, now: datetime) -> DataFrame:
+    """provider, name, feeder, reason: the rosters whose feeder has to be listed anew before requests are laid out over them."""
+    policies = spark.createDataFrame([(x.provider, x.name, x.feeder, x.max_age_days) for x in ROSTERS], "provider string, name string, feeder string, max_age_days int")
+    stored = drive.control(spark, root, "rosters", rosters.ROSTER)
+    return rosters.due(policies, last_success(drive.control(spark, root, "runs", writers.RUNS)), stored, now)
+
+
+@dataclass
+class Synced:
+    """What a sync of a windowed dataset did: the windows stored with their reports, the units whose pages have not all
+    landed, and the watermark after it."""
+
+    stored: list[tuple[datetime, datetime, writers.WriteReport]]
+    waiting: list[tuple[datetime, datetime]]
+    watermark: datetime | None
+
+
+def sync_windows(spark: SparkSession, landed: str, root: str, endpoint: str, now: datetime, policy: drive.Policy, form: str = "parquet") -> Synced:
+    """Brings a windowed dataset up to date: plans the units that are due, stores those whose pages have all landed, those
+    that follow one another in one job, marks each done with what it held, and moves the watermark by the done ones
+    before the first that is not. A unit that fails stays to be done, holds the watermark, and is raised at the end."""
+    spec = CATALOG[endpoint]
+    pending = staged(drive.plan(spark, root, spec, now, policy).select(*UNIT))
+    pages = scans.pages(spark, landed, spec.provider, spec.name, form)
+    ready, keys = drive.landed_units(spark, root, spec, pages, pending)
+    ready, done, failed = staged(ready), [], {}
+    spans: list[tuple[datetime, datetime]] = []
+    # units of one dataset: as many as its window has days at most
+    for unit in ready.select("chunk_start", "chunk_end").orderBy("chunk_start", "chunk_end").collect():
+        joined = spans and spans[-1][1] == unit["chunk_start"]
+        spans[-1:] = [(spans[-1][0], unit["chunk_end"])] if joined else [*spans[-1:], tuple(unit)]
+    for start, end in spans:
+        inside = (F.col("chunk_start") >= F.lit(start)) & (F.col("chunk_end") <= F.lit(end))
+        units = ready.where(inside)
+        drive.note(units, root, "claimed")
+        try:
+            own = drive.of_units(pages, spec, keys.join(units, ["chunk_start", "chunk_end"], "left_semi"))
+            report = ingest(spark, landed, root, endpoint, (start, end), form=form, pages=own)
+        except Exception as error:
+            failed[(start, end)] = error
+            drive.note(units, root, "failed")
+            continue
+        rows = scans.dataset(spark, f"{root}/{spec.provider}/{spec.name}", spec.schema.struct).where(in_window(F.col(spec.event_time), start, end))
+        drive.note(drive.observed(rows, spec.event_time, units), root, "done")
+        done.append((start, end, report))
+    waiting = [tuple(r) for r in pending.join(ready, ["chunk_start", "chunk_end"], "left_anti").select("chunk_start", "chunk_end").orderBy("chunk_start").collect()]
+    watermark = drive.advance(spark, root, spec)
+    if failed:
+        raise SyncError("; ".join(f"{endpoint} {a} to {b}: {type(e).__name__}: {str(e)[:200]}" for (a, b), e in failed.items()))
+    return Synced(done, waiting, watermark)
 
 
 class SyncError(RuntimeError):
     """Datasets that failed; the others are stored."""
 
 
-def run_sync(spark: SparkSession, landed: str, root: str, endpoints: Iterable[str], windows: dict[str, tuple[datetime, datetime]] | None = None, form: str = "parquet") -> dict[str, writers.WriteReport | None]:
-    """Stores many datasets, those that list rosters first. A failure does not stop the others; all are raised together."""
+def run_sync(spark: SparkSession, landed: str, root: str, endpoints: Iterable[str], windows: dict[str, tuple[datetime, datetime]] | None = None, form: str = "parquet", now: datetime | None = None, policy: drive.Policy | None = None) -> dict[str, writers.WriteReport | Synced | None]:
+    """Stores many datasets, those that list rosters first. Windowed ones take the window given for them, or with ``policy``
+    are brought up to ``now`` (sync_windows). A failure does not stop the others; all are raised together."""
     done, failed = {}, {}
     for name in sorted(endpoints, key=lambda x: (CATALOG[x].feeds is None, x)):
         try:
-            done[name] = ingest(spark, landed, root, name, (windows or {}).get(name), form=form)
+            if policy and CATALOG[name].mode == "watermark" and name not in (windows or {}):
+                done[name] = sync_windows(spark, landed, root, name, now or datetime.now(UTC), policy, form)
+            else:
+                done[name] = ingest(spark, landed, root, name, (windows or {}).get(name), form=form)
         except Exception as error:
             failed[name] = error
     writers.project_metadata(spark.read.parquet(f"{root}/_control/runs"), root)

@@ -35,10 +35,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+#: A folder that is being replaced lies beside its place under this name for a moment.
+OLD = "-old"
+
+
 def dataset(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A stored dataset, or no rows of its schema while nothing has been written. Date partitions give the column date,
-    on which filters prune folders."""
-    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+    on which filters prune folders, if the schema has it."""
+    for place in (path, path + OLD):
+        if exists(spark, place):
+            return spark.read.schema(schema).parquet(place)
+    return spark.createDataFrame([], schema)
 
 
 def partitioned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

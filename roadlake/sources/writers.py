@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from roadlake.catalog import EndpointSpec
 from roadlake.operators import sets
 from roadlake.operators.filters import in_window
-from roadlake.sources.scans import exists, file_system
+from roadlake.sources.scans import OLD, dataset, file_system
 
 
 @dataclass(frozen=True)
@@ -42,37 +44,51 @@ class Counted:
         return WriteReport(after["n"], before["n"] - after["n"], files, after.get("top"), deleted or [])
 
 
-def part_files(spark: SparkSession, path: str, dates: list[date] | None = None) -> int:
-    """Parquet files below a folder, or below some of its date partitions."""
+def part_files(spark: SparkSession, path: str, dates: Iterable[date] | None = None) -> list[tuple[int, str]]:
+    """(time, name) of the parquet files below a folder, or below some of its date partitions."""
     system, place = file_system(spark, path)
-    total = 0
+    out = []
     for folder in [place] if dates is None else [place.suffix(f"/date={d}") for d in dates]:
         if system.exists(folder):
             found = system.listFiles(folder, True)
             while found.hasNext():
-                total += found.next().getPath().getName().endswith(".parquet")
-    return total
+                file = found.next()
+                if (name := file.getPath().getName()).endswith(".parquet"):
+                    out.append((file.getModificationTime(), name))
+    return out
 
 
-def swap(spark: SparkSession, fresh: str, path: str) -> None:
-    """Puts a written folder in another's place; the old one stays until the new one is complete."""
-    system, new = file_system(spark, fresh)
-    _, place = file_system(spark, path)
-    old = place.suffix(f"-old-{uuid.uuid4().hex[:8]}")
+def of_last_job(files: list[tuple[int, str]]) -> int:
+    """How many files have the job id, which Spark puts into their names, of the latest one."""
+    jobs = [m[0] if (m := re.search(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", name)) else name for _, name in files]
+    return jobs.count(jobs[max(range(len(files)), key=lambda k: files[k][0])]) if files else 0
+
+
+def fresh(path: str) -> str:
+    """Where the next version of a folder is written before it takes its place."""
+    return f"{path}-new-{uuid.uuid4().hex[:8]}"
+
+
+def swap(spark: SparkSession, new: str, path: str) -> None:
+    """Puts a written folder in another's place. Between the two renames, and after a crash there, the old one lies beside it
+    under a fixed name, by which scans.dataset finds it and the next swap goes on."""
+    system, place = file_system(spark, path)
+    old = place.suffix(OLD)
     if system.exists(place):
-        system.rename(place, old)
-    if not system.rename(new, place):
-        raise OSError(f"cannot move {fresh} to {path}")
-    if system.exists(old):
         system.delete(old, True)
+        if not system.rename(place, old):
+            raise OSError(f"cannot move {path} aside")
+    if not system.rename(file_system(spark, new)[1], place):
+        raise OSError(f"cannot move {new} to {path}")
+    system.delete(old, True)
 
 
 def replace_snapshot(rows: DataFrame, path: str, dedup: bool = True) -> WriteReport:
     """The whole dataset anew; a job that fails leaves the old one."""
-    spark, fresh, counted = rows.sparkSession, f"{path}-new-{uuid.uuid4().hex[:8]}", Counted(rows, None, dedup)
-    counted.rows.write.parquet(fresh)
-    swap(spark, fresh, path)
-    return counted.report(part_files(spark, path))
+    spark, new, counted = rows.sparkSession, fresh(path), Counted(rows, None, dedup)
+    counted.rows.write.parquet(new)
+    swap(spark, new, path)
+    return counted.report(len(part_files(spark, path)))
 
 
 def covered(start: datetime, end: datetime) -> list[date]:
@@ -80,12 +96,13 @@ def covered(start: datetime, end: datetime) -> list[date]:
     return [start.date() + timedelta(days=k) for k in range((last - start.date()).days + 1)]
 
 
-def spread(rows: DataFrame, files_per_date: int) -> DataFrame:
-    """All rows of a date in ``files_per_date`` tasks: one file a date, or several where days are too large for one task."""
-    return rows.repartition("date") if files_per_date == 1 else rows.repartition("date", F.pmod(F.xxhash64(*[c for c in rows.columns if c != "date"]), F.lit(files_per_date)))
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a date together, as one file where a task can hold them: adaptive execution joins small dates into tasks and
+    splits those that are too large for one by their observed size."""
+    return rows.hint("rebalance", "date")
 
 
-def replace_window(rows: DataFrame, path: str, event_time: str, start: datetime, end: datetime, dedup: bool = True, files_per_date: int = 1) -> WriteReport:
+def replace_window(rows: DataFrame, path: str, event_time: str, start: datetime, end: datetime, dedup: bool = True) -> WriteReport:
     """Every covered date is replaced whole by what was fetched for it; dates of the window that got no row are deleted.
 
     A row of a date that the window does not cover fails the job before it commits, so nothing is replaced. Only partitions
@@ -99,14 +116,14 @@ def replace_window(rows: DataFrame, path: str, event_time: str, start: datetime,
     at = F.datediff("date", F.lit(days[0]))
     bits = [F.bit_or(F.when(F.floor(at / 60) == k, F.call_function("shiftleft", F.lit(1).cast("long"), (at % 60).cast("int")))).alias(f"b{k}") for k in range(len(days) // 60 + 1)]
     try:
-        spread(guarded.observe(marks, *bits), files_per_date).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+        spread(guarded.observe(marks, *bits)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
     except Exception as error:
         if "row outside the window" in str(error):
             raise OutOfWindow(str(error).split("\n")[0]) from error
         raise
     written = {day for k, day in enumerate(days) if (marks.get.get(f"b{k // 60}") or 0) >> k % 60 & 1}
     deleted = prune(spark, path, days, written)
-    return counted.report(part_files(spark, path, sorted(written)), deleted)
+    return counted.report(len(part_files(spark, path, written)), deleted)
 
 
 def prune(spark: SparkSession, path: str, days: list[date], written: set[date]) -> list[str]:
@@ -121,13 +138,16 @@ def prune(spark: SparkSession, path: str, days: list[date], written: set[date])
     return deleted
 
 
-def append(rows: DataFrame, path: str, event_time: str, files_per_date: int = 1) -> WriteReport:
+def append(rows: DataFrame, path: str, event_time: str) -> WriteReport:
     """New files by event date; nothing is read, rewritten or deduplicated. A row without event time fails the job before
-    anything is committed."""
-    spark, counted = rows.sparkSession, Counted(refuse_null_dates(sets.with_date(rows, event_time)), event_time, dedup=False)
-    before = part_files(spark, path) if exists(spark, path) else 0
-    spread(counted.rows, files_per_date).write.mode("append").partitionBy("date").parquet(path)
-    return counted.report(part_files(spark, path) - before)
+    anything is committed. The dates written are observed as bits, so that only their folders are looked at for the report."""
+    spark, counted, marks = rows.sparkSession, Counted(refuse_null_dates(sets.with_date(rows, event_time)), event_time, dedup=False), Observation()
+    day = F.unix_date("date").cast("long") + 1  # bit positions count from 1, in buckets of 32768 days
+    seen = counted.rows.observe(marks, F.bitmap_construct_agg(F.bitmap_bit_position(day)).alias("days"))
+    spread(seen).write.mode("append").partitionBy("date").parquet(path)
+    bits = marks.get["days"] or b""
+    days = [date(1970, 1, 1) + timedelta(days=8 * k + j) for k, byte in enumerate(bits) for j in range(8) if byte >> j & 1]
+    return counted.report(of_last_job(part_files(spark, path, days)))
 
 
 def refuse_null_dates(rows: DataFrame) -> DataFrame:
@@ -136,14 +156,12 @@ def refuse_null_dates(rows: DataFrame) -> DataFrame:
 
 def replace_single_window(rows: DataFrame, path: str, event_time: str, start: datetime, end: datetime, dedup: bool = True) -> WriteReport:
     """A dataset without partitions: rows of the window go, the fetched rows come."""
-    spark, fresh, counted = rows.sparkSession, f"{path}-new-{uuid.uuid4().hex[:8]}", Counted(rows, event_time, dedup)
-    parts = [counted.rows]
-    if exists(spark, path):
-        inside = in_window(F.col(event_time), start, end)
-        parts.insert(0, spark.read.schema(rows.schema).parquet(path).where(~F.coalesce(inside, F.lit(False))))
-    sets.concat(parts).write.parquet(fresh)
-    swap(spark, fresh, path)
-    return counted.report(part_files(spark, path))
+    spark, new, counted = rows.sparkSession, fresh(path), Counted(rows, event_time, dedup)
+    inside = in_window(F.col(event_time), start, end)
+    before = dataset(spark, path, rows.schema).where(~F.coalesce(inside, F.lit(False)))
+    sets.concat([before, counted.rows]).write.parquet(new)
+    swap(spark, new, path)
+    return counted.report(len(part_files(spark, path)))
 
 
 def write_dataset(rows: DataFrame, spec: EndpointSpec, root: str, window: tuple[datetime, datetime] | None = None, dedup: bool = True) -> WriteReport:

@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadlake import catalog, pipelines
+from roadlake.operators import audit, rosters
+from roadlake.plans import drive
 from roadlake.sources import scans, writers
 from roadlake.streaming import feed
 
@@ -81,6 +83,118 @@ def test_single_table_window_replace(spark, tmp_path):
     assert sorted((r["ts"].day, r["version"]) for r in spark.read.parquet(path).collect()) == [(1, 1), (2, 2)]
 
 
+def test_a_date_with_a_third_of_the_rows_is_split(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    rows = spark.range(60_000).select("id", F.when(F.col("id") % 3 == 0, F.lit(JAN[0])).otherwise(F.timestamp_seconds(F.lit(1767225600) + F.col("id") % 10 * 86_400)).alias("ts"), F.uuid().alias("x"))
+    changed = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k", "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "10k"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        writers.replace_window(rows.repartition(16), path, "ts", JAN[0], JAN[10])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {d: len(list((tmp_path / "t" / f"date=2026-01-{d:02d}").glob("*.parquet"))) for d in range(1, 11)}
+    assert files[1] > 2, files
+    assert spark.read.parquet(path).count() == 60_000
+    report = writers.append(rows.limit(100).coalesce(1), path, "ts")
+    assert report.rows_written == 100 and report.files_written == 10
+
+
+def test_a_crash_between_the_renames_of_a_swap_loses_nothing(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    schema = events(spark).schema
+    writers.replace_snapshot(events(spark, 1, 2), path)
+    (tmp_path / "t").rename(tmp_path / "t-old")
+    assert scans.dataset(spark, path, schema).count() == 2
+    writers.replace_snapshot(events(spark, 3), path)
+    assert scans.dataset(spark, path, schema).count() == 1 and not (tmp_path / "t-old").exists()
+
+
+def test_partitioned_scan_reads_only_the_dates_asked_for(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    writers.replace_window(events(spark, 1, 2, 3, 4), path, "ts", JAN[0], JAN[4])
+    found = scans.partitioned(spark, path, events(spark).schema).where(F.col("date") == F.lit("2026-01-02").cast("date"))
+    assert [r["ts"].day for r in found.collect()] == [2]
+    assert "PartitionFilters: [isnotnull(date" in found._jdf.queryExecution().toString()
+
+
+def engine_pages(spark, landed, windows, days, version):
+    """A page per window that asks for its own days, and holds a reading for each of ``days``."""
+    rows = []
+    for start, end in windows:
+        readings = [{"time": f"2026-01-{d:02d}T12:00:00Z", "value": f"{version}"} for d in days if start <= d < end]
+        body = {"data": [{"id": "7", "name": "n", "externalIds": {}, "engineStates": readings}], "pagination": {"endCursor": "", "hasNextPage": False}}
+        sent = {"startTime": f"2026-01-{start:02d}T00:00:00Z", "endTime": f"2026-01-{end:02d}T00:00:00Z", "limit": "512"}
+        rows.append(("samsara", "engine_states", f"{start}-{end}-{version}", 0, sent, None, 512, json.dumps(body), datetime(2026, 1, end, tzinfo=UTC)))
+    spark.createDataFrame(rows, scans.PAGE).write.mode("append").parquet(landed)
+
+
+def test_sync_resumes_from_the_done_prefix(spark, tmp_path):
+    landed, root, policy = f"file://{tmp_path}/landed", f"file://{tmp_path}/root", drive.Policy(datetime(2026, 1, 1), lookback_days=1, unit_days=2)
+    sync = lambda day: pipelines.sync_windows(spark, landed, root, "samsara.engine_states", datetime(2026, 1, day, 5), policy)
+    got = lambda: sorted((r["time"].day, r["value"]) for r in spark.read.parquet(f"{root}/samsara/engine_states").collect())
+    engine_pages(spark, landed, [(1, 3), (5, 7)], [1, 2, 5, 6], "a")
+    first = sync(7)
+    assert [(a.day, b.day) for a, b, _ in first.stored] == [(1, 3), (5, 7)] and [(a.day, b.day) for a, b in first.waiting] == [(3, 5)]
+    # the unit that has not landed holds the watermark
+    assert first.watermark == datetime(2026, 1, 2, 12) and got() == [(1, "a"), (2, "a"), (5, "a"), (6, "a")]
+    # a page at fault fails its unit, which stays to be done
+    body = json.dumps({"data": [], "pagination": {"endCursor": "x", "hasNextPage": True}})
+    sent = {"startTime": "2026-01-03T00:00:00Z", "endTime": "2026-01-05T00:00:00Z"}
+    spark.createDataFrame([("samsara", "engine_states", "cut", 0, sent, None, 512, body, datetime.now(UTC))], scans.PAGE).write.parquet(f"file://{tmp_path}/bad")
+    with pytest.raises(pipelines.SyncError, match="walk ends before the last page"):
+        pipelines.sync_windows(spark, f"file://{tmp_path}/bad", root, "samsara.engine_states", datetime(2026, 1, 7, 5), policy)
+    engine_pages(spark, landed, [(3, 5)], [3, 4], "a")
+    second = sync(7)
+    assert second.watermark == datetime(2026, 1, 6, 12) and [(a.day, b.day) for a, b, _ in second.stored] == [(1, 7)]  # the lookback released the first
+    # late rows of the lookback day come with the next window
+    engine_pages(spark, landed, [(5, 7), (7, 9)], [5, 6, 7, 8], "b")
+    third = sync(9)
+    assert third.watermark == datetime(2026, 1, 8, 12)
+    assert got() == [(1, "a"), (2, "a"), (3, "a"), (4, "a")] + [(d, v) for d in (5, 6) for v in "ab"] + [(7, "b"), (8, "b")]
+    runs = spark.read.parquet(f"{root}/_control/runs").groupBy("status").count().collect()
+    assert {r["status"]: r["count"] for r in runs} == {"running": 5, "succeeded": 4, "failed": 1}
+
+
+def test_requests_and_rosters_of_a_plan(spark, tmp_path):
+    root, spec = f"file://{tmp_path}/root", catalog.CATALOG["samsara.trips"]
+    members = [("samsara", "vehicle_ids", x, 0) for x in ("1", "2")]
+    spark.createDataFrame(members, rosters.ROSTER).write.parquet(f"{root}/_control/rosters")
+    pending = drive.plan(spark, root, spec, datetime(2026, 1, 3), drive.Policy(datetime(2026, 1, 1), unit_days=1))
+    asked = drive.planned_requests(spark, root, spec, pending)
+    start = 1767225600000
+    assert sorted((r["params"]["vehicleId"], int(r["params"]["startMs"]) - start) for r in asked.collect()) == [(m, d * 86_400_000) for m in "12" for d in (0, 1)]
+    pages = spark.createDataFrame([("samsara", "trips", "c", 0, {"vehicleId": m, "startMs": str(start), "endMs": str(start + 86_400_000)}, None, 0, "{}", None) for m in "12"], scans.PAGE)
+    for landed, want in ((pages, [1]), (pages.where("sent_params['vehicleId'] = '1'"), [])):
+        ready, _ = drive.landed_units(spark, root, spec, landed, pending)
+        assert [r["chunk_start"].day for r in ready.collect()] == want
+    due = {(r["provider"], r["reason"]) for r in pipelines.due_rosters(spark, root, datetime(2026, 1, 3)).collect()}
+    assert due == {("samsara", "never listed"), ("motive", "never listed")}
+    feed_spec = catalog.CATALOG["geotab.log_records"]
+    page = lambda version: spark.createDataFrame([("geotab", "log_records", "c", 0, {}, None, 1, json.dumps({"result": {"data": [], "toVersion": version}}), datetime.now(UTC))], scans.PAGE)
+    bodies = [drive.feed_request(spark, x, feed_spec, datetime(2026, 1, 1)).first()["body"] for x in (page("v7").limit(0), page("v7"))]
+    assert '"fromDate":"2026-01-01T00:00:00Z"' in bodies[0] and '"fromVersion":"v7"' in bodies[1] and '"typeName":"LogRecord"' in bodies[1]
+
+
+def test_windows_at_the_cap_are_refused_and_their_halves_cover_the_unit(spark, tmp_path):
+    spec = catalog.CATALOG["geotab.exception_events"]
+    units = spark.createDataFrame([("geotab", "exception_events", None, JAN[0], JAN[1])], "provider string, endpoint string, partition_key string, chunk_start timestamp, chunk_end timestamp")
+
+    def page(start, end, n):
+        body = json.dumps({"result": [{"id": str(k)} for k in range(n)]})
+        return ("geotab", "exception_events", f"{start}", 0, {}, json.dumps({"params": {"search": {"fromDate": f"2026-01-{start}Z", "toDate": f"2026-01-{end}Z"}}}), 5000, body, None)
+
+    full, first, last = page("01T00:00:00", "02T00:00:00", 5000), page("01T00:00:00", "01T12:00:00", 4000), page("01T12:00:00", "02T00:00:00", 4999)
+    frame = lambda *rows: spark.createDataFrame(rows, scans.PAGE)
+    with pytest.raises(audit.WalkError, match="as full as the cap"):
+        pipelines.require_complete(frame(full), spec)
+    assert drive.landed_units(spark, "", spec, frame(full, first), units)[0].count() == 0
+    ready, keys = drive.landed_units(spark, "", spec, frame(full, first, last), units)
+    assert ready.count() == 1 and drive.of_units(frame(full, first, last), spec, keys).count() == 2
+
+
 def test_absent_dataset_is_empty(spark, tmp_path):
     spec = catalog.CATALOG["samsara.trips"]
     assert scans.dataset(spark, f"file://{tmp_path}/none", spec.schema.struct).count() == 0
@@ -127,7 +241,9 @@ def test_sync_stores_feeders_first_and_collects_failures(spark, tmp_path):
         pipelines.run_sync(spark, landed, root, names, {"samsara.engine_states": (JAN[0], JAN[1])})
     assert spark.read.parquet(f"{root}/samsara/engine_states").count() == 1
     assert [(r["member"], r["absence_count"]) for r in spark.read.parquet(f"{root}/_control/rosters").collect()] == [("7", 0)]
-    runs = {r["endpoint"]: r["status"] for r in spark.read.parquet(f"{root}/_control/runs").collect()}
+    rows = spark.read.parquet(f"{root}/_control/runs").collect()
+    assert sorted(r["endpoint"] for r in rows if r["status"] == "running") == ["addresses", "engine_states", "vehicles"]
+    runs = {r["endpoint"]: r["status"] for r in rows if r["status"] != "running"}
     assert runs == {"vehicles": "succeeded", "engine_states": "succeeded", "addresses": "failed"}
     assert pipelines.read_snapshot(spark, landed, "samsara.vehicles").count() == 1
     with pytest.raises(ValueError, match="no snapshot"):
