@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,12 +22,33 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Folders written inside the calls of condensed() that are going on, the innermost last.
+scratch: list[list[DataFrame]] = []
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: lineage ends there, so a lost executor costs only the
     current step, and a row order or random choice is fixed from then on."""
     path = f"{shared_dir(df.sparkSession)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    if scratch:
+        scratch[-1].append(out)
+    return out
+
+
+def condensed(make: Callable[[], DataFrame]) -> DataFrame:
+    """The staged result of ``make``; what it stages on the way is deleted."""
+    scratch.append([])
+    try:
+        result = make()
+        made = scratch[-1]
+    finally:
+        scratch.pop()
+    out = staged(result)
+    for df in made:
+        unstage(df)
+    return out
 
 
 def unstage(df: DataFrame) -> None:
