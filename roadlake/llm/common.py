@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlake.staging import staged, unstage
+from roadlake.staging import condensed, staged, unstage
 
 #: Words are maximal runs of characters other than the six ASCII white space characters.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -26,13 +26,6 @@ def map_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
-def free(df: DataFrame, name: str) -> str:
-    """``name``, or it with underscores after it where ``df`` has such a column."""
-    while name in df.columns:
-        name += "_"
-    return name
-
-
 def held_out(doc_id: Column) -> Column:
     """The fold that no model learns from."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))

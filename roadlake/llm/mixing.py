@@ -107,6 +107,6 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """
     rows = common.staged(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("no")))
     narrow = rows.select("row.doc_id", "row.text", "row.source", "no")
-    planned = plan(narrow, keep=("no",), **options).where(F.size("positions") > 0).select("no", "positions")
+    planned = common.condensed(lambda: plan(narrow, keep=("no",), **options).where(F.size("positions") > 0).select("no", "positions"))
     met = rows.join(planned, "no").select(F.explode("positions").alias("position"), "no", "row")
     return met.orderBy("position", F.col("row.doc_id"), "no").select("row.*")

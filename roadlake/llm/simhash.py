@@ -8,7 +8,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlake.llm import common
@@ -98,7 +98,7 @@ def hashes_of(text: str | None, width: int, seed: int, distinct: bool) -> np.nda
 
 
 def fingerprints(docs: DataFrame, width: int = 3, lanes: int = 1, seed: int = 42, keys: Callable = pigeonhole_keys, distinct: bool = False) -> DataFrame:
-    """row, doc_id, fp array<long> of ``lanes`` words, keys array<long>: one row per row of ``docs`` (row, doc_id, text).
+    """doc_id, digest, fp array<long> of ``lanes`` words, keys array<long>: one row per row of ``docs`` (doc_id, digest, text).
 
     ``distinct``: count each different shingle once. Null and empty texts have the zero fingerprint.
     """
@@ -110,9 +110,9 @@ def fingerprints(docs: DataFrame, width: int = 3, lanes: int = 1, seed: int = 42
             fp = fingerprint(hashes, lanes)
             fps.append(fp.view(np.int64).tolist())
             blocks.append(keys(fp, hashes).tolist())
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.list_(pa.int64())), pa.array(blocks, pa.list_(pa.int64()))], ["row", "doc_id", "fp", "keys"])
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.list_(pa.int64())), pa.array(blocks, pa.list_(pa.int64()))], ["doc_id", "digest", "fp", "keys"])
 
-    return common.map_columns(docs.select("row", "doc_id", "text"), one, "row long, doc_id long, fp array<long>, keys array<long>")
+    return common.map_columns(docs.select("doc_id", "digest", "text"), one, "doc_id long, digest string, fp array<long>, keys array<long>")
 
 
 def within(plane: Callable[[int], np.ndarray], planes: int, radius: int) -> np.ndarray:
@@ -360,12 +360,12 @@ def candidates(batch: pa.RecordBatch, cuts: list[int], radius: int) -> Iterator[
         yield together(small)
 
 
-def similar(nodes: DataFrame, rows: DataFrame, radius: int, width: int, least: float, tile: int, seed: int = 42) -> DataFrame:
-    """Edges (a, b) that connect the same nodes as all links of ``nodes`` (node long, fp, keys) that share a key, are
+def similar(nodes: DataFrame, named_rows: DataFrame, radius: int, width: int, least: float, tile: int, seed: int = 42) -> DataFrame:
+    """Edges (a, b) that connect the same nodes as all links of ``nodes`` (node long, low, fp, keys) that share a key, are
     within ``radius`` and whose different shingles have a Jaccard similarity of ``least`` or more.
 
     Fingerprints only choose what is compared. Nodes that are within the radius of another in a block meet there
-    again with their shingle hashes, made from the texts of ``rows`` (row, text) for these nodes only; no pairs are
+    again with their shingle hashes, made from the texts of ``named_rows``, for the rows ``low`` of these nodes only; no pairs are
     shuffled. Pairs that confirmed links already connect in a block are not compared.
     """
     kept, own = dealt(nodes, tile), nodes.select("node", "fp", "keys")
@@ -382,8 +382,11 @@ def similar(nodes: DataFrame, rows: DataFrame, radius: int, width: int, least: f
         found = [hashes_of(x.as_py(), width, seed, True) for x in batch.column(1)]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], ["node", "hashes"])
 
-    texts = rows.select(F.col("row").alias("node"), "text").join(close.select("node").distinct(), "node")
-    hashed = common.staged(common.map_columns(texts, sets, "node long, hashes array<long>"))
+    first = nodes.join(close.select("node").distinct(), "node").select("node", *same_row(F.col("low.doc_id"), F.col("low.digest")))
+    texts = named_rows.select("text", *same_row(F.col("doc_id"), F.col("digest"))).join(first, ROW).select("node", "text")
+    # repeated rows give one set of hashes
+    hashed = common.map_columns(texts, sets, "node long, hashes array<long>").groupBy("node").agg(F.first("hashes").alias("hashes"))
+    hashed = common.staged(hashed)
     again = close.join(own.join(hashed, "node"), "node").where(F.array_contains("keys", F.col("key")))
 
     def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -412,32 +415,52 @@ def similar(nodes: DataFrame, rows: DataFrame, radius: int, width: int, least: f
     return in_blocks(again, "fp", "keys", "hashes").mapInArrow(confirmed, "a long, b long")
 
 
-def groups(docs: DataFrame, radius: int = 2, width: int = 3, lanes: int = 1, keys: Callable = pigeonhole_keys, distinct: bool = False, tile: int = 1024, least: float | None = None) -> DataFrame:
-    """doc_id, fp array<long>, component_id: near-duplicate groups of all rows of ``docs`` (doc_id, text).
+ROW = ["_id", "_none", "_digest"]
+
+
+def same_row(doc_id: Column, digest: Column) -> list[Column]:
+    """What rows are told apart by: doc_id, also null, and the MD5 of the text; columns ROW."""
+    return [F.coalesce(doc_id, F.lit(0)).alias("_id"), doc_id.isNull().alias("_none"), digest.alias("_digest")]
+
+
+def narrow(docs: DataFrame) -> DataFrame:
+    """doc_id, text, digest."""
+    text = docs["text"].cast("string")
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"), F.coalesce(F.md5(text), F.lit("")).alias("digest"))
+
+
+def node_groups(docs: DataFrame, radius: int = 2, width: int = 3, lanes: int = 1, keys: Callable = pigeonhole_keys, distinct: bool = False, tile: int = 1024, least: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """(a row per row of ``docs``: doc_id, digest, fp, keys; a row per node: fp, keys, component, and low, its first row by
+    doc_id, null last, and text). Nodes are the different fingerprints, numbered, so rows without an id link what they are
+    near to."""
+    rows = narrow(docs)
+    prints = common.staged(fingerprints(rows, width, lanes, keys=keys, distinct=distinct))
+
+    def grouped() -> DataFrame:
+        low = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "digest")).alias("low")
+        nodes = common.staged(prints.groupBy("fp", "keys").agg(low).withColumn("node", F.monotonically_increasing_id()))
+        found = common.components(links(nodes, radius, tile) if least is None else similar(nodes, rows, radius, width, least, tile))
+        return nodes.join(found, "node", "left").select("fp", "keys", "low", F.coalesce("component", "node").alias("component"))
+
+    return prints, common.condensed(grouped)
+
+
+def groups(docs: DataFrame, **how) -> DataFrame:
+    """doc_id, fp array<long>, component_id: near-duplicate groups of all rows of ``docs`` (doc_id, text); ``how``: as for
+    node_groups.
 
     Rows of one fingerprint are one node, so copies are never compared. component_id is the smallest doc_id reachable
     over links of ``radius`` or fewer differing bits; with ``least``, over those of them whose different shingles have a
     Jaccard similarity of ``least`` or more.
 
-    Null and empty texts share the zero fingerprint and are linked like any other. Repeated rows are returned each.
-    Nodes are named by row numbers, so rows of null doc_id link what they are near to; they get the component of what
-    they reach, null only if nothing of it has an id. An empty table gives no rows. Extra columns are not read.
+    Null and empty texts share the zero fingerprint and are linked like any other. Repeated rows are returned each. Rows
+    of null doc_id get the component of what they reach, null only if nothing of it has an id. An empty table gives no
+    rows. Extra columns are not read.
     """
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
-    rows = rows if least is None else common.staged(rows)  # their texts are read again by number
-    found = numbered_groups(rows, radius, width, lanes, keys, distinct, tile, least)
-    low = found.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return found.join(low, "component").select("doc_id", "fp", "component_id")
-
-
-def numbered_groups(rows: DataFrame, radius: int, width: int, lanes: int, keys: Callable, distinct: bool, tile: int, least: float | None) -> DataFrame:
-    """row, doc_id, fp, component (the smallest row number reachable) of ``rows`` (row, doc_id, text); staged. With ``least``,
-    row numbers must be the same whenever they are read."""
-    prints = common.staged(fingerprints(rows, width, lanes, keys=keys, distinct=distinct))
-    nodes = common.staged(prints.groupBy("fp", "keys").agg(F.min("row").alias("node")))
-    found = common.components(links(nodes, radius, tile) if least is None else similar(nodes, rows, radius, width, least, tile))
-    named = nodes.join(found, "node", "left").select("fp", "keys", F.coalesce("component", "node").alias("component"))
-    return common.staged(prints.join(named, ["fp", "keys"]).select("row", "doc_id", "fp", "component"))
+    prints, nodes = node_groups(docs, **how)
+    low = nodes.groupBy("component").agg(F.min("low.doc_id").alias("component_id"))
+    named = common.staged(nodes.join(low, "component").select("fp", "keys", "component_id"))
+    return prints.join(named, ["fp", "keys"]).select("doc_id", "fp", "component_id")
 
 
 #: Five-word shingles at a similarity of 0.8, found by fingerprints and confirmed on the shingles. Of long texts at 0.8, 15 %
@@ -448,13 +471,16 @@ SIMILAR = {"radius": 250, "width": 5, "lanes": 16, "keys": shared_keys(8), "dist
 
 def first_of_groups(docs: DataFrame, **how) -> DataFrame:
     """``docs`` (doc_id, text and others) with one row of each near-duplicate group of groups(**how): the first by doc_id,
-    null last, then in the order in which they were read.
+    null last, then by the MD5 of its text.
 
-    Rows are numbered as they are staged and grouped by number, so null and repeated ids do no harm.
+    Rows are told apart by doc_id and text, so null and repeated ids do no harm: of rows equal in both, one stays. Texts
+    are shuffled once, for the join with the rows that stay.
     """
-    number = common.free(docs, "_row_no")
-    rows = common.staged(docs.withColumn(number, F.monotonically_increasing_id()))
-    own = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(number).alias("row"))
-    found = numbered_groups(own, **{"radius": 2, "width": 3, "lanes": 1, "keys": pigeonhole_keys, "distinct": False, "tile": 1024, "least": None} | how)
-    first = found.groupBy("component").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row")).alias("first"))
-    return rows.join(first.select(F.col("first.row").alias(number)), number, "left_semi").select(*docs.columns)
+
+    def winners() -> DataFrame:
+        prints, nodes = node_groups(docs, **how)
+        return nodes.groupBy("component").agg(F.min("low").alias("low")).select(*same_row(F.col("low.doc_id"), F.col("low.digest")))
+
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    own = same_row(docs["doc_id"].cast("long"), F.coalesce(F.md5(docs["text"].cast("string")), F.lit("")))
+    return docs.select(row, *own).join(common.condensed(winners), ROW, "left_semi").dropDuplicates(ROW).select("_row.*")
