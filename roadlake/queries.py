@@ -13,12 +13,12 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadlake import catalog
+from roadlake import catalog, pipelines
 from roadlake.functions import scalars as S
 from roadlake.operators import aggregates, audit, decode, filters, rosters, sets, typing
-from roadlake.plans import bisection, requests, windows
+from roadlake.plans import bisection, drive, requests, windows
 from roadlake.schema import parse
-from roadlake.sources import writers
+from roadlake.sources import scans, writers
 from roadlake.staging import shared_dir
 from roadlake.streaming import feed
 
@@ -442,9 +442,13 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", F.col("ts").alias("active_from"), (F.col("ts") + seconds).alias("active_to"))
 
 
-@query(None)
+@query("""WITH RECURSIVE e AS (SELECT epoch_us(ts) AS s, epoch_us(ts) + (event_id % 977) * 1000000 AS t FROM events),
+w AS (SELECT CAST(1704067200 AS BIGINT) AS a, CAST(1706745600 AS BIGINT) AS b, (SELECT count(*) FROM e WHERE s < 1706745600000000 AND t >= 1704067200000000) AS n
+  UNION ALL SELECT h.a, h.b, (SELECT count(*) FROM e WHERE e.s < h.b * 1000000 AND e.t >= h.a * 1000000)
+  FROM (SELECT unnest([{'a': a, 'b': (a + b) // 2}, {'a': (a + b) // 2, 'b': b}]) AS h FROM w WHERE n >= 500))
+SELECT a * 1000000 AS window_start_us, b * 1000000 AS window_end_us, n FROM w WHERE n < 500""")
 def capped_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Leaves of halving January until under 500 events overlap each, a minute at least. Recursive: no SQL."""
+    """Leaves of halving January until under 500 events overlap each, a minute at least."""
     return bisection.capped_windows(spans(spark, sf_dir), datetime.fromisoformat("2024-01-01T00:00:00+00:00"), datetime.fromisoformat("2024-02-01T00:00:00+00:00"), 500, 60).select(us("window_start"), us("window_end"), "n")
 
 
@@ -572,6 +576,72 @@ def last_run_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return writers.last_runs(runs(spark, sf_dir)).select("endpoint", F.get_json_object("document", "$.run_id").alias("run_id"))
 
 
+@query("""WITH w AS (SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15')
+SELECT CAST(count(*) AS BIGINT) AS rows_written, CAST(count(*) FILTER (event_id % 5 = 0) AS BIGINT) AS duplicates_dropped, epoch_us(max(ts)) AS observed_max_us, CAST(count(DISTINCT CAST(ts AS DATE)) AS BIGINT) AS dates FROM w""")
+def write_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a write says of itself, observed while it ran, beside the dates that it stored."""
+    rows, path = filters.owned(table(spark, sf_dir, "events").select("event_id", "ts"), "ts", START, END), fresh_path(spark, "report")
+    report = writers.replace_window(rows.unionAll(rows.where("event_id % 5 = 0")), path, "ts", START, END)
+    dates = scans.partitioned(spark, path, rows.schema).agg(F.count_distinct("date").alias("dates"))
+    said = [F.lit(report.rows_written).cast("long").alias("rows_written"), F.lit(report.duplicates_dropped).cast("long").alias("duplicates_dropped"), F.unix_micros(F.lit(report.observed_max).cast("timestamp")).alias("observed_max_us")]
+    return dates.select(*said, "dates")
+
+
+@query("SELECT * FROM (VALUES ('a row outside the window'), ('a row without event time'), ('a listing without members'), ('a walk cut short')) v(refused), (SELECT CAST(count(*) AS BIGINT) AS stored FROM events WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15')")
+def refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes and listings that are refused whole, and the rows that are stored after them: those from before."""
+    events, path = table(spark, sf_dir, "events").select("event_id", "ts"), fresh_path(spark, "refused")
+    writers.replace_window(filters.owned(events, "ts", START, END), path, "ts", START, END)
+    members = events.select(F.lit("p").alias("provider"), F.lit("n").alias("name"), F.lit("").alias("member"))
+    page = walk_pages(spark, sf_dir, lambda: F.struct(F.col("items").alias("data"), F.struct(F.lit("c").alias("endCursor"), F.lit(True).alias("hasNextPage")).alias("pagination")), "after", F.lit(None).cast("string"))
+    tried = {
+        "a row outside the window": (writers.OutOfWindow, lambda: writers.replace_window(events, path, "ts", START, END)),
+        "a row without event time": (Exception, lambda: writers.append(events.withColumn("ts", F.when(F.col("event_id") % 2 == 0, F.col("ts"))), path, "ts")),
+        "a listing without members": (rosters.EmptyListing, lambda: rosters.require_listed(members)),
+        "a walk cut short": (audit.WalkError, lambda: audit.require_none(audit.cursor_walk(page))),
+    }
+    refused = []
+    for name, (kind, act) in tried.items():
+        try:
+            act()
+        except kind:
+            refused.append(name)
+    stored = scans.dataset(spark, path, events.schema).agg(F.count("*").alias("stored"))
+    return stored.select(F.explode(F.array(*map(F.lit, refused))).alias("refused"), "stored")
+
+
+def engine_pages(events: DataFrame, windows_: list[tuple[int, int]], tag: str) -> DataFrame:
+    """Events of January as landed pages of engine states, by the windows (first day, day after) that asked for them."""
+    out = []
+    for first, after in windows_:
+        start, end = datetime(2024, 1, first), datetime(2024, 1, after)
+        chunk = filters.owned(events, "ts", start, end).groupBy("user_id", F.floor(F.col("event_id") / 5000).alias("part")).agg(F.collect_list(F.struct(iso("ts").alias("time"), F.col("event_type").alias("value"))).alias("engineStates"))
+        record = F.struct(F.col("user_id").cast("string").alias("id"), F.concat(F.lit("U"), F.col("user_id")).alias("name"), "engineStates")
+        end_of_walk = F.struct(F.lit("").alias("endCursor"), F.lit(False).alias("hasNextPage")).alias("pagination")
+        pages = packed(chunk, F.pmod(F.xxhash64("user_id", "part"), F.lit(1 << 20)), record, lambda x, last=end_of_walk: F.struct(x.alias("data"), last))
+        sent = F.create_map(F.lit("startTime"), F.lit(f"{start:%Y-%m-%dT%H:%M:%SZ}"), F.lit("endTime"), F.lit(f"{end:%Y-%m-%dT%H:%M:%SZ}"))
+        named = F.concat(F.lit(f"{tag}-{first}-"), F.col("page_seq").cast("string"))
+        out.append(pages.select(F.lit("samsara").alias("provider"), F.lit("engine_states").alias("endpoint"), named.alias("chain_id"), F.lit(0).alias("page_seq"), sent.alias("sent_params"), F.lit(None).cast("string").alias("sent_body"), F.lit(512).alias("results_limit"), "body", F.lit(end).cast("timestamp").alias("fetched_at")))
+    return sets.concat(out)
+
+
+@query("""WITH e AS (SELECT DISTINCT user_id, ts, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-12' AND ts < TIMESTAMP '2024-01-29' OR ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-12' AND event_id % 10 <> 3)
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, count(*) AS n, epoch_us(max(ts)) AS top_us, (SELECT epoch_us(max(ts)) FROM e) AS watermark_us FROM e GROUP BY 1""")
+def sync_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two syncs of a windowed dataset: the second begins two days before the watermark of the first and so stores the rows
+    of these days that came late; those of earlier days stay as they were."""
+    events, root = table(spark, sf_dir, "events"), fresh_path(spark, "sync")
+    policy = drive.Policy(datetime(2024, 1, 1), lookback_days=2, unit_days=7)
+    landed, spec = f"{root}/landed", catalog.CATALOG["samsara.engine_states"]
+    engine_pages(events.where("event_id % 10 <> 3"), [(1, 8), (8, 15)], "first").write.parquet(landed)
+    pipelines.run_sync(spark, landed, root, [spec.key], now=datetime(2024, 1, 15, 5), policy=policy)
+    engine_pages(events, [(12, 19), (19, 26), (26, 29)], "second").write.mode("append").parquet(landed)
+    done = pipelines.run_sync(spark, landed, root, [spec.key], now=datetime(2024, 1, 29, 5), policy=policy)
+    rows = scans.partitioned(spark, f"{root}/{spec.provider}/{spec.name}", spec.schema.struct)
+    by_date = rows.groupBy(F.col("date").cast("string").alias("date")).agg(F.count("*").alias("n"), F.unix_micros(F.max("time")).alias("top_us"))
+    return by_date.withColumn("watermark_us", F.unix_micros(F.lit(done[spec.key].watermark).cast("timestamp")))
+
+
 @query("SELECT value, count(*) AS n FROM (SELECT event_type AS value FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11') GROUP BY 1")
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed pages, series unnest, typing, one UTC day, exact dedup, window replace, read back, count by value."""
