@@ -26,13 +26,17 @@ def batches(pages: DataFrame, spec: EndpointSpec, strict: bool = True) -> DataFr
     return typing.valid(typing.typed(decode.records(own, spec.decode), spec.schema), strict)
 
 
-def start(spark: SparkSession, landed: str, root: str, spec: EndpointSpec, form: str = "json", files_per_batch: int | None = None, observer: Callable[[DataFrame, int], None] | None = None, once: bool = True) -> StreamingQuery:
+def start(spark: SparkSession, landed: str, root: str, spec: EndpointSpec, form: str = "json", files_per_batch: int | None = None, observer: Callable[[DataFrame, int], None] | None = None, once: bool = True, files_per_date: int | None = None) -> StreamingQuery:
     """Appends what has landed since the last run (``once``), or goes on as pages land. A record with errors or without event
     time stops the stream before its batch is committed. ``observer`` sees every batch of validated rows; it gets them in
-    foreachBatch, which then does the append, under the batch's own number, so that a repeated batch replaces itself."""
+    foreachBatch, which then does the append, under the batch's own number, so that a repeated batch replaces itself.
+    ``files_per_date``: a batch's rows of a date go to that many tasks, which costs a shuffle; without it each task writes
+    what it has read, a file per date."""
     if spec.mode != "feed":
         raise ValueError(f"{spec.key} is no feed")
     rows = refuse_null_dates(with_date(batches(page_stream(spark, landed, form, files_per_batch), spec), spec.event_time))
+    if files_per_date:
+        rows = rows.repartition("date", F.pmod(F.xxhash64(*[c for c in rows.columns if c != "date"]), F.lit(files_per_date)))
     path, checkpoint = f"{root}/{spec.provider}/{spec.name}", f"{root}/_checkpoints/{spec.provider}/{spec.name}"
     if observer is None:
         writer = rows.writeStream.format("parquet").partitionBy("date").option("path", path)

@@ -212,7 +212,7 @@ def test_feed_stream_resumes_and_reruns_add_nothing(spark, tmp_path):
     for more in (False, False, True):
         if more:
             log_page(spark, landed, ("late", "2020-01-01T00:00:00Z"), seq=1)
-        feed.start(spark, landed, root, spec).awaitTermination()
+        feed.start(spark, landed, root, spec, files_per_date=2 if more else None).awaitTermination()
     got = spark.read.parquet(f"{root}/geotab/log_records")
     assert sorted(r["id"] for r in got.collect()) == ["a", "b", "late"]
 
