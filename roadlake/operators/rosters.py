@@ -57,10 +57,6 @@ def fan_out(members: DataFrame, windows: DataFrame) -> DataFrame:
     return windows.join(members.select("provider", "member"), "provider")
 
 
-class CommaInMember(ValueError):
-    """A member that can't be part of a comma-joined list."""
-
-
 def batches(members: DataFrame, size: int) -> DataFrame:
     """provider, name, batch, members: sorted members, ``size`` to a batch, joined by commas; a member with a comma
     fails the job. Members are ranked inside ranges of their order, whose sizes give each range its first rank, so a roster

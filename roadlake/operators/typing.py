@@ -95,10 +95,6 @@ def typed(records: DataFrame, schema: Schema, keep: list[str] | None = None) ->
     return rows.select(*keep, *[shown(f, k).alias(f.name) for k, f in fields], once(errors).alias("errors"))
 
 
-class ValidationError(ValueError):
-    """Records that do not have the declared types."""
-
-
 def valid(rows: DataFrame, strict: bool = True) -> DataFrame:
     """Typed rows without ``errors``. ``strict``: a row with errors fails the job that meets it, as a batch with one bad
     record is refused whole; otherwise such rows are left out (quarantined() has them)."""
