@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlake.llm import common
 
 #: Blocks of a group. At ten billion rows, a third of them in one source, a block has about three million narrow rows.
 BLOCKS = 1024
