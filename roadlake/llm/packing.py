@@ -133,9 +133,9 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, open_bins: int = 256
                     stop = min(n, start + ((n - start) % size or size))
                     held.append((stop - start, doc_id, piece, start, zlib.crc32(ids[4 * start : 4 * stop])))
                     start, piece = stop, piece + 1
-            if len(held) >= window:
-                yield from placed(bins, held, part)
-                held = []
+                while len(held) >= window:
+                    yield from placed(bins, held[:window], part)
+                    held = held[window:]
         yield from placed(bins, held, part)
 
     return docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(run, SCHEMA)

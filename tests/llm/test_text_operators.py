@@ -219,6 +219,13 @@ def test_packing_is_bounded_and_loses_little():
     assert made[64] > made[256] and made[256] <= 1.01 * least
 
 
+def test_packing_uses_few_sequences(spark):
+    rng = random.Random(7)
+    texts = [" ".join(rng.choices(["a", "of", "word", "tokens"], k=min(6000, int(rng.lognormvariate(6.2, 0.9)) + 1))) for _ in range(6000)]
+    got = packing.pack(documents(spark, texts).coalesce(1), TOKENIZER).agg(F.count_distinct("sequence_id").alias("made"), F.sum("length").alias("n")).first()
+    assert got["made"] <= 1.01 * got["n"] / 2048
+
+
 def test_encoder_keeps_short_pieces_only():
     encode = packing.Encoder(TOKENIZER, kept=50, longest=8)
     rng = random.Random(8)
