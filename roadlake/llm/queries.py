@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlake.llm import common, html_text, licenses, mixing, neighbours, packing, quality_model, quality_rules, sharding, simhash, url_filters
+from roadlake.llm import common, html_text, licenses, merkle, mixing, neighbours, packing, quality_model, quality_rules, sharding, simhash, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +64,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.in_training_order(found)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"), merkle.case_changed())
+
+
 def schedule_sql(demand: str) -> str:
     """mixing.position() of ``demand`` in SQL: each phase adds the part of its length that the demand fills."""
     cases = []
@@ -103,9 +107,49 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(size * fi
 """
 
 
+def levels_sql(name: str, group: str, depth: int) -> str:
+    """CTEs over {name}0 ({group}, i, h): runs of 16 of each level, and in {name}{depth} what remains of each group."""
+    out = []
+    for k in range(depth):
+        out.append(f"{name}r{k} AS (SELECT {group}, i // 16 AS i, list(h ORDER BY i) AS hs, sum(count(*)) OVER (PARTITION BY {group}) > 1 AS more FROM {name}{k} GROUP BY {group}, i // 16)")
+        out.append(f"{name}{k + 1} AS (SELECT {group}, i, CASE WHEN more THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h FROM {name}r{k})")
+    return ", ".join(out)
+
+
+def proof_sql(name: str, group: str, depth: int) -> str:
+    """CTEs that carry rows of {name}p0 ({group}, i, f, proof, ...) up the same levels: siblings are added to proof, f is folded."""
+    out = []
+    for k in range(depth):
+        before, after = "hs[1:p.i % 16]", "hs[p.i % 16 + 2:]"
+        grown = f"p.proof || CASE WHEN more THEN array_to_string({before}, '') || array_to_string({after}, '') ELSE '' END"
+        fold = f"CASE WHEN more THEN sha256(array_to_string({before}, '') || p.f || array_to_string({after}, '')) ELSE p.f END"
+        out.append(f"{name}p{k + 1} AS (SELECT p.* REPLACE (p.i // 16 AS i, {fold} AS f, {grown} AS proof) FROM {name}p{k} p JOIN {name}r{k} r ON p.{group} IS NOT DISTINCT FROM r.{group} AND p.i // 16 = r.i)")
+    return ", ".join(out)
+
+
+def encoded_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+#: CRC32 of a decimal number: a byte is taken in by eight steps of a bit each.
+CRC32_SQL = """xor(4294967295::UBIGINT, list_reduce(list_concat([4294967295::UBIGINT], [ord(c)::UBIGINT FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], [x::UBIGINT FOR x IN range(8)]), lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END))))"""
+#: Trees of up to 16^6 leaves a group and as many groups.
+OP11_SQL = f"""
+WITH d AS (SELECT doc_id, source, {" || ".join(map(encoded_sql, ("doc_id", "source", "lang", "n_chars")))} AS head, text, {CRC32_SQL} % 5 = 0 AS hit FROM documents),
+e AS (SELECT doc_id, source, sha256(head || {encoded_sql("text")}) AS leaf, CASE WHEN hit THEN sha256(head || {encoded_sql(f"translate(text, '{merkle.UPPER}', '{merkle.LOWER}')")}) END AS altered FROM d),
+a0 AS (SELECT *, leaf AS h, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM e),
+{levels_sql("a", "source", 6)},
+ap0 AS (SELECT doc_id, source, leaf, i, coalesce(altered, leaf) AS f, '' AS proof FROM a0), {proof_sql("a", "source", 6)},
+b0 AS (SELECT 0 AS whole, source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i FROM a6), {levels_sql("b", "whole", 6)},
+bp0 AS (SELECT p.doc_id, p.leaf, b0.h AS subroot, 0 AS whole, b0.i, p.f, p.proof FROM ap6 p JOIN b0 ON p.source IS NOT DISTINCT FROM b0.source), {proof_sql("b", "whole", 6)}
+SELECT doc_id, leaf, subroot, (SELECT h FROM b6) AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = (SELECT h FROM b6) AS verified FROM bp6
+"""
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": url_filters.ORACLE, "op4_license_scans": licenses.oracle(), "op10_mixing": OP10_SQL}
+    return {"op1_url_filters": url_filters.ORACLE, "op4_license_scans": licenses.oracle(), "op10_mixing": OP10_SQL, "op11_merkle_manifest": OP11_SQL}
