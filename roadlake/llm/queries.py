@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlake.llm import common, html_text, licenses, merkle, mixing, neighbours, packing, quality_model, quality_rules, sharding, simhash, url_filters
+from roadlake.llm import common, html_text, licenses, merkle, mixing, neighbours, packing, personal, quality_model, quality_rules, sharding, simhash, url_filters, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +68,14 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(table(spark, sf_dir, "documents"), merkle.case_changed())
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.digest(personal.find(table(spark, sf_dir, "documents")))
+
+
 def schedule_sql(demand: str) -> str:
     """mixing.position() of ``demand`` in SQL: each phase adds the part of its length that the demand fills."""
     cases = []
