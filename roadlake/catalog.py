@@ -15,8 +15,9 @@ SHAPES = ("single", "roster", "roster_batches", "sweep", "bisected")
 
 @dataclass(frozen=True)
 class RosterPolicy:
-    """How a roster is kept: the feeder dataset and column that list its members, when a listing is too old, and after how
-    many listings in a row without a member that one goes (null: never)."""
+    """How a roster is kept: the feeder dataset and column that list its members, when a listing is too old, after how many
+    listings in a row without a member that one goes (null: never), and whether members of a listing that is too old are
+    good enough while no new one can be had."""
 
     provider: str
     name: str
@@ -24,6 +25,7 @@ class RosterPolicy:
     column: str
     max_age_days: int = 1
     evict_after: int | None = 3
+    keep_stale: bool = True
 
 
 @dataclass(frozen=True)

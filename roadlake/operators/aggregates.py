@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 KEY = ["provider", "endpoint"]
@@ -58,6 +58,30 @@ def unit_state(events: DataFrame) -> DataFrame:
     return events.groupBy(*key).agg(F.when(last.isin("reset", "released", "enqueued"), "pending").otherwise(last).alias("status"), F.max_by(F.col("observed_max"), F.when(F.col("observed_max").isNotNull(), F.col("seq"))).alias("observed_max"), F.count_if(F.col("status") == "claimed").alias("attempts"))
 
 
+def fenced(events: DataFrame) -> DataFrame:
+    """``events`` of units with ``refused``: whether a run wrote one after another run of a higher fence had claimed the unit.
+    Events without a fence are the planner's and are never refused."""
+    unit = [*KEY, "partition_key", "chunk_start", "chunk_end"]
+    higher = Window.partitionBy(*unit).orderBy(F.desc("fence")).rangeBetween(Window.unboundedPreceding, -1)
+    taken = F.min(F.when(F.col("status") == "claimed", F.col("seq"))).over(higher)
+    return events.withColumn("refused", F.col("fence").isNotNull() & F.coalesce(taken < F.col("seq"), F.lit(False)))
+
+
+def leased_state(events: DataFrame, now) -> DataFrame:
+    """The state of each unit from a log whose claims are leases (columns of unit_state, fence, expires_at, generation).
+
+    A claim holds until it expires, and then the unit is pending again (``expired``); what a run reports after a newer one
+    took its unit over counts for nothing. ``observed_max`` and ``generation`` (when the newest page of the stored rows was
+    fetched) are those of the last done; ``fence`` is the highest that claimed the unit."""
+    unit = [*KEY, "partition_key", "chunk_start", "chunk_end"]
+    valid = fenced(events).where(~F.col("refused"))
+    last, done = F.max_by(F.struct("status", "expires_at"), "seq"), F.when(F.col("status") == "done", F.col("seq"))
+    state = valid.groupBy(*unit).agg(last.alias("last"), F.max_by("observed_max", done).alias("observed_max"), F.max_by("generation", done).alias("generation"), F.max("fence").alias("fence"), F.count_if(F.col("status") == "claimed").alias("attempts"))
+    expired = (F.col("last.status") == "claimed") & (F.col("last.expires_at") <= F.lit(now))
+    status = F.when(expired | F.col("last.status").isin("reset", "released", "enqueued"), "pending").otherwise(F.col("last.status"))
+    return state.select(*unit, status.alias("status"), "observed_max", "generation", "fence", "attempts", expired.alias("expired"))
+
+
 def latest_version(rows: DataFrame, key: str = "id", version: str = "version", ingested: str | None = None) -> DataFrame:
     """The current row of each id among rows stored as they were emitted: that of the highest version, by text order (an
     assumption: versions of one width), then the latest ingested. max_by keeps one row per id and task before the

@@ -77,16 +77,20 @@ def require_no_faults(bad: DataFrame) -> None:
         raise EnvelopeError("; ".join(f"{r['fault']} ({r['n']} pages, first {r['first']})" for r in found))
 
 
-def records(pages: DataFrame, decode: Decode) -> DataFrame:
+def records(pages: DataFrame, decode: Decode, strict: bool = False) -> DataFrame:
     """A row per record of the pages that have the declared shape: the pages' columns without the body, ``ordinal`` (place
-    in the page), ``record`` (variant), ``stamped`` (map of record keys to stamped text).
+    in the page), ``record`` (variant), ``stamped`` (map of record keys to stamped text). ``strict``: a page of another shape
+    fails the job that meets it, and is named; otherwise such pages are left out (bad_pages() has them).
 
     A series gives a row per reading; records without one, or with an empty one, give none. Identity values are in
     ``identity`` (map of columns to variants), for readings that do not have the key themselves.
     """
     keep = [c for c in pages.columns if c not in ("body", "envelope")]
     items = F.try_variant_get("envelope", "$." + ".".join(decode.path), "array<variant>")
-    rows = parsed(pages).where(faults(decode).isNull()).select(*keep, F.posexplode(items).alias("ordinal", "record"))
+    fault = faults(decode)
+    named = F.concat_ws("/", *[F.col(c).cast("string") for c in PAGE_COLUMNS if c in pages.columns])
+    fine = fault.isNull() if not strict else F.when(fault.isNull(), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("page refused: "), fault, F.lit(" ("), named, F.lit(")"))).cast("boolean"))
+    rows = parsed(pages).where(fine).select(*keep, F.posexplode(items).alias("ordinal", "record"))
     if decode.item:
         rows = rows.withColumn("record", get(F.col("record"), decode.item))
     identity = F.create_map(*[x for name, keys in decode.identity for x in (F.lit(name), get(F.col("record"), *keys))]) if decode.identity else F.lit(None).cast("map<string,variant>")

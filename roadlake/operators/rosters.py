@@ -51,6 +51,17 @@ def due(policies: DataFrame, successes: DataFrame, stored: DataFrame, now) -> Da
     return fed.withColumn("reason", reason).where("reason is not null").select("provider", "name", "feeder", "reason")
 
 
+def readiness(consumers: DataFrame, due_: DataFrame, failed: DataFrame, policies: DataFrame) -> DataFrame:
+    """provider, endpoint, name, ready, why: whether each consumer (provider, endpoint, name of its roster) can be laid out
+    over its roster, once the feeders of due rosters (due()) were listed anew or failed (provider, feeder). A roster that is
+    too old is used as it is if its policy (provider, name, keep_stale) says so; one without members never is."""
+    state = due_.join(failed.withColumn("failed", F.lit(True)), ["provider", "feeder"], "left").join(policies, ["provider", "name"], "left")
+    both = consumers.join(state, ["provider", "name"], "left")
+    refreshed, old = F.col("reason").isNotNull() & F.col("failed").isNull(), F.coalesce((F.col("reason") == "too old") & F.col("keep_stale"), F.lit(False))
+    why = F.when(F.col("reason").isNull(), "fresh").when(refreshed, "listed anew").when(old, "the feeder failed, the old members stay").otherwise(F.concat(F.lit("the feeder failed, and the roster is "), "reason"))
+    return both.select("provider", "endpoint", "name", (F.col("reason").isNull() | refreshed | old).alias("ready"), why.alias("why"))
+
+
 def fan_out(members: DataFrame, windows: DataFrame) -> DataFrame:
     """Every member of a roster with every window of its provider (windows: provider, endpoint, window_start, window_end):
     the plan itself, one request per row."""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
@@ -16,18 +16,20 @@ from roadlake.operators.aggregates import last_success, members
 from roadlake.operators.filters import in_window, owned
 from roadlake.operators.sets import unswept
 from roadlake.plans import drive
-from roadlake.plans.windows import UNIT
 from roadlake.sources import scans, writers
-from roadlake.staging import staged
+from roadlake.staging import local, staged
 from roadlake.streaming import feed
 
+
+
 def typed_rows(pages: DataFrame, spec: EndpointSpec, strict: bool = True) -> DataFrame:
-    """Valid rows of a dataset's pages; lazy."""
-    return typing.valid(typing.typed(decode.records(pages, spec.decode), spec.schema), strict)
+    """Valid rows of a dataset's pages; lazy. ``strict``: a malformed page, or a record with errors, fails the job that meets it."""
+    return typing.valid(typing.typed(decode.records(pages, spec.decode, strict), spec.schema), strict)
 
 
 def read_snapshot(spark: SparkSession, landed: str, endpoint: str, form: str = "parquet") -> DataFrame:
-    """A snapshot dataset as a typed DataFrame, without storing anything; no pages give no rows of its columns."""
+    """A snapshot dataset as a typed DataFrame, without storing anything; no pages give no rows of its columns. A page that
+    is no page of the dataset, such as an error in its place, fails the job, as an empty result would look like an empty fleet."""
     spec = CATALOG[endpoint]
     if spec.mode != "snapshot":
         raise ValueError(f"{endpoint} is no snapshot; it needs a window or a stream")
@@ -116,47 +118,97 @@ def due_rosters(spark: SparkSession, root: str, now: datetime) -> DataFrame:
 
 @dataclass
 class Synced:
-    """What a sync of a windowed dataset did: the windows stored with their reports, the units whose pages have not all
-    landed, and the watermark after it."""
+    """What a sync of a windowed dataset did: the windows stored, with the report of the one write that stored them, the units
+    that wait for pages, with the reason, and the watermark after it."""
 
     stored: list[tuple[datetime, datetime, writers.WriteReport]]
-    waiting: list[tuple[datetime, datetime]]
+    waiting: list[tuple[datetime, datetime, str]]
     watermark: datetime | None
 
 
-def sync_windows(spark: SparkSession, landed: str, root: str, endpoint: str, now: datetime, policy: drive.Policy, form: str = "parquet") -> Synced:
-    """Brings a windowed dataset up to date: plans the units that are due, stores those whose pages have all landed, those
-    that follow one another in one job, marks each done with what it held, and moves the watermark by the done ones
-    before the first that is not. A unit that fails stays to be done, holds the watermark, and is raised at the end."""
-    spec = CATALOG[endpoint]
-    pending = staged(drive.plan(spark, root, spec, now, policy).select(*UNIT))
-    pages = scans.pages(spark, landed, spec.provider, spec.name, form)
-    ready, keys = drive.landed_units(spark, root, spec, pages, pending)
-    ready, done, failed = staged(ready), [], {}
+SIDE = ["chunk_start", "chunk_end"]
+
+
+def unit_rows(pages: DataFrame, spec: EndpointSpec, chosen: DataFrame) -> DataFrame:
+    """unit_start, unit_end, the dataset's columns and errors: the rows of chosen walks, those that their unit owns and those
+    with errors (staged)."""
+    records = decode.records(drive.of_units(pages, spec, chosen), spec.decode)
+    rows = typing.typed(records, spec.schema, ["unit_start", "unit_end"])
+    return staged(rows.where((F.size("errors") > 0) | in_window(F.col(spec.event_time), F.col("unit_start"), F.col("unit_end"))))
+
+
+def joined(units: DataFrame) -> list[tuple[datetime, datetime]]:
+    """The windows of ``units``, those that follow one another as one. Units of one dataset: at most a row a day."""
     spans: list[tuple[datetime, datetime]] = []
-    # units of one dataset: as many as its window has days at most
-    for unit in ready.select("chunk_start", "chunk_end").orderBy("chunk_start", "chunk_end").collect():
-        joined = spans and spans[-1][1] == unit["chunk_start"]
-        spans[-1:] = [(spans[-1][0], unit["chunk_end"])] if joined else [*spans[-1:], tuple(unit)]
-    for start, end in spans:
-        inside = (F.col("chunk_start") >= F.lit(start)) & (F.col("chunk_end") <= F.lit(end))
-        units = ready.where(inside)
-        drive.note(units, root, "claimed")
+    for start, end in units.select(*SIDE).orderBy(*SIDE).collect():
+        spans[-1:] = [(spans[-1][0], end)] if spans and spans[-1][1] == start else [*spans[-1:], (start, end)]
+    return spans
+
+
+def sync_windows(spark: SparkSession, landed: str, root: str, endpoint: str, now: datetime, policy: drive.Policy, form: str = "parquet") -> Synced:
+    """Brings a windowed dataset up to date: units that earlier plans have left over come first and move the watermark; then
+    the window that is due is planned from there, and its units are stored as far as their pages have landed. Failed units
+    stay to be done, hold the watermark, and are raised at the end."""
+    spec, began = CATALOG[endpoint], datetime.now(UTC)
+    clock = lambda: now + (datetime.now(UTC) - began)
+    pages, fence = scans.pages(spark, landed, spec.provider, spec.name, form), drive.take_fence(spark, root, spec)
+    done, failed = Synced([], [], drive.reached(spark, root, spec)), {}
+    old = drive.leftovers(spark, root, spec, now)
+    for pending in (lambda: old, lambda: drive.plan(spark, root, spec, now, policy).join(old.select(*SIDE), SIDE, "left_anti")):
+        if not (units := local(pending())).isEmpty():
+            stored, waiting, wrong = store_units(spark, root, spec, pages, units, fence, clock, policy)
+            done.stored += stored
+            done.waiting += waiting
+            failed |= wrong
+            done.watermark = drive.advance(spark, root, spec, clock())
+    done.waiting.sort()
+    if failed:
+        raise SyncError("; ".join(f"{endpoint} {a} to {b}: {detail[:200]}" for (a, b), detail in sorted(failed.items())))
+    return done
+
+
+def store_units(spark: SparkSession, root: str, spec: EndpointSpec, pages: DataFrame, pending: DataFrame, fence: int, clock: Callable[[], datetime], policy: drive.Policy) -> tuple[list, list, dict]:
+    """(windows stored, units that wait, what is wrong with failed ones) of ``pending``.
+
+    The landed pages of all units are audited in one pass, which gives each unit a verdict of its own: ready, waiting for
+    pages, or failed. Ready ones are claimed and their rows typed; a unit with a refused record fails by itself. The dates of
+    all good units are stored in one write, if this run still holds their leases, and each is marked done with what it held.
+    """
+    walks = staged(drive.best(drive.generations(spark, root, spec, pages, pending)))
+    units = local(drive.verdicts(walks))
+    waiting = [tuple(r) for r in units.where("verdict = 'waiting'").select(*SIDE, "detail").collect()]
+    failed = {(r["chunk_start"], r["chunk_end"]): r["detail"] for r in units.where("verdict = 'failed'").collect()}
+    run = {"run_id": uuid.uuid4().hex, "provider": spec.provider, "endpoint": spec.name, "mode": spec.mode, "started_at": datetime.now(UTC)}
+    log = lambda spans, **more: writers.append_rows(spark, [run | {"window_start": a, "window_end": b} | more for a, b in spans], writers.RUNS, f"{root}/_control/runs")
+    spans, report = [], None
+    if failed:
+        drive.note(units.where("verdict = 'failed'"), root, "failed")
+    ready = units.where("verdict = 'ready'")
+    if not ready.isEmpty() and not (ready := drive.claim(spark, root, spec, ready, fence, clock(), policy)).isEmpty():
+        rows = unit_rows(pages, spec, walks.join(ready.select(*SIDE), SIDE, "left_semi")).withColumnsRenamed({"unit_start": "chunk_start", "unit_end": "chunk_end"})
+        broken = local(rows.where(F.size("errors") > 0).groupBy(*SIDE).agg(F.min(F.concat(F.lit("record refused: "), F.concat_ws("; ", "errors"))).alias("detail")))
+        if wrong := {(r["chunk_start"], r["chunk_end"]): r["detail"] for r in broken.collect()}:
+            failed |= wrong
+            drive.note(ready.drop("detail").join(broken, SIDE), root, "failed", fence)
+        good = local(ready.join(broken, SIDE, "left_anti"))
+        spans = joined(good)
+    if failed:
+        log(failed, status="failed", ended_at=datetime.now(UTC), error_detail="; ".join(sorted(set(failed.values())))[:500])
+    if spans:
+        log(spans, status="running")
         try:
-            own = drive.of_units(pages, spec, keys.join(units, ["chunk_start", "chunk_end"], "left_semi"))
-            report = ingest(spark, landed, root, endpoint, (start, end), form=form, pages=own)
+            drive.require_held(spark, root, spec, good, fence, clock())
+            kept = rows.where(F.size("errors") == 0).join(good.select(*SIDE), SIDE, "left_semi").drop(*SIDE, "errors")
+            report = writers.write_spans(kept, spec, root, spans)
         except Exception as error:
-            failed[(start, end)] = error
-            drive.note(units, root, "failed")
-            continue
-        rows = scans.dataset(spark, f"{root}/{spec.provider}/{spec.name}", spec.schema.struct).where(in_window(F.col(spec.event_time), start, end))
-        drive.note(drive.observed(rows, spec.event_time, units), root, "done")
-        done.append((start, end, report))
-    waiting = [tuple(r) for r in pending.join(ready, ["chunk_start", "chunk_end"], "left_anti").select("chunk_start", "chunk_end").orderBy("chunk_start").collect()]
-    watermark = drive.advance(spark, root, spec)
-    if failed:
-        raise SyncError("; ".join(f"{endpoint} {a} to {b}: {type(e).__name__}: {str(e)[:200]}" for (a, b), e in failed.items()))
-    return Synced(done, waiting, watermark)
+            log(spans, status="failed", ended_at=datetime.now(UTC), error_detail=f"{type(error).__name__}: {str(error)[:500]}")
+            if not isinstance(error, drive.LeaseLost):
+                drive.note(good, root, "failed", fence)
+            raise
+        tops = rows.where(F.size("errors") == 0).groupBy(*SIDE).agg(F.max(spec.event_time).alias("observed_max"))
+        drive.note(good.join(tops, SIDE, "left"), root, "done", fence)
+        log(spans, status="succeeded", ended_at=datetime.now(UTC), row_count=report.rows_written, report=str(report))
+    return [(a, b, report) for a, b in spans], waiting, failed
 
 
 class SyncError(RuntimeError):
@@ -164,18 +216,44 @@ class SyncError(RuntimeError):
 
 
 def run_sync(spark: SparkSession, landed: str, root: str, endpoints: Iterable[str], windows: dict[str, tuple[datetime, datetime]] | None = None, form: str = "parquet", now: datetime | None = None, policy: drive.Policy | None = None) -> dict[str, writers.WriteReport | Synced | None]:
-    """Stores many datasets, those that list rosters first. Windowed ones take the window given for them, or with ``policy``
-    are brought up to ``now`` (sync_windows). A failure does not stop the others; all are raised together."""
-    done, failed = {}, {}
-    for name in sorted(endpoints, key=lambda x: (CATALOG[x].feeds is None, x)):
+    """Stores many datasets in the order in which they need each other: what lists a roster comes before what is laid out over
+    it, and is listed anew, once, if the roster is due, whether it was asked for or not. A dataset whose roster is due and
+    could not be listed goes on with the members known so far, or is held back, as the roster's policy says.
+
+    Windowed datasets take the window given for them, or with ``policy`` are brought up to ``now`` (sync_windows). A failure
+    does not stop the others; all are raised together."""
+    names, now, done, failed = set(endpoints), now or datetime.now(UTC), {}, {}
+
+    def store(name: str) -> None:
         try:
             if policy and CATALOG[name].mode == "watermark" and name not in (windows or {}):
-                done[name] = sync_windows(spark, landed, root, name, now or datetime.now(UTC), policy, form)
+                done[name] = sync_windows(spark, landed, root, name, now, policy, form)
             else:
                 done[name] = ingest(spark, landed, root, name, (windows or {}).get(name), form=form)
         except Exception as error:
             failed[name] = error
+
+    planned = [CATALOG[x] for x in sorted(names) if CATALOG[x].roster and policy and x not in (windows or {})]
+    consumers = spark.createDataFrame([(x.provider, x.name, x.roster[0]) for x in planned], "provider string, endpoint string, name string")
+    due = local(due_rosters(spark, root, now).join(consumers.select("provider", "name").distinct(), ["provider", "name"], "left_semi")) if planned else None
+    feeders = {f"{r['provider']}.{r['feeder']}" for r in due.collect()} if planned else set()
+    for name in sorted({x for x in names if CATALOG[x].feeds} | feeders):
+        store(name)
+    held = {}
+    if planned:
+        wrong = spark.createDataFrame([tuple(x.split(".")) for x in feeders if x in failed], "provider string, feeder string")
+        keep = spark.createDataFrame([(x.provider, x.name, x.keep_stale) for x in ROSTERS], "provider string, name string, keep_stale boolean")
+        held = {f"{r['provider']}.{r['endpoint']}": r["why"] for r in rosters.readiness(consumers, due, wrong, keep).where("not ready").collect()}
+    for name in sorted(x for x in names if not CATALOG[x].feeds):
+        if name in held:
+            failed[name] = HeldBack(held[name])
+        else:
+            store(name)
     writers.project_metadata(spark.read.parquet(f"{root}/_control/runs"), root)
     if failed:
-        raise SyncError("; ".join(f"{k}: {type(e).__name__}: {str(e)[:200]}" for k, e in failed.items()))
+        raise SyncError("; ".join(f"{k}: {type(e).__name__}: {str(e)[:200]}" for k, e in sorted(failed.items())))
     return done
+
+
+class HeldBack(RuntimeError):
+    """A dataset that was not begun, as what it needs is not there."""

@@ -6,8 +6,10 @@ whole microseconds.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,7 +21,7 @@ from roadlake.operators import aggregates, audit, decode, filters, rosters, sets
 from roadlake.plans import bisection, drive, requests, windows
 from roadlake.schema import parse
 from roadlake.sources import scans, writers
-from roadlake.staging import shared_dir
+from roadlake.staging import shared_dir, staged
 from roadlake.streaming import feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -556,20 +558,84 @@ def feed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 FEED_PAGES = 500
 
 
+def log_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as landed pages of a feed, each of which asks from the version that the page before ends with."""
+    spec = catalog.CATALOG["geotab.log_records"]
+    record = F.struct(F.concat(F.lit("i"), "event_id").alias("id"), iso("ts").alias("dateTime"), F.struct(F.col("user_id").cast("string").alias("id")).alias("device"), F.col("value").alias("latitude"), F.col("value").alias("longitude"), F.lit(1.0).alias("speed"))
+    page = F.floor(F.col("event_id") / FEED_PAGES)
+    sent = F.create_map(F.lit("fromVersion"), F.when(page > 0, F.concat(F.lit("v"), page.cast("string"))))
+    pages = packed(table(spark, sf_dir, "events"), page, record, lambda x: F.struct(F.struct(x.alias("data"), F.concat(F.lit("v"), (F.col("page_seq") + 1).cast("string")).alias("toVersion")).alias("result")), sent, FEED_PAGES)
+    return pages.withColumn("provider", F.lit(spec.provider)).withColumn("endpoint", F.lit(spec.name)).withColumn("fetched_at", F.timestamp_seconds("page_seq"))
+
+
 @query("SELECT 'i' || event_id AS id, epoch_us(ts) AS date_time_us, CAST(CAST(ts AS DATE) AS VARCHAR) AS date FROM events")
 def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of a feed landed in two lots, streamed in two runs and a third that finds nothing new."""
     spec, landed, root = catalog.CATALOG["geotab.log_records"], fresh_path(spark, "landed"), fresh_path(spark, "stored")
-    record = F.struct(F.concat(F.lit("i"), "event_id").alias("id"), iso("ts").alias("dateTime"), F.struct(F.col("user_id").cast("string").alias("id")).alias("device"), F.col("value").alias("latitude"), F.col("value").alias("longitude"), F.lit(1.0).alias("speed"))
-    pages = packed(table(spark, sf_dir, "events"), F.floor(F.col("event_id") / FEED_PAGES), record, lambda x: F.struct(F.struct(x.alias("data"), F.lit("v").alias("toVersion")).alias("result")))
-    pages = pages.withColumn("provider", F.lit(spec.provider)).withColumn("endpoint", F.lit(spec.name))
-    for lot in (F.col("page_seq") % 2 == 0, F.col("page_seq") % 2 == 1, None):
+    pages = log_pages(spark, sf_dir)
+    for lot in (F.col("page_seq") < 1, F.col("page_seq") >= 1, None):
         if lot is not None:
             pages.where(lot).write.mode("append").json(landed)
         feed.start(spark, landed, root, spec).awaitTermination()
     return spark.read.parquet(f"{root}/{spec.provider}/{spec.name}").select("id", us("date_time"), F.col("date").cast("string").alias("date"))
 
 
+def moved_in(spark: SparkSession, source: str, target: str) -> None:
+    """The one data file of ``source`` takes the name and place of that of ``target``, or a place of its own there."""
+    data = lambda folder: [x.getPath() for x in scans.file_system(spark, folder)[0].listStatus(scans.file_system(spark, folder)[1]) if x.getPath().getName().startswith("part-")]
+    system, [new], old = scans.file_system(spark, source)[0], data(source), data(target)[0]
+    system.delete(old, False)
+    system.rename(new, old)
+
+
+@query(f"SELECT 'i' || event_id AS id, event_id < {FEED_PAGES} AS before, fault FROM events, (VALUES ('asked from version gap, the page before ends with v1'), ('result: missing')) v(fault)")
+def feed_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feeds that break on their second page, by a gap between versions or an error in a page's place: the stream stops before
+    that batch, names the fault, and goes on once the page is mended. ``before``: rows that were stored when it stopped."""
+    spec, pages, out = catalog.CATALOG["geotab.log_records"], log_pages(spark, sf_dir), []
+    second = pages.where("page_seq >= 1").coalesce(1)
+    first_of = lambda changed, old: F.when(F.col("page_seq") == 1, changed).otherwise(old)
+    broken = {"sent_params": F.create_map(F.lit("fromVersion"), F.lit("gap")), "body": F.lit('{"error":{"message":"no"}}')}
+    for column, value in broken.items():
+        landed, root = fresh_path(spark, "landed"), fresh_path(spark, "stored")
+        stored = f"{root}/{spec.provider}/{spec.name}"
+        pages.where("page_seq < 1").write.json(f"{landed}/lot=1")
+        feed.start(spark, f"{landed}/*", root, spec).awaitTermination()
+        second.withColumn(column, first_of(value, F.col(column))).write.json(f"{landed}/lot=2")
+        try:
+            feed.start(spark, f"{landed}/*", root, spec).awaitTermination()
+            fault = None
+        except Exception as error:
+            fault = re.search(r"FeedError: \S+ c/1: ([^;\n]*)", str(error))[1]
+        before = spark.read.parquet(stored).select("id", F.lit(True).alias("before"))
+        before = spark.createDataFrame(before.toArrow(), before.schema) if before.isEmpty() else staged(before)
+        second.write.json(f"{landed}-mended")
+        moved_in(spark, f"{landed}-mended", f"{landed}/lot=2")
+        feed.start(spark, f"{landed}/*", root, spec).awaitTermination()
+        rows = spark.read.parquet(stored).join(before, "id", "left")
+        out.append(rows.select("id", F.coalesce("before", F.lit(False)).alias("before"), F.lit(fault).alias("fault")))
+    return sets.concat(out)
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, 'page refused: data: missing (samsara/vehicles/c/-1)' AS refused FROM customer")
+def snapshot_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing among whose pages an error has landed fails and names it; without that page it gives all rows."""
+    fixed = {"notes": "n", "harshAccelerationSettingType": "off", "vehicleRegulationMode": "regulated", "createdAtTime": "2024-01-01T00:00:00Z", "updatedAtTime": "2024-01-01T00:00:00Z"}
+    record = F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), *[F.lit(v).alias(k) for k, v in fixed.items()])
+    pages = packed(table(spark, sf_dir, "customer"), F.floor(F.col("c_custkey") / 100), record, lambda x: F.struct(x.alias("data")))
+    pages = pages.withColumn("provider", F.lit("samsara")).withColumn("endpoint", F.lit("vehicles"))
+    bad = pages.limit(1).withColumn("page_seq", F.lit(-1)).withColumn("body", F.lit('{"message":"try later"}'))
+    landed = fresh_path(spark, "landed")
+    pages.write.parquet(f"{landed}/good")
+    pages.unionByName(bad).write.parquet(f"{landed}/mixed")
+    try:
+        pipelines.read_snapshot(spark, f"{landed}/mixed", "samsara.vehicles").count()
+        said = None
+    except Exception as error:
+        said = re.search(r"page refused: [^\n]*?\)", str(error))[0]
+    return pipelines.read_snapshot(spark, f"{landed}/good", "samsara.vehicles").select("id", "name", F.lit(said).alias("refused"))
+
+
 @query("SELECT CAST(user_id AS VARCHAR) AS endpoint, CAST(arg_max(event_id, ts) AS VARCHAR) AS run_id FROM events GROUP BY 1")
 def last_run_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest run of each endpoint, as a JSON document."""
@@ -610,38 +676,131 @@ def refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select(F.explode(F.array(*map(F.lit, refused))).alias("refused"), "stored")
 
 
-def engine_pages(events: DataFrame, windows_: list[tuple[int, int]], tag: str) -> DataFrame:
-    """Events of January as landed pages of engine states, by the windows (first day, day after) that asked for them."""
+def engine_pages(events: DataFrame, windows_: list[tuple[int, int]], tag: str, fetched: datetime | None = None) -> DataFrame:
+    """Events of January as landed pages of engine states, by the windows (first day, day after) that asked for them, fetched
+    when the window was over, or at another time."""
     out = []
     for first, after in windows_:
         start, end = datetime(2024, 1, first), datetime(2024, 1, after)
         chunk = filters.owned(events, "ts", start, end).groupBy("user_id", F.floor(F.col("event_id") / 5000).alias("part")).agg(F.collect_list(F.struct(iso("ts").alias("time"), F.col("event_type").alias("value"))).alias("engineStates"))
         record = F.struct(F.col("user_id").cast("string").alias("id"), F.concat(F.lit("U"), F.col("user_id")).alias("name"), "engineStates")
-        end_of_walk = F.struct(F.lit("").alias("endCursor"), F.lit(False).alias("hasNextPage")).alias("pagination")
-        pages = packed(chunk, F.pmod(F.xxhash64("user_id", "part"), F.lit(1 << 20)), record, lambda x, last=end_of_walk: F.struct(x.alias("data"), last))
-        sent = F.create_map(F.lit("startTime"), F.lit(f"{start:%Y-%m-%dT%H:%M:%SZ}"), F.lit("endTime"), F.lit(f"{end:%Y-%m-%dT%H:%M:%SZ}"))
-        named = F.concat(F.lit(f"{tag}-{first}-"), F.col("page_seq").cast("string"))
-        out.append(pages.select(F.lit("samsara").alias("provider"), F.lit("engine_states").alias("endpoint"), named.alias("chain_id"), F.lit(0).alias("page_seq"), sent.alias("sent_params"), F.lit(None).cast("string").alias("sent_body"), F.lit(512).alias("results_limit"), "body", F.lit(end).cast("timestamp").alias("fetched_at")))
+        # a walk of numbered pages, each of which names the next one's cursor
+        groups = chunk.groupBy(F.pmod(F.xxhash64("user_id", "part"), F.lit(8)).alias("hash")).agg(F.collect_list(record).alias("items"))
+        walk = Window.orderBy("hash")  # a row a page, eight at most
+        groups = groups.select((F.row_number().over(walk) - 1).alias("page_seq"), F.lead("hash").over(walk).isNotNull().alias("more"), "items")
+        cursor = lambda n: F.concat(F.lit("c"), n.cast("string"))
+        page = F.struct(F.when(F.col("more"), cursor(F.col("page_seq"))).otherwise("").alias("endCursor"), F.col("more").alias("hasNextPage")).alias("pagination")
+        sent = F.create_map(F.lit("startTime"), F.lit(f"{start:%Y-%m-%dT%H:%M:%SZ}"), F.lit("endTime"), F.lit(f"{end:%Y-%m-%dT%H:%M:%SZ}"), F.lit("after"), F.when(F.col("page_seq") > 0, cursor(F.col("page_seq") - 1)))
+        out.append(groups.select(F.lit("samsara").alias("provider"), F.lit("engine_states").alias("endpoint"), F.lit(f"{tag}-{first}").alias("chain_id"), "page_seq", sent.alias("sent_params"), F.lit(None).cast("string").alias("sent_body"), F.lit(512).alias("results_limit"), F.to_json(F.struct(F.col("items").alias("data"), page)).alias("body"), F.lit(fetched or end).cast("timestamp").alias("fetched_at")))
     return sets.concat(out)
 
 
-@query("""WITH e AS (SELECT DISTINCT user_id, ts, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-12' AND ts < TIMESTAMP '2024-01-29' OR ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-12' AND event_id % 10 <> 3)
-SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, count(*) AS n, epoch_us(max(ts)) AS top_us, (SELECT epoch_us(max(ts)) FROM e) AS watermark_us FROM e GROUP BY 1""")
+@query("""WITH e AS (SELECT DISTINCT user_id, ts, CASE WHEN ts >= TIMESTAMP '2024-01-12' AND event_id % 5 = 0 THEN 'changed' ELSE event_type END AS value FROM events
+  WHERE CASE WHEN ts < TIMESTAMP '2024-01-12' THEN event_id % 10 <> 3 WHEN ts < TIMESTAMP '2024-01-26' THEN event_id % 7 <> 0 ELSE event_id % 7 <> 0 AND event_id % 2 = 0 END AND ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-29')
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, value, count(*) AS n, (SELECT epoch_us(max(ts)) FROM (SELECT ts FROM events WHERE event_id % 7 <> 0 AND ts < TIMESTAMP '2024-01-29')) AS watermark_us FROM e GROUP BY 1, 2""")
 def sync_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two syncs of a windowed dataset: the second begins two days before the watermark of the first and so stores the rows
-    of these days that came late; those of earlier days stay as they were."""
+    """Three syncs of a windowed dataset. The second begins two days before the watermark of the first; its pages withdraw some
+    rows of these days and change others. The third finds the last three days released and fetched once more, with half of
+    their rows withdrawn. What is stored of a day is what was fetched for it last, and nothing older."""
     events, root = table(spark, sf_dir, "events"), fresh_path(spark, "sync")
     policy = drive.Policy(datetime(2024, 1, 1), lookback_days=2, unit_days=7)
     landed, spec = f"{root}/landed", catalog.CATALOG["samsara.engine_states"]
     engine_pages(events.where("event_id % 10 <> 3"), [(1, 8), (8, 15)], "first").write.parquet(landed)
     pipelines.run_sync(spark, landed, root, [spec.key], now=datetime(2024, 1, 15, 5), policy=policy)
-    engine_pages(events, [(12, 19), (19, 26), (26, 29)], "second").write.mode("append").parquet(landed)
-    done = pipelines.run_sync(spark, landed, root, [spec.key], now=datetime(2024, 1, 29, 5), policy=policy)
+    later = events.where("event_id % 7 <> 0").withColumn("event_type", F.when(F.col("event_id") % 5 == 0, "changed").otherwise(F.col("event_type")))
+    engine_pages(later, [(12, 19), (19, 26), (26, 29)], "second").write.mode("append").parquet(landed)
+    pipelines.run_sync(spark, landed, root, [spec.key], now=datetime(2024, 1, 29, 5), policy=policy)
+    engine_pages(later.where("event_id % 2 = 0"), [(26, 29)], "third", datetime(2024, 1, 29, 6)).write.mode("append").parquet(landed)
+    done = pipelines.run_sync(spark, landed, root, [spec.key], now=datetime(2024, 1, 29, 7), policy=policy)
     rows = scans.partitioned(spark, f"{root}/{spec.provider}/{spec.name}", spec.schema.struct)
-    by_date = rows.groupBy(F.col("date").cast("string").alias("date")).agg(F.count("*").alias("n"), F.unix_micros(F.max("time")).alias("top_us"))
+    by_date = rows.groupBy(F.col("date").cast("string").alias("date"), "value").agg(F.count("*").alias("n"))
     return by_date.withColumn("watermark_us", F.unix_micros(F.lit(done[spec.key].watermark).cast("timestamp")))
 
 
+@query("""SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, count(*) AS n, '2024-01-10 data: missing, 2024-01-12 record refused: time: no TIMESTAMP' AS failed, '2024-01-13' AS waiting
+FROM (SELECT DISTINCT user_id, ts, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15') WHERE dayofmonth(ts) NOT IN (10, 12, 13) GROUP BY 1""")
+def sync_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A week of daily units, of which one has an error in place of its page, one a record that is refused, and one a walk that
+    has not ended: the others are stored in one write, and the two that are at fault are named."""
+    events, root = table(spark, sf_dir, "events"), fresh_path(spark, "faults")
+    policy, landed, spec = drive.Policy(datetime(2024, 1, 8), unit_days=1), f"{root}/landed", catalog.CATALOG["samsara.engine_states"]
+    pages = engine_pages(events, [(d, d + 1) for d in range(8, 15)], "x")
+    day, first = F.dayofmonth("fetched_at") - 1, F.col("page_seq") == 0
+    body = F.when(day == 10, '{"message":"try later"}').when((day == 12) & first, F.regexp_replace("body", '"time":"[^"]*"', '"time":"noon"')).when(day == 13, F.regexp_replace("body", r'"endCursor":"","hasNextPage":false', '"endCursor":"c","hasNextPage":true')).otherwise(F.col("body"))
+    pages.withColumn("body", body).write.parquet(landed)
+    now = datetime(2024, 1, 15, 5)
+    try:
+        pipelines.sync_windows(spark, landed, root, spec.key, now, policy)
+        failed = []
+    except pipelines.SyncError as error:
+        failed = re.findall(r"engine_states (\S+) 00:00:00 to \S+ \S+ (data: missing|record refused: time: no TIMESTAMP)", str(error))
+    left = drive.unit_states(spark, root, spec, now).where("status = 'pending'").agg(F.concat_ws(", ", F.array_sort(F.collect_list(F.date_format("chunk_start", "yyyy-MM-dd"))))).first()[0]
+    rows = scans.partitioned(spark, f"{root}/{spec.provider}/{spec.name}", spec.schema.struct)
+    said = ", ".join(" ".join(x) for x in failed).replace(":,", ",")
+    return rows.groupBy(F.col("date").cast("string").alias("date")).agg(F.count("*").alias("n")).select("date", "n", F.lit(said).alias("failed"), F.lit(left).alias("waiting"))
+
+
+@query("""WITH e AS (SELECT user_id, date_trunc('day', ts) AS s, event_id AS seq, ts, CASE event_id % 5 WHEN 0 THEN 'claimed' WHEN 1 THEN 'done' WHEN 2 THEN 'failed' WHEN 3 THEN 'claimed' ELSE 'released' END AS status,
+  CASE event_id % 5 WHEN 4 THEN NULL WHEN 0 THEN event_id WHEN 3 THEN event_id ELSE (event_id * 7919) % 100000 END AS fence FROM events),
+v AS (SELECT *, (SELECT min(c.seq) FROM e c WHERE c.status = 'claimed' AND c.user_id = e.user_id AND c.s = e.s AND c.fence > e.fence) < seq AS refused FROM e),
+l AS (SELECT user_id, s, arg_max(status, seq) AS last, arg_max(ts, seq) AS noted, arg_max(seq, seq) FILTER (status = 'done') AS done FROM v WHERE NOT coalesce(refused, false) GROUP BY ALL)
+SELECT CAST(user_id AS VARCHAR) AS endpoint, epoch_us(s) AS chunk_start_us, CASE WHEN last = 'released' OR last = 'claimed' AND noted + INTERVAL 2 DAY <= TIMESTAMP '2024-01-20' THEN 'pending' ELSE last END AS status, last = 'claimed' AND noted + INTERVAL 2 DAY <= TIMESTAMP '2024-01-20' AS expired, done AS stored_by FROM l""")
+def unit_leases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of runs that claim units, report on them or crash: claims expire, and reports of runs whose unit a newer one has
+    claimed in the meantime count for nothing."""
+    n, day = F.col("event_id"), F.date_trunc("day", "ts")
+    status = F.element_at(F.array(*map(F.lit, ("claimed", "done", "failed", "claimed", "released"))), (n % 5 + 1).cast("int"))
+    fence = F.when(n % 5 == 4, F.lit(None)).when((n % 5).isin(0, 3), n).otherwise(n * 7919 % 100000)
+    log = table(spark, sf_dir, "events").select(F.lit("p").alias("provider"), F.col("user_id").cast("string").alias("endpoint"), F.lit(None).cast("string").alias("partition_key"), day.alias("chunk_start"), (day + F.expr("interval 1 day")).alias("chunk_end"), n.alias("seq"), status.alias("status"), F.timestamp_micros(n).alias("observed_max"), fence.alias("fence"), (F.col("ts") + F.expr("interval 2 days")).alias("expires_at"), F.col("ts").alias("generation"))
+    state = aggregates.leased_state(log, F.lit(datetime(2024, 1, 20)).cast("timestamp"))
+    return state.select("endpoint", us("chunk_start"), "status", "expired", F.unix_micros("observed_max").alias("stored_by"))
+
+
+HALVED = 100
+
+
+@query(f"""WITH RECURSIVE t AS (SELECT epoch_us(ts) // 1000000 AS s FROM events),
+w AS (SELECT CAST(1704067200 AS BIGINT) AS a, CAST(1706745600 AS BIGINT) AS b, 0 AS depth
+  UNION ALL SELECT h.a, h.b, depth + 1 FROM (SELECT unnest([{{'a': a, 'b': (a + b) // 2}}, {{'a': (a + b) // 2, 'b': b}}]) AS h, depth FROM w
+    WHERE depth < 4 AND (depth = 0 OR a // 3600 % 5 <> 2) AND (SELECT count(*) FROM t WHERE s >= w.a AND s < w.b) >= {HALVED}))
+SELECT a * 1000000 AS window_start_us, b * 1000000 AS window_end_us FROM w WHERE NOT (depth < 4 AND (depth = 0 OR a // 3600 % 5 <> 2))""")
+def halving_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What to fetch next of January from a provider that caps its pages: some windows of four levels of halving have landed,
+    those with as many events as the cap came back full."""
+    spec = replace(catalog.CATALOG["geotab.exception_events"], page_limit=HALVED)
+    month = datetime(2024, 1, 1), datetime(2024, 2, 1)
+    unit = spark.createDataFrame([(spec.provider, spec.name, None, *month, None)], f"{', '.join(drive.UNITS.split(', ')[:5])}, generation timestamp")
+    level = unit.select(F.unix_seconds("chunk_start").alias("a"), F.unix_seconds("chunk_end").alias("b"), F.lit(0).alias("depth"))
+    asked = [level]
+    for _ in range(3):
+        middle = F.floor((F.col("a") + F.col("b")) / 2).cast("long")
+        level = level.select(F.explode(F.array(F.struct(F.col("a").alias("a"), middle.alias("b")), F.struct(middle.alias("a"), F.col("b").alias("b")))).alias("w"), (F.col("depth") + 1).alias("depth")).select("w.a", "w.b", "depth")
+        asked.append(level)
+    asked = sets.concat(asked).where("depth = 0 or floor(a / 3600) % 5 <> 2")
+    # events by window: a second meets the windows of each level that it lies in
+    seconds = table(spark, sf_dir, "events").groupBy(F.unix_seconds("ts").alias("s")).agg(F.count("*").alias("k"))
+    counts = asked.join(seconds, (F.col("s") >= F.col("a")) & (F.col("s") < F.col("b")), "left").groupBy("a", "b", "depth").agg(F.coalesce(F.sum("k"), F.lit(0)).alias("n"))
+    n = F.least(F.col("n"), F.lit(HALVED)).cast("int")
+    body = F.concat(F.lit('{"result":['), F.array_join(F.array_repeat(F.lit('{"id":"x"}'), n), ","), F.lit("]}"))
+    sent = requests.rpc_body("get_window", "ExceptionEvent", HALVED, F.timestamp_seconds("a"), F.timestamp_seconds("b"))
+    pages = counts.select(F.lit(spec.provider).alias("provider"), F.lit(spec.name).alias("endpoint"), F.concat_ws("-", "a", "b").alias("chain_id"), F.lit(0).alias("page_seq"), F.create_map().cast("map<string,string>").alias("sent_params"), sent.alias("sent_body"), F.lit(HALVED).alias("results_limit"), body.alias("body"), F.timestamp_seconds("depth").alias("fetched_at"))
+    return drive.frontier(pages, spec, unit).select(us("window_start"), us("window_end"))
+
+
+@query("""WITH p AS (SELECT s_suppkey, CASE WHEN s_suppkey % 6 = 0 THEN NULL WHEN s_suppkey % 6 < 3 THEN 'never listed' WHEN s_suppkey % 6 = 3 THEN 'empty' ELSE 'too old' END AS reason, s_suppkey % 4 = 1 AS failed, s_suppkey % 3 = 1 AS keep FROM supplier)
+SELECT CAST(ps AS VARCHAR) AS endpoint, reason IS NULL OR NOT failed OR reason = 'too old' AND keep AS ready, CASE WHEN reason IS NULL THEN 'fresh' WHEN NOT failed THEN 'listed anew' WHEN reason = 'too old' AND keep THEN 'the feeder failed, the old members stay' ELSE 'the feeder failed, and the roster is ' || reason END AS why
+FROM (SELECT c_custkey AS ps, c_custkey % (SELECT max(s_suppkey) FROM supplier) + 1 AS k FROM customer) JOIN p ON k = s_suppkey""")
+def roster_readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as datasets laid out over rosters that suppliers feed: which can go on after the due feeders were run."""
+    k = F.col("s_suppkey")
+    supplier = table(spark, sf_dir, "supplier").select(F.lit("p").alias("provider"), k.cast("string").alias("name"), k.cast("string").alias("feeder"), k, F.when(k % 6 == 0, None).when(k % 6 < 3, "never listed").when(k % 6 == 3, "empty").otherwise("too old").alias("reason"))
+    last = supplier.agg(F.max("s_suppkey").alias("last"))
+    consumers = table(spark, sf_dir, "customer").join(F.broadcast(last)).select(F.lit("p").alias("provider"), F.col("c_custkey").cast("string").alias("endpoint"), (F.col("c_custkey") % F.col("last") + 1).cast("string").alias("name"))
+    policies = supplier.select("provider", "name", (k % 3 == 1).alias("keep_stale"))
+    found = rosters.readiness(consumers, supplier.where("reason is not null").select("provider", "name", "feeder", "reason"), supplier.where(k % 4 == 1).select("provider", "feeder"), policies)
+    return found.select("endpoint", "ready", "why")
+
+
 @query("SELECT value, count(*) AS n FROM (SELECT event_type AS value FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11') GROUP BY 1")
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed pages, series unnest, typing, one UTC day, exact dedup, window replace, read back, count by value."""

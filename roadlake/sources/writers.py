@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -102,26 +103,35 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", "date")
 
 
+Spans = list[tuple[datetime, datetime]]
+
+
 def replace_window(rows: DataFrame, path: str, event_time: str, start: datetime, end: datetime, dedup: bool = True) -> WriteReport:
-    """Every covered date is replaced whole by what was fetched for it; dates of the window that got no row are deleted.
+    """replace_spans() of one window."""
+    return replace_spans(rows, path, event_time, [(start, end)], dedup)
+
 
-    A row of a date that the window does not cover fails the job before it commits, so nothing is replaced. Only partitions
-    of covered dates are ever looked at or deleted, after the data is written.
+def replace_spans(rows: DataFrame, path: str, event_time: str, spans: Spans, dedup: bool = True) -> WriteReport:
+    """Every date that one of ``spans`` covers is replaced whole by what was fetched for it, in one write; those that got no
+    row are deleted.
+
+    A row of a date that no span covers fails the job before it commits, so nothing is replaced. Only partitions of covered
+    dates are ever looked at or deleted, after the data is written.
     """
-    spark, days, marks = rows.sparkSession, covered(start, end), Observation()
+    spark, days, marks = rows.sparkSession, sorted({d for span in spans for d in covered(*span)}), Observation()
     counted = Counted(sets.with_date(rows, event_time), event_time, dedup)
-    inside = F.col("date").between(F.lit(days[0]), F.lit(days[-1]))
+    inside = reduce(lambda a, b: a | b, [F.col("date").between(F.lit(c[0]), F.lit(c[-1])) for c in (covered(*span) for span in spans)])
     guarded = counted.rows.withColumn("date", F.when(inside, F.col("date")).otherwise(F.raise_error(F.concat(F.lit("row outside the window: "), F.coalesce(F.col("date").cast("string"), F.lit("no event time")))).cast("date")))
-    # which of the window's dates got rows, as bits, found while the write runs
-    at = F.datediff("date", F.lit(days[0]))
-    bits = [F.bit_or(F.when(F.floor(at / 60) == k, F.call_function("shiftleft", F.lit(1).cast("long"), (at % 60).cast("int")))).alias(f"b{k}") for k in range(len(days) // 60 + 1)]
+    # which dates got rows, as bits, found while the write runs
+    at, length = F.datediff("date", F.lit(days[0])), (days[-1] - days[0]).days + 1
+    bits = [F.bit_or(F.when(F.floor(at / 60) == k, F.call_function("shiftleft", F.lit(1).cast("long"), (at % 60).cast("int")))).alias(f"b{k}") for k in range(length // 60 + 1)]
     try:
         spread(guarded.observe(marks, *bits)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
     except Exception as error:
         if "row outside the window" in str(error):
             raise OutOfWindow(str(error).split("\n")[0]) from error
         raise
-    written = {day for k, day in enumerate(days) if (marks.get.get(f"b{k // 60}") or 0) >> k % 60 & 1}
+    written = {day for day in days if (marks.get.get(f"b{(day - days[0]).days // 60}") or 0) >> (day - days[0]).days % 60 & 1}
     deleted = prune(spark, path, days, written)
     return counted.report(len(part_files(spark, path, written)), deleted)
 
@@ -156,8 +166,12 @@ def refuse_null_dates(rows: DataFrame) -> DataFrame:
 
 def replace_single_window(rows: DataFrame, path: str, event_time: str, start: datetime, end: datetime, dedup: bool = True) -> WriteReport:
     """A dataset without partitions: rows of the window go, the fetched rows come."""
+    return replace_single_spans(rows, path, event_time, [(start, end)], dedup)
+
+
+def replace_single_spans(rows: DataFrame, path: str, event_time: str, spans: Spans, dedup: bool = True) -> WriteReport:
     spark, new, counted = rows.sparkSession, fresh(path), Counted(rows, event_time, dedup)
-    inside = in_window(F.col(event_time), start, end)
+    inside = reduce(lambda a, b: a | b, [in_window(F.col(event_time), *span) for span in spans])
     before = dataset(spark, path, rows.schema).where(~F.coalesce(inside, F.lit(False)))
     sets.concat([before, counted.rows]).write.parquet(new)
     swap(spark, new, path)
@@ -166,14 +180,18 @@ def replace_single_window(rows: DataFrame, path: str, event_time: str, start: da
 
 def write_dataset(rows: DataFrame, spec: EndpointSpec, root: str, window: tuple[datetime, datetime] | None = None, dedup: bool = True) -> WriteReport:
     """The discipline that a dataset's mode and layout ask for."""
-    path = f"{root}/{spec.provider}/{spec.name}"
     if (spec.mode == "watermark") != (window is not None):
         raise ValueError(f"{spec.key}: a window exactly for windowed datasets")
-    if spec.mode == "snapshot":
-        return replace_snapshot(rows, path, dedup)
-    if spec.mode == "feed":
-        return append(rows, path, spec.event_time)
-    return (replace_window if spec.layout == "date" else replace_single_window)(rows, path, spec.event_time, *window, dedup)
+    if spec.mode == "watermark":
+        return write_spans(rows, spec, root, [window], dedup)
+    path = f"{root}/{spec.provider}/{spec.name}"
+    return replace_snapshot(rows, path, dedup) if spec.mode == "snapshot" else append(rows, path, spec.event_time)
+
+
+def write_spans(rows: DataFrame, spec: EndpointSpec, root: str, spans: Spans, dedup: bool = True) -> WriteReport:
+    """Rows of several windows of a windowed dataset, in one write."""
+    write = replace_spans if spec.layout == "date" else replace_single_spans
+    return write(rows, f"{root}/{spec.provider}/{spec.name}", spec.event_time, spans, dedup)
 
 
 def append_rows(spark: SparkSession, rows: list[dict], schema: str, path: str) -> None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,8 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-#: Folders written inside the calls of condensed() that are going on, the innermost last.
-scratch: list[list[DataFrame]] = []
+#: Tables staged inside the calls of condensed() that are going on, the innermost last; jobs in other threads have their own.
+scratch: ContextVar[tuple[list[DataFrame], ...]] = ContextVar("scratch", default=())
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -32,19 +33,24 @@ def staged(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
-    if scratch:
-        scratch[-1].append(out)
+    if made := scratch.get():
+        made[-1].append(out)
     return out
 
 
+def local(df: DataFrame) -> DataFrame:
+    """A table of the driver's, for control rows that are few by their nature: a row per unit of one dataset, at most one a day."""
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
+
+
 def condensed(make: Callable[[], DataFrame]) -> DataFrame:
     """The staged result of ``make``; what it stages on the way is deleted."""
-    scratch.append([])
+    made: list[DataFrame] = []
+    outer = scratch.set((*scratch.get(), made))
     try:
         result = make()
-        made = scratch[-1]
     finally:
-        scratch.pop()
+        scratch.reset(outer)
     out = staged(result)
     for df in made:
         unstage(df)
