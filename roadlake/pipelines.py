@@ -199,7 +199,8 @@ def store_units(spark: SparkSession, root: str, spec: EndpointSpec, pages: DataF
         try:
             drive.require_held(spark, root, spec, good, fence, clock())
             kept = rows.where(F.size("errors") == 0).join(good.select(*SIDE), SIDE, "left_semi").drop(*SIDE, "errors")
-            report = writers.write_spans(kept, spec, root, spans)
+            sizes = {r["date"]: r["n"] for r in kept.groupBy(F.to_date(spec.event_time).alias("date")).agg(F.count("*").alias("n")).collect()}  # a row a date
+            report = writers.write_spans(kept, spec, root, spans, fence=fence, sizes=sizes)
         except Exception as error:
             log(spans, status="failed", ended_at=datetime.now(UTC), error_detail=f"{type(error).__name__}: {str(error)[:500]}")
             if not isinstance(error, drive.LeaseLost):

@@ -20,7 +20,7 @@ from roadlake.functions import scalars as S
 from roadlake.operators import aggregates, audit, decode, filters, rosters, sets, typing
 from roadlake.plans import bisection, drive, requests, windows
 from roadlake.schema import parse
-from roadlake.sources import scans, writers
+from roadlake.sources import scans, versions, writers
 from roadlake.staging import shared_dir, staged
 from roadlake.streaming import feed
 
@@ -636,6 +636,29 @@ def snapshot_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipelines.read_snapshot(spark, f"{landed}/good", "samsara.vehicles").select("id", "name", F.lit(said).alias("refused"))
 
 
+@query("""SELECT event_id, CASE WHEN ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15' THEN 2 ELSE 1 END AS version, 'versions 1 to 12, at most 1 files a date, conflict' AS said
+FROM events WHERE NOT (ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15' AND event_id % 2 = 0)""")
+def versioned_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events appended in ten small lots, packed, and a week replaced under a reader of the version before; a writer that
+    began before that and has a lower fence is refused."""
+    rows, path = sets.with_date(table(spark, sf_dir, "events").select("event_id", "ts", F.lit(1).alias("version")), "ts"), fresh_path(spark, "versions")
+    for k in range(10):
+        versions.append(rows.where(F.col("event_id") % 10 == k), path)
+    versions.compact(spark, path, rows.schema, most_files=1)
+    base, reader = versions.version(spark, path), scans.dataset(spark, path, rows.schema)
+    files = max(sum(x.files for x in base[1] if x.date == day) for day in {x.date for x in base[1]})
+    again = filters.owned(rows, "ts", START, END).where("event_id % 2 = 1").withColumn("version", F.lit(2))
+    writers.replace_spans(again.drop("date"), path, "ts", [(START, END)], fence=2)
+    try:
+        versions.replace(again.withColumn("version", F.lit(9)), path, writers.covered(START, END), 1, base)
+        said = "stored"
+    except versions.Conflict:
+        said = "conflict"
+    kept = reader.count() == rows.count()
+    said = f"versions {versions.numbers(spark, path)[0]} to {versions.numbers(spark, path)[-1]}, at most {files} files a date, {said}" if kept else "the reader lost rows"
+    return scans.dataset(spark, path, rows.schema).select("event_id", "version", F.lit(said).alias("said"))
+
+
 @query("SELECT CAST(user_id AS VARCHAR) AS endpoint, CAST(arg_max(event_id, ts) AS VARCHAR) AS run_id FROM events GROUP BY 1")
 def last_run_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest run of each endpoint, as a JSON document."""

@@ -41,7 +41,11 @@ OLD = "-old"
 
 def dataset(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A stored dataset, or no rows of its schema while nothing has been written. Date partitions give the column date,
-    on which filters prune folders, if the schema has it."""
+    on which filters prune folders, if the schema has it. Of a dataset kept in versions, the newest."""
+    from roadlake.sources import versions  # which reads through this module
+
+    if versions.exists(spark, path):
+        return versions.read(spark, path, schema)
     for place in (path, path + OLD):
         if exists(spark, place):
             return spark.read.schema(schema).parquet(place)

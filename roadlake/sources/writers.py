@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from roadlake.catalog import EndpointSpec
 from roadlake.operators import sets
 from roadlake.operators.filters import in_window
+from roadlake.sources import versions
 from roadlake.sources.scans import OLD, dataset, file_system
 
 
@@ -111,22 +112,34 @@ def replace_window(rows: DataFrame, path: str, event_time: str, start: datetime,
     return replace_spans(rows, path, event_time, [(start, end)], dedup)
 
 
-def replace_spans(rows: DataFrame, path: str, event_time: str, spans: Spans, dedup: bool = True) -> WriteReport:
+def replace_spans(rows: DataFrame, path: str, event_time: str, spans: Spans, dedup: bool = True, fence: int | None = None, sizes: dict[date, int] | None = None) -> WriteReport:
     """Every date that one of ``spans`` covers is replaced whole by what was fetched for it, in one write; those that got no
     row are deleted.
 
     A row of a date that no span covers fails the job before it commits, so nothing is replaced. Only partitions of covered
-    dates are ever looked at or deleted, after the data is written.
+    dates are ever looked at or deleted, after the data is written. With a ``fence``, or where a dataset is kept in versions,
+    the dates are replaced in a new version, which readers see whole, and a writer that a later run has overtaken is refused.
+    ``sizes``: rows by date, if they are known; then one shuffle serves both exact dedup and the files.
     """
     spark, days, marks = rows.sparkSession, sorted({d for span in spans for d in covered(*span)}), Observation()
-    counted = Counted(sets.with_date(rows, event_time), event_time, dedup)
+    base = versions.version(spark, path) if fence or versions.exists(spark, path) else None
+    dated = sets.with_date(rows, event_time)
     inside = reduce(lambda a, b: a | b, [F.col("date").between(F.lit(c[0]), F.lit(c[-1])) for c in (covered(*span) for span in spans)])
-    guarded = counted.rows.withColumn("date", F.when(inside, F.col("date")).otherwise(F.raise_error(F.concat(F.lit("row outside the window: "), F.coalesce(F.col("date").cast("string"), F.lit("no event time")))).cast("date")))
+    refused = F.raise_error(F.concat(F.lit("row outside the window: "), F.coalesce(F.col("date").cast("string"), F.lit("no event time")))).cast("date")
+    if sizes is not None:
+        dated = bucketed(dated, sizes)
+    counted = Counted(dated, event_time, dedup)
+    guarded = counted.rows.drop(BUCKET).withColumn("date", F.when(inside, F.col("date")).otherwise(refused))
+    guarded = guarded if sizes is not None else spread(guarded)
     # which dates got rows, as bits, found while the write runs
     at, length = F.datediff("date", F.lit(days[0])), (days[-1] - days[0]).days + 1
     bits = [F.bit_or(F.when(F.floor(at / 60) == k, F.call_function("shiftleft", F.lit(1).cast("long"), (at % 60).cast("int")))).alias(f"b{k}") for k in range(length // 60 + 1)]
     try:
-        spread(guarded.observe(marks, *bits)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+        if base is not None:
+            had = {x.date for x in base[1] if x.folder}
+            new = versions.replace(guarded, path, days, fence or 0, base)
+            return counted.report(sum(x.files for x in new), sorted(had & {str(x) for x in days} - {x.date for x in new}))
+        guarded.observe(marks, *bits).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
     except Exception as error:
         if "row outside the window" in str(error):
             raise OutOfWindow(str(error).split("\n")[0]) from error
@@ -136,6 +149,18 @@ def replace_spans(rows: DataFrame, path: str, event_time: str, spans: Spans, ded
     return counted.report(len(part_files(spark, path, written)), deleted)
 
 
+BUCKET, FILE_ROWS = "_bucket", 2_000_000
+
+
+def bucketed(rows: DataFrame, sizes: dict[date, int], file_rows: int | None = None) -> DataFrame:
+    """``rows`` dealt out by date and bucket, of which a date has as many as its rows ask for; equal rows are in one bucket, so
+    that exact dedup over all columns needs no exchange of its own."""
+    wanted = F.create_map(*[x for day, n in sizes.items() for x in (F.lit(day), F.lit(-(-n // (file_rows or FILE_ROWS))))]) if sizes else F.lit(None).cast("map<date,int>")
+    plain = [F.to_json(F.struct(c)) if t.startswith("map") else F.col(c) for c, t in rows.dtypes]
+    bucket = F.pmod(F.xxhash64(*plain), F.coalesce(F.element_at(wanted, F.col("date")), F.lit(1)))
+    return rows.withColumn(BUCKET, bucket).repartition("date", BUCKET)
+
+
 def prune(spark: SparkSession, path: str, days: list[date], written: set[date]) -> list[str]:
     """Deletes the partitions of ``days`` that were not written. Only these folders are probed; the table is not listed."""
     system, place = file_system(spark, path)
@@ -188,10 +213,12 @@ def write_dataset(rows: DataFrame, spec: EndpointSpec, root: str, window: tuple[
     return replace_snapshot(rows, path, dedup) if spec.mode == "snapshot" else append(rows, path, spec.event_time)
 
 
-def write_spans(rows: DataFrame, spec: EndpointSpec, root: str, spans: Spans, dedup: bool = True) -> WriteReport:
+def write_spans(rows: DataFrame, spec: EndpointSpec, root: str, spans: Spans, dedup: bool = True, **more) -> WriteReport:
     """Rows of several windows of a windowed dataset, in one write."""
-    write = replace_spans if spec.layout == "date" else replace_single_spans
-    return write(rows, f"{root}/{spec.provider}/{spec.name}", spec.event_time, spans, dedup)
+    path = f"{root}/{spec.provider}/{spec.name}"
+    if spec.layout != "date":
+        return replace_single_spans(rows, path, spec.event_time, spans, dedup)
+    return replace_spans(rows, path, spec.event_time, spans, dedup, **more)
 
 
 def append_rows(spark: SparkSession, rows: list[dict], schema: str, path: str) -> None:

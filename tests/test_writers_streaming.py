@@ -141,7 +141,8 @@ def synced(spark, tmp_path, day, **policy):
 
 
 def readings(spark, tmp_path):
-    return sorted((r["time"].day, r["value"]) for r in spark.read.parquet(f"file://{tmp_path}/root/samsara/engine_states").collect())
+    stored = scans.dataset(spark, f"file://{tmp_path}/root/samsara/engine_states", catalog.CATALOG[SYNCED].schema.struct)
+    return sorted((r["time"].day, r["value"]) for r in stored.collect())
 
 
 def days_of(spans):
