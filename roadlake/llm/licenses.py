@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
-from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,18 +32,24 @@ TEMPLATES = [
     ("cc-by-nc-4.0-short", "noncommercial", "Licensed under CC BY-NC 4.0."),
     ("all-rights-reserved", "reserved", "Copyright. All rights reserved. No part of this publication may be reproduced without written permission."),
     ("all-rights-reserved-short", "reserved", "All rights reserved."),
-]
+    ("agpl-notice", "copyleft", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("cc0-1.0", "public-domain", "To the extent possible under law, the author has dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is distributed without any warranty."),
+    ("zlib-warranty", "permissive", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
+    ("epl-2.0-notice", "copyleft", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    *[(f"spdx-{x.lower()}", family, f"SPDX-License-Identifier: {x}") for family, ids in (
+        ("permissive", "MIT Apache-2.0 BSD-2-Clause BSD-3-Clause ISC Zlib"), ("copyleft", "GPL-2.0-only GPL-3.0-or-later LGPL-2.1-or-later AGPL-3.0-or-later MPL-2.0 EPL-2.0"), ("public-domain", "CC0-1.0 Unlicense")) for x in ids.split()],
+]
 
 
 @dataclass(frozen=True)
 class Template:
-    """A template's normalised words, its different bigrams, and its anchors: (bigram, place in the template)."""
+    """A template's normalised words, its different bigrams, and those of them of which every window that is like it has one."""
 
     name: str
     family: str
     words: tuple[str, ...]
     bigrams: tuple[str, ...]
-    anchors: tuple[tuple[str, int], ...]
+    anchors: tuple[str, ...]
 
 
 def normal_words(text: str) -> list[str]:
@@ -51,70 +57,81 @@ def normal_words(text: str) -> list[str]:
     return "".join(x if x in "abcdefghijklmnopqrstuvwxyz0123456789" else " " for x in text.lower()).split()
 
 
-#: Every anchor holds one of these, so a text without any of them needs no further look.
-STEMS = ("licens", "permission", "redistribut", "reserved", "warrant", "copyright", "unencumbered")
+def prepared(templates: list[tuple[str, str, str]] = TEMPLATES, least: float = 0.8) -> list[Template]:
+    """Templates of two words or more, with their anchors.
 
-
-def prepared(templates: list[tuple[str, str, str]] = TEMPLATES) -> list[Template]:
-    """Templates of two words or more. An anchor is the longest bigram with one of STEMS of each third of a template that
-    has one, the first of equals, of those that the template has once, if any: where it is found, the template may lie
-    around it."""
+    A window with the bigrams W meets a template with the bigrams B at ``least`` only if 2 |W and B| >= least (|W| + |B|); as
+    |W| >= |W and B|, it has least / (2 - least) of B at least, two thirds at 0.8. So of any more than a third of B it has
+    one. The anchors are that many: those that share the fewest words, long ones first, so that few words of a text tell
+    whether it can have any."""
     out = []
     for name, family, text in templates:
         words = normal_words(text)
-        pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
+        pairs = list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
         if not pairs:
             continue
-        cuts, anchors = [k * len(pairs) // 3 for k in range(4)], {}
-        for a, b in zip(cuts, cuts[1:]):
-            if own := [k for k in range(a, b) if any(x in pairs[k] for x in STEMS)]:
-                at = max(own, key=lambda k: (pairs.count(pairs[k]) == 1, len(pairs[k])))
-                anchors.setdefault(pairs[at], at)
-        if not anchors:
-            raise ValueError(f"{name}: no bigram of the template holds one of {STEMS}")
-        out.append(Template(name, family, tuple(words), tuple(sorted(set(pairs))), tuple(anchors.items())))
+        enough = len(pairs) - ceil(len(pairs) * least / (2 - least) - 1e-9) + 1
+        anchors: dict[str, None] = {}
+        while len(anchors) < enough:
+            left = [p for p in pairs if p not in anchors]
+            word = max(sorted({w for p in left for w in p.split()}), key=lambda w: (min(len(w), 6), sum(w in p.split() for p in left)))
+            anchors.update(dict.fromkeys([p for p in left if word in p.split()][: enough - len(anchors)]))
+        out.append(Template(name, family, tuple(words), tuple(sorted(pairs)), tuple(anchors)))
     return out
 
 
+def gate_words(known: list[Template]) -> list[str]:
+    """Words of which every anchor has one: a text without any of them meets no template."""
+    left, out = {a for t in known for a in t.anchors}, []
+    while left:
+        word = max(sorted({w for a in left for w in a.split()}), key=lambda w: (min(len(w), 6), sum(w in a.split() for a in left)))
+        out.append(word)
+        left = {a for a in left if word not in a.split()}
+    return sorted(out)
+
+
 def scan(docs: DataFrame, least: float = 0.8, templates: list[tuple[str, str, str]] = TEMPLATES) -> DataFrame:
     """doc_id, template, family, dice, n_templates, templates: one row per row of ``docs`` (doc_id, text).
 
-    The whole text is normalised to words, across line ends and comment marks. Wherever an anchor of a template stands,
-    the run of as many words as the template has, laid so that the anchors meet, is a window (cut off at the ends of
-    the text). Windows and texts whose number of bigrams keeps the Dice coefficient 2 |A and B| / (|A| + |B|) below
-    ``least`` are left out unless least / (2 - least) <= |A| / |B| <= (2 - least) / least. templates are the names of those
-    that some window meets at ``least`` or more, joined by commas in order; dice, template and family are of the best one
-    (ties: the first by name); null, 0 and an empty text where there is none. A notice is found wrapped, inside prose or
-    beside others, with changed words as long as one of its three anchors is whole.
-
-    All in expressions over the row: no shuffle, no join, no Python; the templates are literals of fixed size. Texts that
-    hold none of STEMS are not looked at further. Null and empty texts have no windows. Null
-    doc_id stays null, repeated rows are scanned each, an empty table gives no rows. Columns other than doc_id and text
-    are not read.
+    The whole text is normalised to words, across line ends and comment marks. Every run of as many words as a template has
+    is a window, also those that the ends of the text cut off. templates are the names of those that some window meets with
+    a Dice coefficient over word bigrams, 2 |A and B| / (|A| + |B|), of ``least`` or more, joined by commas in order; dice,
+    template and family are of the best one (ties: the first by name); null, 0 and an empty text where there is none.
+
+    No window is lost by what is left out: it must hold one of a template's anchors (prepared()), so only windows around
+    these are compared, in texts that have a word of one, and only if their number of bigrams lies between
+    least / (2 - least) and (2 - least) / least of the template's.
+
+    All in expressions over the row: no shuffle, no join, no Python; the templates are literals of fixed size. Null and empty
+    texts have no windows. Null doc_id stays null, repeated rows are scanned each, an empty table gives no rows. Columns
+    other than doc_id and text are not read.
     """
-    low, high = least / (2 - least), (2 - least) / least
-    rows = [{"template": t.name, "family": t.family, "bigrams": t.bigrams, "n": len(t.bigrams), "length": len(t.words) - 1, "anchors": [{"gram": g, "at": at} for g, at in t.anchors]} for t in prepared(templates)]
-    known = F.from_json(F.lit(json.dumps(rows)), "array<struct<template:string,family:string,bigrams:array<string>,n:int,length:int,anchors:array<struct<gram:string,at:int>>>>")
-    lower = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.lower(docs["text"].cast("string")).alias("text"))
-    hint = reduce(Column.__or__, [F.contains("text", F.lit(x)) for x in STEMS])
-    normal = F.when(hint, F.concat(F.lit(" "), F.trim(F.regexp_replace("text", "[^a-z0-9]+", " ")), F.lit(" ")))
-    held = lambda t: F.exists(t["anchors"], lambda x: F.contains(F.col("normal"), F.concat(F.lit(" "), x["gram"], F.lit(" "))))
-    found = lower.select("doc_id", normal.alias("normal")).select("doc_id", F.when(F.col("normal").isNotNull(), F.filter(known, held)).alias("there"), "normal")
-    found = found.select("doc_id", "there", F.when(F.size("there") > 0, F.split(F.trim("normal"), " ")).alias("words"))
+    low, high, known = least / (2 - least), (2 - least) / least, prepared(templates, least)
+    rows = [{"template": t.name, "family": t.family, "bigrams": t.bigrams, "n": len(t.bigrams), "length": len(t.words) - 1, "anchors": t.anchors} for t in known]
+    table = F.from_json(F.lit(json.dumps(rows)), "array<struct<template:string,family:string,bigrams:array<string>,n:int,length:int,anchors:array<string>>>")
+    listed = lambda words: F.from_json(F.lit(json.dumps(words)), "array<string>")
+    normal = F.trim(F.regexp_replace(F.lower(docs["text"].cast("string")), "[^a-z0-9]+", " "))
+    found = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.split(normal, " ").alias("words"))
+    found = found.select("doc_id", F.when(F.arrays_overlap("words", listed(gate_words(known))), F.col("words")).alias("words"))
     pairs = F.zip_with(F.slice("words", 1, F.size("words") - 1), F.slice("words", 2, F.size("words") - 1), lambda a, b: F.concat_ws(" ", a, b))
-    found, count = found.select("doc_id", "there", F.when(F.size("words") > 1, pairs).alias("pairs")), F.size("pairs")
+    found = found.select("doc_id", F.when(F.size("words") > 1, pairs).alias("pairs"))
+    anchored = F.arrays_overlap("pairs", listed(sorted({a for t in known for a in t.anchors})))
+    there = F.filter(table, lambda t: F.arrays_overlap(F.col("pairs"), t["anchors"]))
+    found, count = found.select("doc_id", "pairs", F.when(anchored, there).alias("there")), F.size("pairs")
 
     def best(t: Column) -> Column:
         """The largest Dice coefficient of any window of the row with a template."""
-        at = lambda anchor: F.transform(F.filter(F.sequence(F.lit(1), count), lambda p: F.element_at("pairs", p) == anchor["gram"]), lambda p: p - anchor["at"])
-        starts = F.array_distinct(F.flatten(F.transform(t["anchors"], at)))
-        windows = F.transform(starts, lambda s: F.array_distinct(F.slice(F.col("pairs"), F.greatest(s, F.lit(1)), F.least(s + t["length"] - 1, count) - F.greatest(s, F.lit(1)) + 1)))
+        at = F.filter(F.sequence(F.lit(1), count), lambda p: F.array_contains(t["anchors"], F.element_at("pairs", p)))
+        # the windows around each anchor that the one before it is not in
+        around = F.transform(at, lambda p, k: F.sequence(F.greatest(p - t["length"] + 1, F.coalesce(F.get(at, k - 1) + 1, F.lit(-(1 << 30)))), p))
+        windows = F.transform(F.flatten(around), lambda s: F.array_distinct(F.slice(F.col("pairs"), F.greatest(s, F.lit(1)), F.least(s + t["length"] - 1, count) - F.greatest(s, F.lit(1)) + 1)))
         fitting = F.filter(windows, lambda w: F.size(w).between(t["n"] * low, t["n"] * high))
         return F.array_max(F.transform(fitting, lambda w: F.lit(2.0) * F.size(F.array_intersect(w, t["bigrams"])) / (F.size(w) + t["n"])))
 
-    candidates = F.filter("there", lambda t: count >= t["n"] * low)
+    # the text has to hold as many of a template's bigrams as a window would
+    candidates = F.filter("there", lambda t: F.size(F.array_intersect("pairs", t["bigrams"])) >= t["n"] * low)
     scored = F.transform(candidates, lambda t: F.struct(best(t).alias("dice"), t["template"].alias("template"), t["family"].alias("family")))
-    hits = found.select("doc_id", F.when(count > 0, F.filter(scored, lambda x: x["dice"] >= least)).alias("hits"))
+    hits = found.select("doc_id", F.filter(scored, lambda x: x["dice"] >= least).alias("hits"))
     first = hits.select("doc_id", "hits", F.array_max(F.transform("hits", lambda x: x["dice"])).alias("dice"))
     chosen = F.array_min(F.transform(F.filter("hits", lambda x: x["dice"] == F.col("dice")), lambda x: F.struct(x["template"].alias("template"), x["family"].alias("family"))))
     names = F.coalesce(F.array_join(F.array_sort(F.transform("hits", lambda x: x["template"])), ","), F.lit(""))
@@ -123,21 +140,23 @@ def scan(docs: DataFrame, least: float = 0.8, templates: list[tuple[str, str, st
 
 
 def oracle(least: float = 0.8, templates: list[tuple[str, str, str]] = TEMPLATES) -> str:
-    """The same scan over ``documents`` in SQL: bigrams as rows, anchors and windows by joins, no bounds."""
+    """The same scan over ``documents`` in SQL, without anchors: every window that holds any bigram of a template has its share
+    counted; those that could reach ``least`` if they held nothing else are measured."""
     quote = lambda x: "'" + x.replace("'", "''") + "'"
-    known = prepared(templates)
+    known = prepared(templates, least)
     rows = lambda it: ", ".join(f"({', '.join(quote(x) if isinstance(x, str) else str(x) for x in row)})" for row in it)
     return f"""
 WITH t AS (SELECT * FROM (VALUES {rows((t.name, t.family, len(t.bigrams), len(t.words) - 1) for t in known)}) v(template, family, n, length)),
 b AS (SELECT * FROM (VALUES {rows((t.name, gram) for t in known for gram in t.bigrams)}) v(template, gram)),
-a AS (SELECT * FROM (VALUES {rows((t.name, gram, at) for t in known for gram, at in t.anchors)}) v(template, gram, place)),
 d AS (SELECT row_number() OVER () AS r, doc_id, string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ') AS words FROM documents),
 p AS (SELECT r, words, unnest(range(1, len(words))) AS pos FROM d),
 g AS (SELECT r, pos, words[pos] || ' ' || words[pos + 1] AS gram FROM p),
-s AS (SELECT DISTINCT r, a.template, pos - place AS start FROM g JOIN a USING (gram)),
-w AS (SELECT DISTINCT s.r, s.template, s.start, g.gram FROM s JOIN t USING (template) JOIN g ON g.r = s.r AND g.pos BETWEEN s.start AND s.start + t.length - 1),
-c AS (SELECT w.r, w.template, w.start, count(*) AS size, count(b.gram) AS same FROM w LEFT JOIN b ON b.template = w.template AND b.gram = w.gram GROUP BY ALL),
-h AS (SELECT r, template, max(2.0::DOUBLE * same / (size + n)) AS dice FROM c JOIN t USING (template) GROUP BY ALL HAVING max(2.0::DOUBLE * same / (size + n)) >= {least}::DOUBLE),
+x AS (SELECT r, pos, gram, template, n, length FROM g JOIN b USING (gram) JOIN t USING (template)),
+e AS (SELECT r, template FROM x GROUP BY r, template, n HAVING 2.0::DOUBLE * count(DISTINCT gram) / (count(DISTINCT gram) + n) >= {least}::DOUBLE),
+s AS (SELECT r, template, n, length, unnest(range(pos - length + 1, pos + 1)) AS start, gram FROM x SEMI JOIN e USING (r, template)),
+m AS (SELECT r, template, n, length, start, count(DISTINCT gram) AS same FROM s GROUP BY ALL HAVING 2.0::DOUBLE * same / (same + n) >= {least}::DOUBLE),
+c AS (SELECT m.r, m.template, m.start, m.same, m.n, count(DISTINCT g.gram) AS size FROM m JOIN g ON g.r = m.r AND g.pos BETWEEN m.start AND m.start + m.length - 1 GROUP BY ALL),
+h AS (SELECT r, template, max(2.0::DOUBLE * same / (size + n)) AS dice FROM c GROUP BY ALL HAVING max(2.0::DOUBLE * same / (size + n)) >= {least}::DOUBLE),
 k AS (SELECT r, max(dice) AS dice, count(*) AS n, string_agg(template, ',' ORDER BY template) AS templates FROM h GROUP BY r),
 f AS (SELECT r, min(template) AS template FROM h JOIN k USING (r, dice) GROUP BY r)
 SELECT doc_id, f.template, t.family, k.dice, CAST(coalesce(k.n, 0) AS INTEGER) AS n_templates, coalesce(k.templates, '') AS templates
