@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,3 +95,30 @@ def latest_version(rows: DataFrame, key: str = "id", version: str = "version", i
 def one_per_id(rows: DataFrame, key: str = "id") -> DataFrame:
     """For feeds that re-emit active rows unchanged."""
     return rows.dropDuplicates([key])
+
+
+GRAIN = "grain_days"
+
+
+class GrainError(ValueError):
+    """Sums over windows that rollups can't tell."""
+
+
+def grained(rows: DataFrame, days: int, start: str = "window_start") -> DataFrame:
+    """``rows`` of rollups with their grain as metadata of the column ``start``, which it keeps through plans and parquet."""
+    return rows.withMetadata(start, rows.schema[start].metadata | {GRAIN: days})
+
+
+def rollup(rows: DataFrame, by: list[str], sums: list[str], window: tuple[datetime, datetime], start: str = "window_start", end: str = "window_end") -> DataFrame:
+    """``sums`` by ``by`` over the rollups of one window of their own grain. What a provider rolled up over a day must not be
+    added into wider windows, as it counts what lies across midnight twice or not at all: another width than the grain, and
+    rows without a grain, are refused, and rows of another window that meets this one fail the job."""
+    grain = rows.schema[start].metadata.get(GRAIN)
+    if grain is None:
+        raise GrainError(f"{start} has no grain")
+    if window[1] - window[0] != timedelta(days=grain):
+        raise GrainError(f"rollups of {grain} days can't be summed over {window[1] - window[0]}")
+    exact = (F.col(start) == F.lit(window[0])) & (F.col(end) == F.lit(window[1]))
+    meets = (F.col(start) < F.lit(window[1])) & (F.col(end) > F.lit(window[0]))
+    other = F.raise_error(F.concat(F.lit("a rollup of another window overlaps: "), F.col(start).cast("string"), F.lit(" to "), F.col(end).cast("string"))).cast("boolean")
+    return rows.where(F.when(exact, F.lit(True)).when(meets, other).otherwise(F.lit(False))).groupBy(*by).agg(*[F.sum(x).alias(x) for x in sums])

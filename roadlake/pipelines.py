@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from roadlake.catalog import CATALOG, ROSTERS, EndpointSpec, RosterPolicy
 from roadlake.operators import audit, decode, rosters, typing
-from roadlake.operators.aggregates import last_success, members
+from roadlake.operators.aggregates import grained, last_success, members
 from roadlake.operators.filters import in_window, owned
 from roadlake.operators.sets import unswept
 from roadlake.plans import drive
@@ -36,6 +36,14 @@ def read_snapshot(spark: SparkSession, landed: str, endpoint: str, form: str = "
     return typed_rows(scans.pages(spark, landed, spec.provider, spec.name, form), spec)
 
 
+def stored(spark: SparkSession, root: str, endpoint: str) -> DataFrame:
+    """A stored dataset with its column date, if it has one; rollups have their grain (aggregates.rollup)."""
+    spec = CATALOG[endpoint]
+    read = scans.dataset if spec.layout == "single" else scans.partitioned
+    rows = read(spark, f"{root}/{spec.provider}/{spec.name}", spec.schema.struct)
+    return grained(rows, spec.fixed_unit_days) if spec.fixed_unit_days else rows
+
+
 def processed(pages: DataFrame, spec: EndpointSpec, window: tuple[datetime, datetime] | None = None) -> DataFrame:
     """Decoded, typed and, for a window, owned rows."""
     rows = typed_rows(pages, spec)

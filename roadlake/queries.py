@@ -20,7 +20,7 @@ from roadlake.functions import scalars as S
 from roadlake.operators import aggregates, audit, decode, filters, rosters, sets, typing
 from roadlake.plans import bisection, drive, requests, windows
 from roadlake.schema import parse
-from roadlake.sources import scans, versions, writers
+from roadlake.sources import current, scans, versions, writers
 from roadlake.staging import shared_dir, staged
 from roadlake.streaming import feed
 
@@ -504,6 +504,40 @@ def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.latest_version(rows, "user_id").select("user_id", "event_id", "value")
 
 
+@query("SELECT user_id AS id, arg_max(event_id, ts) AS event_id, true AS few FROM events WHERE ts < TIMESTAMP '2024-01-20' OR user_id % 50 = 0 GROUP BY 1")
+def current_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current row of each user, from two lots, of which the second has one user in fifty: few buckets are rewritten.
+    Versions are hexadecimal numbers of any width."""
+    rows, path = table(spark, sf_dir, "events").select(F.col("user_id").alias("id"), "event_id", F.hex(F.unix_micros("ts")).alias("version"), "ts"), fresh_path(spark, "current")
+    early, few = F.col("ts") < F.lit(datetime(2024, 1, 20)), F.col("id") % 50 == 0
+    current.update(rows.where(early).drop("ts"), path, buckets=32, order="hex")
+    second = rows.where(~early & few).drop("ts")
+    touched = current.update(second, path, buckets=32, order="hex")
+    changed = [x.key for x in versions.version(spark, path)[1] if x not in versions.version(spark, path, 1)[1]]
+    small = len(touched) <= second.select("id").distinct().count() and sorted(map(int, changed)) == touched
+    return current.read(spark, path, second.schema).select("id", "event_id", F.lit(small).alias("few"))
+
+
+@query("""SELECT user_id, CAST(count(*) AS BIGINT) AS n, 'rollups of 1 days can''t be summed over 7 days, 0:00:00; window_start has no grain; a rollup of another window overlaps' AS refused
+FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11' GROUP BY 1""")
+def rollup_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily rollups of all events, summed over a day of their own, and refused over a week, without a grain, and beside
+    rollups of two days."""
+    day = F.date_trunc("day", "ts")
+    plain = table(spark, sf_dir, "events").groupBy("user_id", "event_type", day.alias("window_start")).agg(F.count("*").alias("n")).withColumn("window_end", F.col("window_start") + F.expr("interval 1 day"))
+    path = fresh_path(spark, "rollups")
+    aggregates.grained(plain, 1).write.parquet(path)
+    daily = spark.read.parquet(path)  # with its grain
+    wide = daily.unionByName(daily.limit(1).withColumn("window_start", F.lit(datetime(2024, 1, 9))).withColumn("window_end", F.lit(datetime(2024, 1, 11))))
+    own, refused = (datetime(2024, 1, 10), datetime(2024, 1, 11)), []
+    for rows, window in ((daily, (START, END)), (plain, own), (aggregates.grained(wide, 1), own)):
+        try:
+            aggregates.rollup(rows, ["user_id"], ["n"], window).collect()
+        except Exception as error:
+            refused.append(re.search(r"rollups of 1 days can't be summed over [^\n]*|window_start has no grain|a rollup of another window overlaps", str(error))[0])
+    return aggregates.rollup(daily, ["user_id"], ["n"], own).select("user_id", "n", F.lit("; ".join(refused)).alias("refused"))
+
+
 @query("SELECT DISTINCT user_id FROM events")
 def active_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.one_per_id(table(spark, sf_dir, "events"), "user_id").select("user_id")
@@ -617,13 +651,42 @@ def feed_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.concat(out)
 
 
+@query(f"SELECT CAST(CASE WHEN event_id < {FEED_PAGES} THEN 0 ELSE 1 END AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS n, CAST(count(*) AS BIGINT) AS stored FROM events GROUP BY 1")
+def feed_observer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an observer sees of a feed that lands in two lots, beside what is stored under each batch's number."""
+    spec, landed, root, seen = catalog.CATALOG["geotab.log_records"], fresh_path(spark, "landed"), fresh_path(spark, "stored"), []
+    pages = log_pages(spark, sf_dir)
+    for lot in (F.col("page_seq") < 1, F.col("page_seq") >= 1):
+        pages.where(lot).write.mode("append").json(landed)
+        feed.start(spark, landed, root, spec, observer=lambda batch, number: seen.append((number, batch.count()))).awaitTermination()
+    stored = spark.read.parquet(f"{root}/{spec.provider}/{spec.name}").groupBy(F.col("batch").cast("long").alias("batch")).agg(F.count("*").alias("stored"))
+    return spark.createDataFrame(seen, "batch long, n long").join(stored, "batch", "left")
+
+
+def vehicle_pages(spark: SparkSession, sf_dir: str, kept: Column) -> DataFrame:
+    """Customers as landed pages of a listing of vehicles."""
+    fixed = {"notes": "n", "harshAccelerationSettingType": "off", "vehicleRegulationMode": "regulated", "createdAtTime": "2024-01-01T00:00:00Z", "updatedAtTime": "2024-01-01T00:00:00Z"}
+    record = F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), *[F.lit(v).alias(k) for k, v in fixed.items()])
+    last = F.struct(F.lit("").alias("endCursor"), F.lit(False).alias("hasNextPage")).alias("pagination")
+    pages = packed(table(spark, sf_dir, "customer").where(kept), F.floor(F.col("c_custkey") / 100), record, lambda x: F.struct(x.alias("data"), last))
+    named = F.concat(F.lit("c"), F.col("page_seq").cast("string"))
+    return pages.withColumn("provider", F.lit("samsara")).withColumn("endpoint", F.lit("vehicles")).withColumn("chain_id", named)
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS member, CAST(CASE WHEN c_custkey % 7 = 0 THEN 1 ELSE 0 END AS INTEGER) AS absence_count FROM customer")
+def feeder_tap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing stored twice, the second time without a seventh of its members: the roster that it feeds counts them absent."""
+    root = fresh_path(spark, "roster")
+    for name, kept in (("all", F.lit(True)), ("most", F.col("c_custkey") % 7 != 0)):
+        vehicle_pages(spark, sf_dir, kept).write.parquet(f"{root}/landed-{name}")
+        pipelines.ingest(spark, f"{root}/landed-{name}", root, "samsara.vehicles")
+    return drive.control(spark, root, "rosters", rosters.ROSTER).select("member", "absence_count")
+
+
 @query("SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, 'page refused: data: missing (samsara/vehicles/c/-1)' AS refused FROM customer")
 def snapshot_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A listing among whose pages an error has landed fails and names it; without that page it gives all rows."""
-    fixed = {"notes": "n", "harshAccelerationSettingType": "off", "vehicleRegulationMode": "regulated", "createdAtTime": "2024-01-01T00:00:00Z", "updatedAtTime": "2024-01-01T00:00:00Z"}
-    record = F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), *[F.lit(v).alias(k) for k, v in fixed.items()])
-    pages = packed(table(spark, sf_dir, "customer"), F.floor(F.col("c_custkey") / 100), record, lambda x: F.struct(x.alias("data")))
-    pages = pages.withColumn("provider", F.lit("samsara")).withColumn("endpoint", F.lit("vehicles"))
+    pages = vehicle_pages(spark, sf_dir, F.lit(True)).withColumn("chain_id", F.lit("c"))
     bad = pages.limit(1).withColumn("page_seq", F.lit(-1)).withColumn("body", F.lit('{"message":"try later"}'))
     landed = fresh_path(spark, "landed")
     pages.write.parquet(f"{landed}/good")
@@ -646,7 +709,7 @@ def versioned_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
         versions.append(rows.where(F.col("event_id") % 10 == k), path)
     versions.compact(spark, path, rows.schema, most_files=1)
     base, reader = versions.version(spark, path), scans.dataset(spark, path, rows.schema)
-    files = max(sum(x.files for x in base[1] if x.date == day) for day in {x.date for x in base[1]})
+    files = max(sum(x.files for x in base[1] if x.key == day) for day in {x.key for x in base[1]})
     again = filters.owned(rows, "ts", START, END).where("event_id % 2 = 1").withColumn("version", F.lit(2))
     writers.replace_spans(again.drop("date"), path, "ts", [(START, END)], fence=2)
     try:

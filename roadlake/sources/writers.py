@@ -136,9 +136,9 @@ def replace_spans(rows: DataFrame, path: str, event_time: str, spans: Spans, ded
     bits = [F.bit_or(F.when(F.floor(at / 60) == k, F.call_function("shiftleft", F.lit(1).cast("long"), (at % 60).cast("int")))).alias(f"b{k}") for k in range(length // 60 + 1)]
     try:
         if base is not None:
-            had = {x.date for x in base[1] if x.folder}
+            had = {x.key for x in base[1] if x.folder}
             new = versions.replace(guarded, path, days, fence or 0, base)
-            return counted.report(sum(x.files for x in new), sorted(had & {str(x) for x in days} - {x.date for x in new}))
+            return counted.report(sum(x.files for x in new), sorted(had & {str(x) for x in days} - {x.key for x in new}))
         guarded.observe(marks, *bits).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
     except Exception as error:
         if "row outside the window" in str(error):
