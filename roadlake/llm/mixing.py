@@ -65,7 +65,8 @@ def plan(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most_epochs: int =
     takes it if the middle of its stretch, e sizes of the source further on, is within the target. A copy's position is
     the time at which the source's cumulative demand reaches that middle. The words taken of a source then differ from
     its target by at most half a document; short documents, of at most half of that gap, make up for it in the
-    line's order: they take part once more, at the end, or once less, until the next would be too much.
+    line's order: they take part once more, or once less, until the next would be too much. What they add follows on
+    what was taken before, so its positions are those of the demand that is still open.
 
     Null text has no words. Documents without words take part once at most. Null source is a source of its own, the
     last. Null doc_id is placed like any other, repeated rows are placed each, an empty table gives no rows. Columns
@@ -86,7 +87,9 @@ def plan(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most_epochs: int =
     fits = (F.col("size") > 0) & (2 * F.col("size") <= gap) & F.when(up, F.col("copies") < most_epochs).otherwise(F.col("copies") > 0)
     tuned = layout.before(layout.with_facts(first, OWN, gaps).withColumn("fits", fits), OWN, ORDER, F.when(F.col("fits"), F.col("size")).otherwise(0), "passed")
     moved = F.col("fits") & (F.col("passed") + F.col("size") <= gap)
-    changed = F.when(moved & up, F.array_append("positions", F.lit(1.0))).when(moved, F.slice("positions", 1, F.col("copies") - 1)).otherwise(F.col("positions"))
+    open_ = F.col("target") - F.col("gap") + F.col("passed") + F.col("size").cast("double") / 2
+    later = position(open_ / F.greatest("target", F.lit(1e-9)), F.col("turn"), phases)
+    changed = F.when(moved & up, F.array_sort(F.array_append("positions", later))).when(moved, F.slice("positions", 1, F.col("copies") - 1)).otherwise(F.col("positions"))
     found = tuned.withColumn("positions", changed)
     kept = [F.col(f"_keep_{k}").alias(c) for k, c in enumerate(keep)]
     return found.select("doc_id", "source", "size", "source_size", "target", F.size("positions").alias("copies"), (F.col("size") * F.size("positions")).alias("taken"), "positions", *kept)

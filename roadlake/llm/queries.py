@@ -107,11 +107,12 @@ e AS (SELECT *, (CASE WHEN m1 <= target THEN 1 ELSE 0 END) + (CASE WHEN size > 0
 g AS (SELECT source, max(target) - CAST(sum(size * copies) AS BIGINT) AS gap FROM e GROUP BY source),
 f AS (SELECT e.*, gap, size > 0 AND 2 * size <= abs(gap) AND CASE WHEN gap > 0 THEN copies < 3 ELSE copies > 0 END AS fits FROM e JOIN g ON e.source IS NOT DISTINCT FROM g.source),
 r AS (SELECT *, CAST(coalesce(sum(CASE WHEN fits THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY k, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS passed FROM f),
-m AS (SELECT *, greatest(target, 1e-9) AS whole, copies + CASE WHEN fits AND passed + size <= abs(gap) THEN CASE WHEN gap > 0 THEN 1 ELSE -1 END ELSE 0 END AS final FROM r)
+m AS (SELECT *, greatest(target, 1e-9) AS whole, fits AND passed + size <= abs(gap) AS moved FROM r),
+q AS (SELECT *, copies + CASE WHEN moved THEN CASE WHEN gap > 0 THEN 1 ELSE -1 END ELSE 0 END AS final,
+  list_sort(list_filter([CASE WHEN copies >= 1 THEN {schedule_sql("m1 / whole")} END, CASE WHEN copies >= 2 THEN {schedule_sql("m2 / whole")} END, CASE WHEN copies >= 3 THEN {schedule_sql("m3 / whole")} END,
+    CASE WHEN moved AND gap > 0 THEN {schedule_sql("((target - gap + passed + CAST(size AS DOUBLE) / 2) / whole)")} END], lambda x: x IS NOT NULL)) AS places FROM m)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(size * final AS BIGINT) AS taken, CAST(final AS INTEGER) AS copies,
-  CASE WHEN final >= 1 THEN CASE WHEN copies >= 1 THEN {schedule_sql("m1 / whole")} ELSE 1e0 END END AS position_1,
-  CASE WHEN final >= 2 THEN CASE WHEN copies >= 2 THEN {schedule_sql("m2 / whole")} ELSE 1e0 END END AS position_2,
-  CASE WHEN final >= 3 THEN CASE WHEN copies >= 3 THEN {schedule_sql("m3 / whole")} ELSE 1e0 END END AS position_3 FROM m
+  CASE WHEN final >= 1 THEN places[1] END AS position_1, CASE WHEN final >= 2 THEN places[2] END AS position_2, CASE WHEN final >= 3 THEN places[3] END AS position_3 FROM q
 """
 
 
