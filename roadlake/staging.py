@@ -33,6 +33,7 @@ def staged(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
+    vars(out)["_staged_at"] = path
     if made := scratch.get():
         made[-1].append(out)
     return out
@@ -60,7 +61,6 @@ def condensed(make: Callable[[], DataFrame]) -> DataFrame:
 def unstage(df: DataFrame) -> None:
     """Deletes the files of a staged table that is not read again."""
     jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
-    for file in df.inputFiles()[:1]:
-        folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
-        if folder.getName().startswith("staged-"):
-            folder.getFileSystem(conf).delete(folder, True)
+    if path := vars(df).get("_staged_at"):
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
