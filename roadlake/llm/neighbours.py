@@ -119,6 +119,19 @@ def matrix(vectors: pa.Array) -> np.ndarray:
 
 
 def nearest(own: pd.DataFrame, ask: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The entries of a bundle of leaves nearest to each query, among those of the leaves that it asks, up to k + 1 different
+    smallest ids. A query is compared with the leaves it asks only; what it finds in all of them is cut once."""
+    asked: dict[int, list[int]] = {}
+    for row, leaves in enumerate(ask["leaves"]):
+        for leaf in leaves:
+            asked.setdefault(leaf, []).append(row)
+    found = [nearest_of_leaf(own[:0], ask[:0], k), *[nearest_of_leaf(rows, ask.iloc[asked[leaf]], k) for leaf, rows in own.groupby("leaf") if leaf in asked]]
+    rows = pd.concat(found).drop_duplicates(["query", "entry"]).sort_values(["query", "distance", "low"], kind="stable")
+    different = (~rows.duplicated(["query", "low"])).groupby(rows["query"]).cumsum()
+    return rows[different <= k + 1]
+
+
+def nearest_of_leaf(own: pd.DataFrame, ask: pd.DataFrame, k: int) -> pd.DataFrame:
     """The entries of one leaf nearest to each query, up to k + 1 different smallest ids and not beyond the query's reach;
     nothing else can be among k nearest ids. Of entries of one id, only the nearest is of use."""
     out = [(np.empty(0, int), np.empty(0, int), np.empty(0, int), np.empty(0))]
@@ -148,7 +161,7 @@ def nearest(own: pd.DataFrame, ask: pd.DataFrame, k: int) -> pd.DataFrame:
     return pd.DataFrame({c: np.concatenate([x[k] for x in out]) for k, c in enumerate(("query", "entry", "low", "distance"))})
 
 
-def search(vectors: DataFrame, every: int = 100, k: int = 10, trees: int = 4, leaf: int = 256, sample: int = 16_384, recall: float = 0.95, tile: int = 8192, seed: int = 6) -> DataFrame:
+def search(vectors: DataFrame, every: int = 100, k: int = 10, trees: int = 4, leaf: int = 256, sample: int = 16_384, recall: float = 0.95, tile: int = 8192, bundle: int = 16, seed: int = 6) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` nearest found of every row whose vec_id is divisible by
     ``every``, by Euclidean distance in double precision, ties to the smaller vec_id, the query itself left out.
 
@@ -160,8 +173,9 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, trees: int = 4, le
     A query first reads the leaf that it falls into in each tree. The distance to the k-th of what it finds there, times
     a share that is calibrated on the sample for ``recall``, is how far its queue then goes: on clustered vectors it
     reads a hundredth of the rows, on vectors without any structure about half, as nothing less meets that recall.
-    Leaves of over ``tile`` entries, or of many queries, are dealt over several tasks. A task returns k + 1 entries
-    per query and leaf at most, and none beyond the distance known.
+    ``bundle`` leaves that lie side by side in a tree are one group: a query's vector is sent once to each group it asks
+    something of, and comes back with k + 1 entries at most, none beyond the distance known. Groups of over ``tile``
+    entries, or of many queries, are dealt over several tasks.
 
     Vectors that are null, empty, all zero, of a rarer length, or hold null or non-finite components take no part, nor
     do rows without vec_id; they have no result rows. Repeated rows count once. A vec_id of several vectors has them all:
@@ -182,16 +196,28 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, trees: int = 4, le
     forest = fit(points, trees, max(4.0, leaf * len(points) / count), seed)
     share = calibrated(forest, points, k, recall)
 
-    def spread(part: pa.RecordBatch, found: list, names: list[str]) -> pa.RecordBatch:
-        """The rows of ``part``, each with every leaf of its list."""
-        again = part.take(pa.array(np.repeat(np.arange(part.num_rows), [len(x) for x in found])))
-        return pa.RecordBatch.from_arrays([pa.array([x for own in found for x in own], pa.int64()), *again.columns], ["leaf", *names])
-
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                yield spread(part, forest.leaves(matrix(part.column(1))).tolist(), batch.schema.names)
+                again = part.take(pa.array(np.repeat(np.arange(part.num_rows), trees)))
+                yield pa.RecordBatch.from_arrays([pa.array(forest.leaves(matrix(part.column(1))).ravel()), *again.columns], ["leaf", *batch.schema.names])
+
+    def asked_of(part: pa.RecordBatch, found: list) -> pa.RecordBatch:
+        """The queries of ``part``, each once for every bundle of its leaves."""
+        rows, groups, leaves = [], [], []
+        for row, own in enumerate(found):
+            by_group: dict[int, list[int]] = {}
+            for leaf in own:
+                by_group.setdefault(leaf // bundle, []).append(leaf)
+            rows += [row] * len(by_group)
+            groups += by_group
+            leaves += by_group.values()
+        return pa.RecordBatch.from_arrays([pa.array(groups, pa.int64()), pa.array(leaves, pa.list_(pa.int64())), *part.take(pa.array(rows, pa.int64())).columns], ["group", "leaves", *part.schema.names])
+
+    def at_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield asked_of(batch, forest.leaves(matrix(batch.column(1))).tolist())
 
     def visited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,21 +225,22 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, trees: int = 4, le
                 part = batch.slice(at, 64)
                 points, known = matrix(part.column(1)), np.asarray(part.column(2))
                 more = [set(forest.search(v, np.inf if np.isinf(r) else share * r)) - set(home) for v, r, home in zip(points, known, forest.leaves(points).tolist())]
-                yield spread(part, more, batch.schema.names)
+                yield asked_of(part, more)
 
-    places = common.staged(entries.select("entry", "embedding", "low", "alone").mapInArrow(indexed, f"leaf long, entry long, embedding {kind}, low long, alone boolean"))
-    sizes = common.staged(places.groupBy("leaf").agg(F.count("*").alias("n")))  # at most trees * sample / 4 rows
+    places = entries.select("entry", "embedding", "low", "alone").mapInArrow(indexed, f"leaf long, entry long, embedding {kind}, low long, alone boolean")
+    places = common.staged(places.withColumn("group", F.floor(F.col("leaf") / bundle)))
+    sizes = common.staged(places.groupBy("group").agg(F.count("*").alias("n")))  # at most trees * sample / 4 rows
 
     def met(asked: DataFrame) -> DataFrame:
-        """query, entry, low, distance of what the asked leaves (leaf, entry, embedding, reach) hold near the query. Leaves are
-        cut into parts of entries and turns of queries, each pair of which is one group."""
-        turns = asked.groupBy("leaf").agg(F.ceil(F.count("*") / tile).cast("int").alias("turns"))
-        cut = F.broadcast(sizes.join(turns, "leaf").select("leaf", F.ceil(F.col("n") / tile).cast("int").alias("parts"), "turns"))
+        """query, entry, low, distance of what the asked leaves (group, leaves, entry, embedding, reach) hold near the query.
+        Groups are cut into parts of entries and turns of queries, each pair of which is worked on together."""
+        turns = asked.groupBy("group").agg(F.ceil(F.count("*") / tile).cast("int").alias("turns"))
+        cut = F.broadcast(sizes.join(turns, "group").select("group", F.ceil(F.col("n") / tile).cast("int").alias("parts"), "turns"))
         pick = lambda of: F.pmod(F.xxhash64("entry"), F.col(of)).cast("int")
         each = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
-        left = places.join(cut, "leaf").select("leaf", pick("parts").alias("part"), each("turns").alias("turn"), "entry", "embedding", "low", "alone")
-        right = asked.join(cut, "leaf").select("leaf", each("parts").alias("part"), pick("turns").alias("turn"), "entry", "embedding", "reach")
-        key = ["leaf", "part", "turn"]
+        left = places.join(cut, "group").select("group", pick("parts").alias("part"), each("turns").alias("turn"), "leaf", "entry", "embedding", "low", "alone")
+        right = asked.join(cut, "group").select("group", each("parts").alias("part"), pick("turns").alias("turn"), "leaves", "entry", "embedding", "reach")
+        key = ["group", "part", "turn"]
         return common.staged(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(lambda own, ask: nearest(own, ask, k), "query long, entry long, low long, distance double"))
 
     by_query = Window.partitionBy("query")
@@ -226,8 +253,8 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, trees: int = 4, le
     asking = common.staged(rows.where(F.col("vec_id") % every == 0).join(entries.select("embedding", "entry"), "embedding").select(F.col("vec_id").alias("query_id"), "entry").distinct())
     endless = F.lit(float("inf"))
     wanted = common.staged(asking.select("entry").distinct().join(entries.select("entry", "embedding"), "entry").select("entry", "embedding", endless.alias("reach")))
-    schema = f"leaf long, entry long, embedding {kind}, reach double"
-    home = met(wanted.mapInArrow(indexed, schema))
+    schema = f"group long, leaves array<long>, entry long, embedding {kind}, reach double"
+    home = met(common.staged(wanted.mapInArrow(at_home, schema)))
     known = wanted.drop("reach").join(limits(home), F.col("entry") == F.col("query"), "left").select("entry", "embedding", F.coalesce("far", endless).alias("reach"))
     found = common.staged(home.unionByName(met(common.staged(known.mapInArrow(visited, schema)))).dropDuplicates(["query", "entry"]))
     best = found.join(limits(found), "query").where(F.col("far").isNull() | (F.col("distance") <= F.col("far")))
