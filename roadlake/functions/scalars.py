@@ -61,8 +61,10 @@ def date_label(text: Column) -> Column:
 
 
 def iso_timestamp(text: Column) -> Column:
-    """ISO-8601 with an offset, as UTC; text without offset is refused."""
-    return F.when(text.rlike(ISO_WITH_OFFSET), F.translate(text, ",tz", ".TZ").try_cast("timestamp"))
+    """ISO-8601 with an offset, as UTC; text without offset is refused. Only text that is written with a comma or small
+    letters is rewritten before the cast."""
+    rare = F.contains(text, F.lit(",")) | F.contains(text, F.lit("t")) | F.contains(text, F.lit("z"))
+    return F.when(text.rlike(ISO_WITH_OFFSET), F.when(rare, F.translate(text, ",tz", ".TZ")).otherwise(text).try_cast("timestamp"))
 
 
 def to_iso(time: Column) -> Column:
@@ -82,7 +84,8 @@ def kind(value: Column) -> Column:
 
 
 def is_object(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+    """Taken as a struct without fields, for which no member is looked at."""
+    return F.try_variant_get(value, "$", "struct<>").isNotNull()
 
 
 def is_array(value: Column) -> Column:
@@ -122,26 +125,26 @@ def is_number(known: Column) -> Column:
     return known.isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(known, F.lit("DECIMAL"))
 
 
-def whole_number(value: Column, known: Column | None = None) -> Column:
+def whole_number(value: Column, known: Column | None = None, text: Column | None = None) -> Column:
     """A number without a fraction, a boolean, or text of a whole number; never one that would lose its fraction."""
     known = shape(value) if known is None else known
-    text = strip(text_of(value, known))
+    text = strip(text_of(value, known)) if text is None else text
     number = F.try_variant_get(value, "$", "decimal(38,18)")
     from_number = F.when(number == F.floor(number), number.try_cast("bigint"))
-    from_text = F.when(text.rlike(r"^[+-]?\d+(\.0*)?$"), F.regexp_replace(text, r"\.0*$", "").try_cast("bigint"))
+    from_text = F.when(text.rlike(r"^[+-]?\d+(\.0*)?$"), F.substring_index(text, ".", 1).try_cast("bigint"))
     return F.when(known == "BIGINT", F.try_variant_get(value, "$", "bigint")).when(is_number(known), from_number).when(known == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("bigint")).otherwise(from_text)
 
 
-def number(value: Column, known: Column | None = None) -> Column:
+def number(value: Column, known: Column | None = None, text: Column | None = None) -> Column:
     known = shape(value) if known is None else known
-    text = strip(text_of(value, known))
+    text = strip(text_of(value, known)) if text is None else text
     return F.when(is_number(known), F.try_variant_get(value, "$", "double")).when(known == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("double")).otherwise(F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), text.try_cast("double")))
 
 
-def boolean(value: Column, known: Column | None = None) -> Column:
+def boolean(value: Column, known: Column | None = None, text: Column | None = None) -> Column:
     """A boolean, the numbers 0 and 1, or one of the usual words for them."""
     known = shape(value) if known is None else known
-    text = F.lower(strip(text_of(value, known)))
+    text = F.lower(strip(text_of(value, known)) if text is None else text)
     as_number = F.try_variant_get(value, "$", "double")
     return (
         F.when(known == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
@@ -151,19 +154,27 @@ def boolean(value: Column, known: Column | None = None) -> Column:
     )
 
 
-def coerced(value: Column, scalar: str, lift: str | None = None, known: Column | None = None) -> Column:
-    """A variant as one of the scalar types, laxly but without loss; null where it is refused."""
+def written(value: Column, lift: str | None = None, known: Column | None = None) -> Column:
+    """The text of a variant as coerced() reads it: stripped, but as it stands for the lifts of fixed grammars."""
+    text = text_of(value, known)
+    return text if lift in ("timespan", "datelabel") else strip(text)
+
+
+def coerced(value: Column, scalar: str, lift: str | None = None, known: Column | None = None, text: Column | None = None) -> Column:
+    """A variant as one of the scalar types, laxly but without loss; null where it is refused. ``text``: written(), where it
+    is a column already, as most types look at it several times."""
     known = shape(value) if known is None else known
+    text = written(value, lift, known) if text is None else text
     if lift == "timespan":
-        return timespan(text_of(value, known))
+        return timespan(text)
     if lift == "epochms":
         return F.when(known == "BIGINT", epoch_millis(F.try_variant_get(value, "$", "bigint")))
     if lift == "datelabel":
-        return date_label(text_of(value, known))
+        return date_label(text)
     if scalar == "STRING":
-        return strip(text_of(value, known))
+        return text
     if scalar == "TIMESTAMP":
-        return iso_timestamp(strip(text_of(value, known)))
+        return iso_timestamp(text)
     if scalar == "DATE":
-        return F.to_date(date_label(strip(text_of(value, known))))
-    return {"BIGINT": whole_number, "DOUBLE": number, "BOOLEAN": boolean}[scalar](value, known)
+        return F.to_date(date_label(text))
+    return {"BIGINT": whole_number, "DOUBLE": number, "BOOLEAN": boolean}[scalar](value, known, text)

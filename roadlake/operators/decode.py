@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlake.functions.scalars import get, is_array, is_object, kind
+from roadlake.functions.scalars import get, is_object, kind
 
 PAGE_COLUMNS = ["provider", "endpoint", "chain_id", "page_seq"]
 
@@ -41,15 +41,20 @@ def parsed(pages: DataFrame) -> DataFrame:
     return pages.select("*", once(F.try_parse_json("body")).alias("envelope"))
 
 
-def faults(decode: Decode) -> Column:
-    """What is wrong with an envelope's structure, or null: it names shapes, never values."""
-    top = F.col("envelope")
+def elements(decode: Decode) -> Column:
+    """The envelope's list of records; null where there is none."""
+    return F.try_variant_get("envelope", "$." + ".".join(decode.path), "array<variant>")
+
+
+def faults(decode: Decode, items: Column | None = None) -> Column:
+    """What is wrong with an envelope's structure, or null: it names shapes, never values. ``items``: elements(), where it is
+    a column already."""
+    top, items = F.col("envelope"), elements(decode) if items is None else items
     out = F.when(top.isNull(), F.lit("body: not JSON")).when(~is_object(top), F.concat(F.lit("body: object expected, found "), kind(top)))
     for k in range(1, len(decode.path) + 1):
         at, keys = get(top, *decode.path[:k]), ".".join(decode.path[:k])
-        want, fits = ("ARRAY", is_array) if k == len(decode.path) else ("OBJECT", is_object)
-        out = out.when(at.isNull(), F.lit(f"{keys}: missing")).when(~fits(at), F.concat(F.lit(f"{keys}: {want.lower()} expected, found "), kind(at)))
-    items = F.try_variant_get(top, "$." + ".".join(decode.path), "array<variant>")
+        want, fits = ("ARRAY", items.isNotNull()) if k == len(decode.path) else ("OBJECT", is_object(at))
+        out = out.when(at.isNull(), F.lit(f"{keys}: missing")).when(~fits, F.concat(F.lit(f"{keys}: {want.lower()} expected, found "), kind(at)))
     out = out.when(F.exists(items, lambda x: ~is_object(x)), F.lit(f"{'.'.join(decode.path)}: an element is no object"))
     if decode.item:
         inner = lambda x: get(x, decode.item)
@@ -86,11 +91,11 @@ def records(pages: DataFrame, decode: Decode, strict: bool = False) -> DataFrame
     ``identity`` (map of columns to variants), for readings that do not have the key themselves.
     """
     keep = [c for c in pages.columns if c not in ("body", "envelope")]
-    items = F.try_variant_get("envelope", "$." + ".".join(decode.path), "array<variant>")
-    fault = faults(decode)
+    items = F.col("_items")
+    fault = faults(decode, items)
     named = F.concat_ws("/", *[F.col(c).cast("string") for c in PAGE_COLUMNS if c in pages.columns])
     fine = fault.isNull() if not strict else F.when(fault.isNull(), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("page refused: "), fault, F.lit(" ("), named, F.lit(")"))).cast("boolean"))
-    rows = parsed(pages).where(fine).select(*keep, F.posexplode(items).alias("ordinal", "record"))
+    rows = parsed(pages).select("*", once(elements(decode)).alias("_items")).where(fine).select(*keep, F.posexplode(items).alias("ordinal", "record"))
     if decode.item:
         rows = rows.withColumn("record", get(F.col("record"), decode.item))
     identity = F.create_map(*[x for name, keys in decode.identity for x in (F.lit(name), get(F.col("record"), *keys))]) if decode.identity else F.lit(None).cast("map<string,variant>")

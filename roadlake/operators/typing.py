@@ -45,8 +45,9 @@ def source_of(field: Field) -> Column:
     return found
 
 
-def value_of(field: Field, raw: Column, known: Column) -> Column:
-    """The typed value: coerced; text stripped, an empty one null (elements of lists keep it)."""
+def value_of(field: Field, raw: Column, known: Column, text: Column | None = None) -> Column:
+    """The typed value: coerced; text stripped, an empty one null (elements of lists keep it). ``text``: the field's, as
+    scalars.written() gives it."""
     if field.lift == "idlist":
         return S.id_list(raw)
     if field.array:
@@ -54,8 +55,8 @@ def value_of(field: Field, raw: Column, known: Column) -> Column:
         typed = F.transform(items, lambda x: S.coerced(x, field.scalar))
         return F.when(F.startswith(known, F.lit("ARRAY")) & ~F.exists(typed, lambda x: x.isNull()), typed)
     if field.lift == "emptyint":
-        return F.when(S.text_of(raw, known) == "", F.lit(None)).otherwise(S.coerced(raw, field.scalar, None, known))
-    return S.coerced(raw, field.scalar, field.lift, known)
+        return F.when(S.text_of(raw, known) == "", F.lit(None)).otherwise(S.coerced(raw, field.scalar, None, known, text))
+    return S.coerced(raw, field.scalar, field.lift, known, text)
 
 
 def fault_of(field: Field, known: Column, blank: Column, value: Column, block: Column | None) -> Column:
@@ -76,18 +77,20 @@ def typed(records: DataFrame, schema: Schema, keep: list[str] | None = None) ->
     """A row per record: the columns of ``schema`` and ``errors`` (array of texts, empty for a valid record), after those of
     ``keep``. Keys that are not declared are dropped. Zero records give zero rows of the same columns.
 
-    Each step makes what the next one uses several times: a field's variant, its type, its value, its fault. The last is
+    Each step makes what the next one uses several times: a field's variant, its type, its text, its value, its fault. The last is
     kept by ``once`` from being made again in filters on errors.
     """
     keep, fields = keep or [], list(enumerate(schema.fields))
     paths = list(dict.fromkeys(f.path[:-1] for f in schema.fields if f.required == "(!)"))
     column = lambda name: lambda k: F.col(f"_{name}_{k}")
-    raw, known, value, blank, block = map(column, ("raw", "known", "value", "blank", "block"))
+    raw, known, text, value, blank, block = map(column, ("raw", "known", "text", "value", "blank", "block"))
+    reads_text = lambda f: not f.array and f.lift not in ("idlist", "epochms")
     blocks = [around(p).alias(f"_block_{j}") for j, p in enumerate(paths)]
     rows = records.select(*keep, *[source_of(f).alias(f"_raw_{k}") for k, f in fields], *blocks)
     rows = rows.select("*", *[S.shape(raw(k)).alias(f"_known_{k}") for k, _ in fields])
     blanks = [(S.text_of(raw(k), known(k)) == "").alias(f"_blank_{k}") for k, f in fields if f.lift == "emptyint"]
-    rows = rows.select(*keep, *[block(j) for j in range(len(paths))], *[known(k) for k, _ in fields], *blanks, *[value_of(f, raw(k), known(k)).cast(f.spark).alias(f"_value_{k}") for k, f in fields])
+    rows = rows.select("*", *blanks, *[S.written(raw(k), f.lift, known(k)).alias(f"_text_{k}") for k, f in fields if reads_text(f)])
+    rows = rows.select(*keep, *[block(j) for j in range(len(paths))], *[known(k) for k, _ in fields], *[blank(k) for k, f in fields if f.lift == "emptyint"], *[value_of(f, raw(k), known(k), text(k) if reads_text(f) else None).cast(f.spark).alias(f"_value_{k}") for k, f in fields])
     # without nulls; no two faults have one text
     faults = [fault_of(f, known(k), F.coalesce(blank(k), F.lit(False)) if f.lift == "emptyint" else F.lit(False), value(k), block(paths.index(f.path[:-1])) if f.required == "(!)" else None) for k, f in fields]
     errors = F.array_except(F.array(*faults), F.array(F.lit(None).cast("string")))
