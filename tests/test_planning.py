@@ -89,6 +89,18 @@ def test_capped_windows_match_brute_force(spark):
         bisection.capped_windows(rows, begin, finish, 5, 600)
 
 
+def test_dense_windows_are_leaves_if_they_are_kept(spark):
+    base = int(datetime(2026, 1, 1, 0, 50, tzinfo=UTC).timestamp())
+    seconds = [base + 900] * 30 + [base + k * 10 for k in range(300)]
+    rows = spark.createDataFrame([(s,) for s in seconds], "a long").select(F.timestamp_seconds("a").alias("active_from"), F.timestamp_seconds("a").alias("active_to"))
+    begin, finish = datetime.fromtimestamp(base, UTC), datetime.fromtimestamp(base + 5000, UTC)
+    got = bisection.capped_windows(rows, begin, finish, 20, 60, dense="keep")
+    leaves = sorted((r["window_start"].timestamp(), r["window_end"].timestamp(), r["n"]) for r in got.collect())
+    assert leaves[0][0] == base and leaves[-1][1] == base + 5000 and all(a[1] == b[0] for a, b in zip(leaves, leaves[1:]))
+    assert [b - a <= 60 for a, b, n in leaves if n >= 20] == [True]
+    assert bisection.owned_by_leaf(rows, got).count() == 330
+
+
 def test_request_parameters(spark):
     row = spark.range(1).select(F.lit(D(1)).cast("timestamp").alias("a"), F.lit(D(3)).cast("timestamp").alias("b"), F.lit("v1").alias("v"))
     one = lambda c: row.select(c.alias("x")).first()["x"]
