@@ -627,15 +627,15 @@ def feed_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feeds that break on their second page, by a gap between versions or an error in a page's place: the stream stops before
     that batch, names the fault, and goes on once the page is mended. ``before``: rows that were stored when it stopped."""
     spec, pages, out = catalog.CATALOG["geotab.log_records"], log_pages(spark, sf_dir), []
-    second = pages.where("page_seq >= 1").coalesce(1)
-    first_of = lambda changed, old: F.when(F.col("page_seq") == 1, changed).otherwise(old)
+    second, rest = pages.where("page_seq = 1").coalesce(1), pages.where("page_seq > 1")  # one page is one file; the rest is as many as it takes
     broken = {"sent_params": F.create_map(F.lit("fromVersion"), F.lit("gap")), "body": F.lit('{"error":{"message":"no"}}')}
     for column, value in broken.items():
         landed, root = fresh_path(spark, "landed"), fresh_path(spark, "stored")
         stored = f"{root}/{spec.provider}/{spec.name}"
         pages.where("page_seq < 1").write.json(f"{landed}/lot=1")
         feed.start(spark, f"{landed}/*", root, spec).awaitTermination()
-        second.withColumn(column, first_of(value, F.col(column))).write.json(f"{landed}/lot=2")
+        second.withColumn(column, value).write.json(f"{landed}/lot=2")
+        rest.write.json(f"{landed}/lot=3")
         try:
             feed.start(spark, f"{landed}/*", root, spec).awaitTermination()
             fault = None
