@@ -21,7 +21,7 @@ from roadlake.operators import aggregates, audit, decode, filters, rosters, sets
 from roadlake.plans import bisection, drive, requests, windows
 from roadlake.schema import parse
 from roadlake.sources import current, scans, versions, writers
-from roadlake.staging import shared_dir, staged
+from roadlake.staging import compiled, shared_dir, staged
 from roadlake.streaming import feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,7 @@ def query(sql: str | None) -> Callable[[Query], Query]:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; its times without zone are taken as UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    compiled(spark)
     found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return found.select(*[F.col(n).cast("timestamp").alias(n) if t == "timestamp_ntz" else F.col(n) for n, t in found.dtypes])
 
@@ -770,10 +771,12 @@ def engine_pages(events: DataFrame, windows_: list[tuple[int, int]], tag: str, f
         start, end = datetime(2024, 1, first), datetime(2024, 1, after)
         chunk = filters.owned(events, "ts", start, end).groupBy("user_id", F.floor(F.col("event_id") / 5000).alias("part")).agg(F.collect_list(F.struct(iso("ts").alias("time"), F.col("event_type").alias("value"))).alias("engineStates"))
         record = F.struct(F.col("user_id").cast("string").alias("id"), F.concat(F.lit("U"), F.col("user_id")).alias("name"), "engineStates")
-        # a walk of numbered pages, each of which names the next one's cursor
-        groups = chunk.groupBy(F.pmod(F.xxhash64("user_id", "part"), F.lit(8)).alias("hash")).agg(F.collect_list(record).alias("items"))
-        walk = Window.orderBy("hash")  # a row a page, eight at most
-        groups = groups.select((F.row_number().over(walk) - 1).alias("page_seq"), F.lead("hash").over(walk).isNotNull().alias("more"), "items")
+        # a walk of numbered pages of one part's events, each of which names the next one's cursor; only their numbers meet in a task
+        groups = chunk.groupBy("part").agg(F.collect_list(record).alias("items"))
+        walk = Window.orderBy("part")
+        numbers = filters.owned(events, "ts", start, end).select(F.floor(F.col("event_id") / 5000).alias("part")).distinct()
+        numbers = numbers.select("part", (F.row_number().over(walk) - 1).alias("page_seq"), F.lead("part").over(walk).isNotNull().alias("more"))
+        groups = groups.join(numbers, "part").select("page_seq", "more", "items")
         cursor = lambda n: F.concat(F.lit("c"), n.cast("string"))
         page = F.struct(F.when(F.col("more"), cursor(F.col("page_seq"))).otherwise("").alias("endCursor"), F.col("more").alias("hasNextPage")).alias("pagination")
         sent = F.create_map(F.lit("startTime"), F.lit(f"{start:%Y-%m-%dT%H:%M:%SZ}"), F.lit("endTime"), F.lit(f"{end:%Y-%m-%dT%H:%M:%SZ}"), F.lit("after"), F.when(F.col("page_seq") > 0, cursor(F.col("page_seq") - 1)))

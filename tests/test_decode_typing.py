@@ -1,8 +1,10 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
-from roadlake import catalog, schema
+from roadlake import catalog, queries, schema
+from roadlake.functions import scalars as S
 from roadlake.operators import decode, typing
 from roadlake.sources.scans import PAGE
 
@@ -104,3 +106,19 @@ def test_no_pages_give_typed_zero_rows(spark):
     got = typing.valid(typing.typed(decode.records(spark.createDataFrame([], PAGE), spec.decode), spec.schema))
     assert got.schema.fieldNames() == spec.schema.struct.fieldNames() and got.count() == 0
     assert [f.dataType for f in got.schema] == [f.dataType for f in spec.schema.struct]
+
+
+def test_pages_of_engine_states_stay_small(spark):
+    events = spark.range(60_000).select(F.col("id").alias("event_id"), F.lit("2024-01-02").cast("timestamp").alias("ts"), (F.col("id") % 7).alias("user_id"), F.lit("on").alias("event_type"))
+    pages = queries.engine_pages(events, [(1, 8)], "t").select("page_seq", F.regexp_count("body", F.lit('"time"')).alias("n"), F.get_json_object("body", "$.pagination.hasNextPage").alias("more"))
+    assert sorted(map(tuple, pages.collect())) == [(k, 5_000, "true" if k < 11 else "false") for k in range(12)]
+
+
+def test_lax_booleans_and_members_of_other_spellings(spark):
+    words = ["oN", "TRUE", "Y", "off", "False", "nO", "\x00yes", "onn", "ﬀ"]
+    rows = spark.createDataFrame([(w,) for w in words], "w string").select(S.boolean(F.parse_json(F.to_json(F.struct("w"))).cast("variant")).alias("none"), S.boolean(F.try_variant_get(F.parse_json(F.to_json(F.struct("w"))), "$.w", "variant")).alias("b"))
+    assert [r["b"] for r in rows.collect()] == [True, True, True, False, False, False, None, None, None]
+    own = schema.parse("x.y", "ID STRING - as one\ndeviceId STRING - as two\ndriver.licenseNo STRING -")
+    made = spark.createDataFrame([('{"ID":"a","device_id":"b","driver":{"license_no":"c"}}',), ('{"id":"a","driver":null}',)], "j string")
+    records = made.select(F.parse_json("j").alias("record"), F.lit(None).cast("map<string,string>").alias("stamped"), F.lit(None).cast("map<string,variant>").alias("identity"))
+    assert [tuple(r) for r in typing.valid(typing.typed(records, own)).collect()] == [("a", "b", "c"), ("a", None, None)]
