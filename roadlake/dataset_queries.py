@@ -13,6 +13,7 @@ from roadlake.catalog import SPECS, EndpointSpec
 from roadlake.functions import scalars as S
 from roadlake.operators import decode, typing
 from roadlake.schema import Field
+from roadlake.staging import compiled
 
 
 def quoted(text: Column, pad: str = "") -> Column:
@@ -169,6 +170,7 @@ def shown(f: Field) -> Column:
 def dataset_query(spec: EndpointSpec) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        compiled(spark)
         events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
         rows = typing.valid(typing.typed(decode.records(pages_of(events, spec), spec.decode), spec.schema))
         return rows.select(*[shown(f) for f in spec.schema.fields])

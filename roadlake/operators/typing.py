@@ -10,34 +10,55 @@ from roadlake.operators.decode import once
 from roadlake.schema import Field, Schema, snake
 
 
-def leaf(field: Field, record: Column) -> Column:
+def leaf(field: Field, at: Members) -> Column:
     """The variant of a field: by its wire path, else by the same path in snake_case; a reference may be a bare string."""
-    found = along(field, record, field.path)
+    found = along(field, at, field.path)
     own = tuple(map(snake, field.path))
     if field.reference is None and len(field.path) == 1 and own != (field.name,) and "__" not in field.name:
-        return F.coalesce(found, along(field, record, own), along(field, record, (field.name,)))
-    return found if own == field.path else F.coalesce(found, along(field, record, own))
+        return F.coalesce(found, along(field, at, own), along(field, at, (field.name,)))
+    return found if own == field.path else F.coalesce(found, along(field, at, own))
 
 
-def along(field: Field, record: Column, path: tuple[str, ...]) -> Column:
+def along(field: Field, at: Members, path: tuple[str, ...]) -> Column:
     if field.reference is None:
-        return S.get(record, *path)
-    holder, rest = S.get(record, *path[: field.reference + 1]), path[field.reference + 1 :]
+        return at.get(*path)
+    holder, rest = at.get(*path[: field.reference + 1]), path[field.reference + 1 :]
     whole = S.get(holder, *rest)
     return F.when(S.shape(holder) == "STRING", holder if rest == ("id",) else F.lit(None).cast("variant")).otherwise(whole)
 
 
-def around(path: tuple[str, ...]) -> Column:
+class Members:
+    """A record's members that the paths of a schema begin with, all taken in one pass over the record as ``_members``, a
+    struct of variants: a path looked up in the record searches it once more for each column."""
+
+    def __init__(self, schema: Schema) -> None:
+        keys: dict[str, str] = {}
+        for f in schema.fields:
+            for key in (f.path[0], snake(f.path[0]), f.name if len(f.path) == 1 else f.path[0]):
+                keys.setdefault(key.lower(), key)  # a struct's names differ by more than small and capital letters
+        self.keys = set(keys.values())
+
+    def struct(self, record: Column) -> Column:
+        return F.try_variant_get(record, "$", f"struct<{','.join(f'`{k}`:variant' for k in sorted(self.keys))}>")
+
+    def get(self, *path: str) -> Column:
+        """The variant at a path of the record."""
+        if path[0] not in self.keys:
+            return S.get(F.col("record"), *path)
+        member = F.col("_members").getField(path[0])
+        return S.get(member, *path[1:]) if path[1:] else member
+
+
+def around(path: tuple[str, ...], at: Members) -> Column:
     """Whether the record has an object at ``path``, or at the same path in snake_case."""
-    record, own = F.col("record"), tuple(map(snake, path))
-    block = S.get(record, *path)
-    block = block if own == path else F.coalesce(block, S.get(record, *own))
+    own = tuple(map(snake, path))
+    block = at.get(*path) if own == path else F.coalesce(at.get(*path), at.get(*own))
     return block.isNotNull() & S.is_object(block)
 
 
-def source_of(field: Field) -> Column:
+def source_of(field: Field, at: Members) -> Column:
     """The field's variant from the columns of decode.records: a stamp first, then the record, then the identity."""
-    found = leaf(field, F.col("record"))
+    found = leaf(field, at)
     key = field.path[0]
     if len(field.path) == 1:
         stamp = F.when(F.col("stamped")[key].isNotNull(), F.to_variant_object(F.array(F.col("stamped")[key])))
@@ -85,8 +106,10 @@ def typed(records: DataFrame, schema: Schema, keep: list[str] | None = None) ->
     column = lambda name: lambda k: F.col(f"_{name}_{k}")
     raw, known, text, value, blank, block = map(column, ("raw", "known", "text", "value", "blank", "block"))
     reads_text = lambda f: not f.array and f.lift not in ("idlist", "epochms")
-    blocks = [around(p).alias(f"_block_{j}") for j, p in enumerate(paths)]
-    rows = records.select(*keep, *[source_of(f).alias(f"_raw_{k}") for k, f in fields], *blocks)
+    at = Members(schema)
+    blocks = [around(p, at).alias(f"_block_{j}") for j, p in enumerate(paths)]
+    rows = records.select("*", at.struct(F.col("record")).alias("_members"))
+    rows = rows.select(*keep, *[source_of(f, at).alias(f"_raw_{k}") for k, f in fields], *blocks)
     rows = rows.select("*", *[S.shape(raw(k)).alias(f"_known_{k}") for k, _ in fields])
     blanks = [(S.text_of(raw(k), known(k)) == "").alias(f"_blank_{k}") for k, f in fields if f.lift == "emptyint"]
     rows = rows.select("*", *blanks, *[S.written(raw(k), f.lift, known(k)).alias(f"_text_{k}") for k, f in fields if reads_text(f)])
@@ -95,7 +118,8 @@ def typed(records: DataFrame, schema: Schema, keep: list[str] | None = None) ->
     faults = [fault_of(f, known(k), F.coalesce(blank(k), F.lit(False)) if f.lift == "emptyint" else F.lit(False), value(k), block(paths.index(f.path[:-1])) if f.required == "(!)" else None) for k, f in fields]
     errors = F.array_except(F.array(*faults), F.array(F.lit(None).cast("string")))
     shown = lambda f, k: F.nullif(value(k), F.lit("")) if f.kind == "STRING" else value(k)
-    return rows.select(*keep, *[shown(f, k).alias(f.name) for k, f in fields], once(errors).alias("errors"))
+    rows = rows.select(*keep, *[shown(f, k).alias(f.name) for k, f in fields], errors.alias("_errors"))
+    return rows.select(*keep, *[f.name for f in schema.fields], once(F.col("_errors")).alias("errors"))
 
 
 def valid(rows: DataFrame, strict: bool = True) -> DataFrame:
